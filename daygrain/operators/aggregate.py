@@ -90,14 +90,46 @@ def distinct_per_day(trips: DataFrame, column: str, name: str) -> DataFrame:
     return pairs.groupBy("trip_date").agg(F.count(column).alias(name))
 
 
+def pair_counts(trips: DataFrame) -> DataFrame:
+    """Trips per (day, start station, end station)."""
+    return trips.groupBy(trip_day(), "start_station_id", "end_station_id").agg(
+        F.count(F.lit(1)).alias("trip_count")
+    )
+
+
+def station_distincts(pairs: DataFrame) -> DataFrame:
+    """Distinct start / end stations per day, from the pair counts (A5).
+
+    The pair table has at most one row per (day, start, end), far fewer
+    rows than trips, so its two distinct counts are cheap.
+    """
+    return pairs.groupBy("trip_date").agg(
+        F.count_distinct("start_station_id").alias("unique_start_stations__leaky"),
+        F.count_distinct("end_station_id").alias("unique_end_stations__leaky"),
+    )
+
+
 def daily_measures(
     trips: DataFrame,
     *,
-    distinct: str = "fused",
+    distinct: str = "pairs",
     weather_columns: bool = False,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """A1-A13 per day from clean (or enriched) trips.
 
+    ``distinct`` picks the plan of the three exact distinct counts:
+
+    * ``pairs`` (default): distinct start and end stations come from the
+      (day, start, end) pair counts that the busiest-pair step needs anyway
+      (pass them as ``pairs`` to share the shuffle); distinct bikes is a
+      separate two-level aggregation.  No Expand, and the percentile buffer
+      stays in a plain per-day aggregation.
+    * ``split``: one two-level aggregation per distinct column.
+    * ``fused``: ``count(distinct)`` inside the main aggregation; Catalyst
+      expands every row once per distinct column and evaluates the other
+      aggregates in that expanded aggregation.
+
     ``weather_columns=True`` expects the ``weather_*`` columns of T10 and
     picks them per day (A12); otherwise weather is joined after the
     aggregation by the caller.
@@ -112,6 +144,11 @@ def daily_measures(
         out = trips.groupBy(trip_day()).agg(*aggs)
         for c, n in DISTINCT_COUNTS:
             out = out.join(distinct_per_day(trips, c, n), "trip_date", "left")
+    elif distinct == "pairs":
+        pairs = pair_counts(trips) if pairs is None else pairs
+        out = trips.groupBy(trip_day()).agg(*aggs)
+        out = out.join(distinct_per_day(trips, "bike_id", "unique_bikes__leaky"), "trip_date", "left")
+        out = out.join(station_distincts(pairs), "trip_date", "left")
     else:
         raise ValueError(f"unknown distinct strategy {distinct!r}")
     out = out.withColumns(
@@ -125,14 +162,7 @@ def daily_measures(
     return out.select(*keep)
 
 
-def pair_counts(trips: DataFrame) -> DataFrame:
-    """Trips per (day, start station, end station)."""
-    return trips.groupBy(trip_day(), "start_station_id", "end_station_id").agg(
-        F.count(F.lit(1)).alias("trip_count")
-    )
-
-
-def top_pair(trips: DataFrame, mode: str = "window") -> DataFrame:
+def top_pair(trips: DataFrame, mode: str = "window", pairs: DataFrame | None = None) -> DataFrame:
     """O2: the busiest (start, end) pair of each day.
 
     Ranking is by trip count, ties broken by start then end id (nulls
@@ -144,7 +174,7 @@ def top_pair(trips: DataFrame, mode: str = "window") -> DataFrame:
     per day.  ``struct``: a ``min(struct(-count, start, end))`` aggregate
     with map-side partial aggregation and no window.
     """
-    pairs = pair_counts(trips)
+    pairs = pair_counts(trips) if pairs is None else pairs
     s, e = F.col("start_station_id"), F.col("end_station_id")
     if mode == "window":
         w = Window.partitionBy("trip_date").orderBy(

@@ -91,7 +91,7 @@ def dimensions_keyed(stations: DataFrame, weather: DataFrame) -> bool:
 
 
 def daily_base(
-    inp: Inputs, *, distinct: str = "fused", top: str = "window", plan: str = "auto"
+    inp: Inputs, *, distinct: str = "pairs", top: str = "window", plan: str = "auto"
 ) -> DataFrame:
     """Per-day measures, weather and busiest pair (before features)."""
     clean = trips_clean(inp)
@@ -99,14 +99,16 @@ def daily_base(
     if plan == "auto":
         plan = "aggregate_first" if dimensions_keyed(stations_clean(inp), wx) else "join_first"
     if plan == "aggregate_first":
-        base = aggregate.daily_measures(clean, distinct=distinct)
+        pairs = aggregate.pair_counts(clean)
+        base = aggregate.daily_measures(clean, distinct=distinct, pairs=pairs)
         wday = joins.size_checked(aggregate.weather_by_day(wx))
         base = base.join(wday, base["trip_date"] == wday["_wday"], "left").drop("_wday")
-        best = aggregate.top_pair(clean, top)
+        best = aggregate.top_pair(clean, top, pairs=pairs)
     elif plan == "join_first":
         enriched = joins.enrich_trips(clean, stations_clean(inp), wx)
-        base = aggregate.daily_measures(enriched, distinct=distinct, weather_columns=True)
-        best = aggregate.top_pair(enriched, top)
+        pairs = aggregate.pair_counts(enriched)
+        base = aggregate.daily_measures(enriched, distinct=distinct, weather_columns=True, pairs=pairs)
+        best = aggregate.top_pair(enriched, top, pairs=pairs)
     else:
         raise ValueError(f"unknown plan {plan!r}")
     return base.join(best, "trip_date", "left")
@@ -116,7 +118,7 @@ def daily_features(
     inp: Inputs,
     *,
     weekend: str = "reference",
-    distinct: str = "fused",
+    distinct: str = "pairs",
     top: str = "window",
     plan: str = "auto",
 ) -> DataFrame:

@@ -8,6 +8,7 @@ bench set that value themselves when it is unset.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -55,8 +57,14 @@ def get_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder for checkpoints and intermediate tables."""
+    """The cluster-wide folder for checkpoints and intermediate tables.
+
+    On a local-mode session without the setting (tests, a laptop) a fresh
+    temporary folder is configured; on a cluster the setting is required.
+    """
     value = spark.conf.get(CHECKPOINT_CONF, None)
+    if not value and spark.sparkContext.master.startswith("local"):
+        value = ensure_shared_dir(spark, tempfile.mkdtemp(prefix="daygrain-shared-"))
     if not value:
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; point it at a folder every executor "
