@@ -30,7 +30,7 @@ HEADLINE = {
 }
 # Plan variants of the daily table, reported separately (not in the total).
 VARIANTS = {
-    "t11_daily_split_struct": "t11_daily_features_split_struct",
+    "t11_daily_fused_struct": "t11_daily_features_fused_struct",
     "t11_daily_join_first": "t11_daily_features_join_first",
 }
 

@@ -97,38 +97,25 @@ def pair_counts(trips: DataFrame) -> DataFrame:
     )
 
 
-def station_distincts(pairs: DataFrame) -> DataFrame:
-    """Distinct start / end stations per day, from the pair counts (A5).
-
-    The pair table has at most one row per (day, start, end), far fewer
-    rows than trips, so its two distinct counts are cheap.
-    """
-    return pairs.groupBy("trip_date").agg(
-        F.count_distinct("start_station_id").alias("unique_start_stations__leaky"),
-        F.count_distinct("end_station_id").alias("unique_end_stations__leaky"),
-    )
-
-
 def daily_measures(
     trips: DataFrame,
     *,
-    distinct: str = "pairs",
+    distinct: str = "split",
     weather_columns: bool = False,
-    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """A1-A13 per day from clean (or enriched) trips.
 
     ``distinct`` picks the plan of the three exact distinct counts:
 
-    * ``pairs`` (default): distinct start and end stations come from the
-      (day, start, end) pair counts that the busiest-pair step needs anyway
-      (pass them as ``pairs`` to share the shuffle); distinct bikes is a
-      separate two-level aggregation.  No Expand, and the percentile buffer
-      stays in a plain per-day aggregation.
-    * ``split``: one two-level aggregation per distinct column.
+    * ``split`` (default): one two-level aggregation per distinct column
+      (dedupe on (day, value) with map-side partial aggregation, then count
+      per day), joined to the per-day row.  No Expand, and the percentile
+      buffer stays in a plain per-day hash aggregation.  Measured 6x faster
+      than ``fused`` at sf0.1.
     * ``fused``: ``count(distinct)`` inside the main aggregation; Catalyst
-      expands every row once per distinct column and evaluates the other
-      aggregates in that expanded aggregation.
+      expands every row once per distinct column (x4 rows) and evaluates
+      the other aggregates, the percentile buffer included, in that
+      expanded aggregation, which falls back to sort-based aggregation.
 
     ``weather_columns=True`` expects the ``weather_*`` columns of T10 and
     picks them per day (A12); otherwise weather is joined after the
@@ -144,11 +131,6 @@ def daily_measures(
         out = trips.groupBy(trip_day()).agg(*aggs)
         for c, n in DISTINCT_COUNTS:
             out = out.join(distinct_per_day(trips, c, n), "trip_date", "left")
-    elif distinct == "pairs":
-        pairs = pair_counts(trips) if pairs is None else pairs
-        out = trips.groupBy(trip_day()).agg(*aggs)
-        out = out.join(distinct_per_day(trips, "bike_id", "unique_bikes__leaky"), "trip_date", "left")
-        out = out.join(station_distincts(pairs), "trip_date", "left")
     else:
         raise ValueError(f"unknown distinct strategy {distinct!r}")
     out = out.withColumns(

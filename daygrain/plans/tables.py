@@ -4,6 +4,7 @@ Plan shape of the daily table (T11) at scale::
 
     trips scan (pruned, null filter pushed)
       ├─ partial agg by day ─ shuffle(day) ─ final agg ─────────────┐
+      ├─ 3 x dedupe (day, value) ─ shuffle ─ count per day ─────────┤
       └─ partial agg by (day, start, end) ─ shuffle ─ top-1 per day ┤ join on day (small)
     weather (one row per day, size-checked broadcast) ──────────────┤
     single-partition window over ~thousands of day rows ── calendar flags (broadcast)
@@ -91,7 +92,7 @@ def dimensions_keyed(stations: DataFrame, weather: DataFrame) -> bool:
 
 
 def daily_base(
-    inp: Inputs, *, distinct: str = "pairs", top: str = "window", plan: str = "auto"
+    inp: Inputs, *, distinct: str = "split", top: str = "window", plan: str = "auto"
 ) -> DataFrame:
     """Per-day measures, weather and busiest pair (before features)."""
     clean = trips_clean(inp)
@@ -99,16 +100,14 @@ def daily_base(
     if plan == "auto":
         plan = "aggregate_first" if dimensions_keyed(stations_clean(inp), wx) else "join_first"
     if plan == "aggregate_first":
-        pairs = aggregate.pair_counts(clean)
-        base = aggregate.daily_measures(clean, distinct=distinct, pairs=pairs)
+        base = aggregate.daily_measures(clean, distinct=distinct)
         wday = joins.size_checked(aggregate.weather_by_day(wx))
         base = base.join(wday, base["trip_date"] == wday["_wday"], "left").drop("_wday")
-        best = aggregate.top_pair(clean, top, pairs=pairs)
+        best = aggregate.top_pair(clean, top)
     elif plan == "join_first":
         enriched = joins.enrich_trips(clean, stations_clean(inp), wx)
-        pairs = aggregate.pair_counts(enriched)
-        base = aggregate.daily_measures(enriched, distinct=distinct, weather_columns=True, pairs=pairs)
-        best = aggregate.top_pair(enriched, top, pairs=pairs)
+        base = aggregate.daily_measures(enriched, distinct=distinct, weather_columns=True)
+        best = aggregate.top_pair(enriched, top)
     else:
         raise ValueError(f"unknown plan {plan!r}")
     return base.join(best, "trip_date", "left")
@@ -118,7 +117,7 @@ def daily_features(
     inp: Inputs,
     *,
     weekend: str = "reference",
-    distinct: str = "pairs",
+    distinct: str = "split",
     top: str = "window",
     plan: str = "auto",
 ) -> DataFrame:
