@@ -136,15 +136,12 @@ def q_distinct_counts(spark, sf_dir):
 
 def q_percentiles(spark, sf_dir):
     """A7 + A10: exact quartiles and median of duration per day."""
-    clean = tables.trips_clean(_inputs(spark, sf_dir))
-    out = clean.groupBy(aggregate.trip_day()).agg(
-        F.percentile("trip_duration", [0.25, 0.5, 0.75]).alias("q")
-    )
+    out = aggregate.duration_quartiles(tables.trips_clean(_inputs(spark, sf_dir)))
     return out.select(
         "trip_date",
-        F.col("q")[0].alias("p25_trip_duration__leaky"),
-        F.col("q")[1].alias("median_trip_duration__leaky"),
-        F.col("q")[2].alias("p75_trip_duration__leaky"),
+        F.col("_pct")[0].alias("p25_trip_duration__leaky"),
+        F.col("_pct")[1].alias("median_trip_duration__leaky"),
+        F.col("_pct")[2].alias("p75_trip_duration__leaky"),
     )
 
 

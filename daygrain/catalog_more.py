@@ -52,6 +52,61 @@ def q_csv_trips(spark, sf_dir):
     return staging.stage_trips(raw)
 
 
+def _weather_from_csv(spark, roles_inp: tables.Inputs, root: str):
+    """Both weather roles written with the reference's raw headers (degree
+    signs included) and read back strictly (any bad row fails the job)."""
+    from .schemas import WEATHER_PRIMARY_COLUMNS, WEATHER_SECONDARY_COLUMNS
+
+    files.write_raw_csv(roles_inp.weather_primary, f"{root}/wx_primary", WEATHER_PRIMARY_COLUMNS)
+    files.write_raw_csv(roles_inp.weather_secondary, f"{root}/wx_secondary", WEATHER_SECONDARY_COLUMNS)
+    primary = staging.stage_weather(
+        files.read_csv_aligned(spark, f"{root}/wx_primary/*.csv", WEATHER_PRIMARY_COLUMNS, bad_rows="fail"))
+    secondary = staging.stage_weather(
+        files.read_csv_aligned(spark, f"{root}/wx_secondary/*.csv", WEATHER_SECONDARY_COLUMNS, bad_rows="fail"),
+        secondary=True)
+    return primary, secondary
+
+
+def raw_file_inputs(spark, sf_dir) -> tables.Inputs:
+    """Every role rendered in its raw file layout below the shared folder and
+    read back through the file sources: trips CSV in two header layouts,
+    station JSON lines, two weather CSVs, and the two seed CSVs."""
+    from .schemas import HOLIDAY_SEED_DDL, RESTRICTION_SEED_DDL
+    from .sources import calendars
+
+    roles_inp = tables.role_inputs(spark, sf_dir)
+    root = scratch_path(spark, "raw")
+    canonical = [c[0] for c in TRIP_COLUMNS]
+    even = F.col("trip_id") % 2 == 0
+    files.write_raw_csv(roles_inp.trips.filter(even), f"{root}/trips/bikeshare-ridership-a", TRIP_COLUMNS)
+    files.write_raw_csv(roles_inp.trips.filter(~even), f"{root}/trips/bikeshare-ridership-b", TRIP_COLUMNS,
+                        canonical[::-1])
+    roles_inp.stations.write.mode("overwrite").json(f"{root}/stations")
+    primary, secondary = _weather_from_csv(spark, roles_inp, root)
+    calendars.holiday_seed(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/hol")
+    calendars.restriction_seed(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/cov")
+    return tables.Inputs(
+        trips=staging.stage_trips(
+            files.read_csv_aligned(spark, f"{root}/trips/bikeshare-ridership-*/*.csv", TRIP_COLUMNS)),
+        stations=staging.stage_stations(files.read_json_records(spark, f"{root}/stations", station_schema())),
+        weather_primary=primary,
+        weather_secondary=secondary,
+        holidays=staging.stage_holidays(files.load_seed(spark, f"{root}/hol", HOLIDAY_SEED_DDL)),
+        restrictions=staging.stage_restrictions(files.load_seed(spark, f"{root}/cov", RESTRICTION_SEED_DDL)),
+    )
+
+
+def q_daily_from_raw_files(spark, sf_dir):
+    """S1-S8 + T1-T11: the whole daily model starting from raw files."""
+    return round_doubles(tables.daily_features(raw_file_inputs(spark, sf_dir)))
+
+
+def q_weather_from_csv(spark, sf_dir):
+    """S3 + S4 + P3 + P4 + X6 + T9: strict weather CSV reads, merged and filled."""
+    primary, secondary = _weather_from_csv(spark, tables.role_inputs(spark, sf_dir), scratch_path(spark, "raw-wx"))
+    return round_doubles(tables.cleaning.clean_weather(primary, secondary))
+
+
 def q_json_stations(spark, sf_dir):
     """S2 + T2 + T8: station records written as JSON lines, read with a declared schema."""
     stations = tables.role_inputs(spark, sf_dir).stations
@@ -139,6 +194,10 @@ def registry() -> dict[str, Query]:
             "stations_clean",
         ),
     )
+    reg["s03_s04_weather_csv"] = Query(
+        q_weather_from_csv, catalog._sql("wx_clean", catalog.WEATHER_DOUBLES))
+    reg["t11_daily_features_from_raw_files"] = Query(
+        q_daily_from_raw_files, catalog._sql("daily", catalog.DAILY_DOUBLES))
     reg["s11_export_csv_roundtrip"] = Query(q_export_roundtrip, _mart_sql("daily", "v2"))
     reg["s12_build_materialize_read"] = Query(
         q_build_materialize, _mart_sql("weekly", "v1", "WHERE week_start_date >= TIMESTAMP '1998-01-01'")

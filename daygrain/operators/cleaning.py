@@ -44,11 +44,9 @@ def fallback_merge(
       primary is null (the reference switches on the mean temperature).
 
     Only primary rows are kept (left join).  Both inputs are one row per
-    day, so the secondary side is broadcast after a size check.
+    day; Spark's size estimate and adaptive execution pick the join.
     """
-    from .joins import size_checked
-
-    p, s = primary.alias("p"), size_checked(secondary).alias("s")
+    p, s = primary.alias("p"), secondary.alias("s")
     use_secondary = F.col(f"p.{pivot_col}").isNull()
     cols: list[Column] = [
         F.coalesce(F.col(f"s.{c}"), F.lit(0)).cast(t).alias(c) for c, t in zero_cols

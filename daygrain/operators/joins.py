@@ -2,10 +2,19 @@
 
 Every dimension of the reference (stations, one weather row per day,
 holiday and restriction calendars) is bounded by the number of stations or
-calendar days, not by trip volume.  A dimension is broadcast only after a
-row-count bound has been proven (``limit(n + 1).count()`` stops reading as
-soon as the bound is exceeded); beyond the bound the join falls back to a
-shuffle join, where adaptive execution splits skewed partitions.
+calendar days, not by trip volume.  Two cases:
+
+* a trip-sized table joined to a dimension (T10's role joins): the
+  dimension is broadcast only after a row-count bound has been proven
+  (``limit(n + 1).count()`` stops reading as soon as the bound is
+  exceeded); beyond the bound the join falls back to a shuffle join, where
+  adaptive execution splits skewed partitions.  The explicit hint matters
+  because a derived dimension (an aggregate, a window) carries no row
+  count, so the static planner cannot see that it is small;
+* a day-level table joined to a day-level dimension (calendar flags, weather
+  after aggregation): both sides hold thousands of rows; Spark's own size
+  estimate and adaptive execution's runtime statistics choose the strategy,
+  without an extra job.
 """
 
 from __future__ import annotations
@@ -32,10 +41,23 @@ def size_checked(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFram
     return F.broadcast(dim) if within_rows(dim, max_rows) else dim
 
 
+def duplicated_keys(df: DataFrame, key: Sequence[Column | str]) -> DataFrame:
+    """Key values that occur more than once (nulls count as a key)."""
+    return df.groupBy(*key).count().filter(F.col("count") > 1).select(F.lit(1).alias("dup"))
+
+
 def is_keyed(df: DataFrame, key: Sequence[Column | str]) -> bool:
-    """Q2 as a predicate: no two rows share ``key`` (nulls count as a key)."""
-    dup = df.groupBy(*key).count().filter(F.col("count") > 1)
-    return dup.limit(1).count() == 0
+    """Q2 as a predicate: no two rows share ``key``."""
+    return duplicated_keys(df, key).limit(1).count() == 0
+
+
+def all_keyed(*checks: tuple[DataFrame, Sequence[Column | str]]) -> bool:
+    """``is_keyed`` for several tables in one Spark job."""
+    dups = [duplicated_keys(df, key) for df, key in checks]
+    u = dups[0]
+    for d in dups[1:]:
+        u = u.unionByName(d)
+    return u.limit(1).count() == 0
 
 
 STATION_ROLE_COLUMNS = [
@@ -88,7 +110,7 @@ def enrich_trips(trips: DataFrame, stations: DataFrame, weather: DataFrame) -> D
 
 def holiday_flag(df: DataFrame, date_col: str, holidays: DataFrame, out: str = "is_holiday") -> DataFrame:
     """J7 + A25 + F6: ``is_holiday`` from a left join on the distinct holiday dates."""
-    h = size_checked(holidays.select(F.col("holiday_date").alias("_hday")).distinct())
+    h = holidays.select(F.col("holiday_date").alias("_hday")).distinct()
     joined = df.join(h, F.col(date_col) == F.col("_hday"), "left")
     return joined.withColumn(out, F.coalesce(F.col("_hday").isNotNull(), F.lit(False))).drop("_hday")
 
@@ -97,12 +119,10 @@ def restriction_flag(
     df: DataFrame, date_col: str, restrictions: DataFrame, out: str = "has_covid_restrictions"
 ) -> DataFrame:
     """Monthly flag joined on (year, month) of the day; missing -> false."""
-    r = size_checked(
-        restrictions.select(
-            F.col("restrictions").alias("_rflag"),
-            dates.year("report_date").alias("_ry"),
-            dates.month("report_date").alias("_rm"),
-        )
+    r = restrictions.select(
+        F.col("restrictions").alias("_rflag"),
+        dates.year("report_date").alias("_ry"),
+        dates.month("report_date").alias("_rm"),
     )
     cond = (dates.year(date_col) == F.col("_ry")) & (dates.month(date_col) == F.col("_rm"))
     joined = df.join(r, cond, "left")

@@ -85,9 +85,10 @@ DAILY_COLUMNS = (
 
 
 def dimensions_keyed(stations: DataFrame, weather: DataFrame) -> bool:
-    """True when no station id (as bigint) and no weather day repeats."""
-    return joins.is_keyed(stations, [F.col("station_id").cast("bigint")]) and joins.is_keyed(
-        weather, [F.to_date("date_time")]
+    """True when no station id (as bigint) and no weather day repeats (one job)."""
+    return joins.all_keyed(
+        (stations, [F.col("station_id").cast("bigint")]),
+        (weather, [F.to_date("date_time")]),
     )
 
 
@@ -101,7 +102,8 @@ def daily_base(
         plan = "aggregate_first" if dimensions_keyed(stations_clean(inp), wx) else "join_first"
     if plan == "aggregate_first":
         base = aggregate.daily_measures(clean, distinct=distinct)
-        wday = joins.size_checked(aggregate.weather_by_day(wx))
+        # day rows joined to day rows: no trip-sized side, so no hint needed
+        wday = aggregate.weather_by_day(wx)
         base = base.join(wday, base["trip_date"] == wday["_wday"], "left").drop("_wday")
         best = aggregate.top_pair(clean, top)
     elif plan == "join_first":
