@@ -10,6 +10,8 @@ as a seed file read with ``sources.files.load_seed``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import HOLIDAY_SEED_DDL, RESTRICTION_SEED_DDL
 
@@ -61,9 +63,28 @@ def restriction_rows() -> list[tuple]:
     return rows
 
 
+def _sql_literal(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small inline table as a SQL ``VALUES`` relation.
+
+    Unlike ``createDataFrame`` (an RDD of unknown size), a ``VALUES``
+    relation carries its exact size, so the planner broadcasts it on its own.
+    """
+    schema = T.StructType.fromDDL(ddl)
+    names = [f.name for f in schema.fields]
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def holiday_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(holiday_rows(), HOLIDAY_SEED_DDL)
+    return local_table(spark, holiday_rows(), HOLIDAY_SEED_DDL)
 
 
 def restriction_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(restriction_rows(), RESTRICTION_SEED_DDL)
+    return local_table(spark, restriction_rows(), RESTRICTION_SEED_DDL)

@@ -18,7 +18,8 @@ def test_daily_plan_prunes_and_pushes_down(spark):
         assert col not in plan
     # no Expand for the distinct counts in the default plan
     assert "Expand" not in plan
-    # dimensions and calendars are broadcast after their size check; no trip-sized sort-merge join
+    # day-level joins and exact-size calendars (VALUES relations) are broadcast;
+    # nothing trip-sized is shuffled for a join
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
 
