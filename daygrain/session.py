@@ -56,6 +56,31 @@ def get_session(
     return spark
 
 
+MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, total_cores: int, split_mb: int = 512, shuffle_mb: int = 256) -> dict[str, str]:
+    """Partition settings for a cluster run, sized from the scanned volume.
+
+    * scan splits of ``split_mb`` (100 TB / 512 MB = ~200k scan tasks, ~25
+      waves on 8,000 cores), so each task's partial-aggregation hash map
+      stays small and a lost executor costs seconds of rework;
+    * initial shuffle partitions: enough for ``shuffle_mb`` per reducer if
+      a tenth of the input survived map-side aggregation (the (day, value)
+      dedupes are the widest shuffles here), never fewer than 2x the cores;
+      adaptive execution then coalesces small partitions and splits skewed
+      ones towards ``shuffle_mb``.
+    """
+    shuffle_parts = max(2 * total_cores, input_bytes // 10 // (shuffle_mb * MB))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
+        "spark.sql.shuffle.partitions": str(int(shuffle_parts)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{shuffle_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * shuffle_mb}m",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 

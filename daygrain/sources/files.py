@@ -43,10 +43,32 @@ def _header_of(spark: SparkSession, path: str, sep: str) -> tuple[str, ...]:
     return tuple(next(csv.reader(io.StringIO(line[0].value), delimiter=sep)))
 
 
-def headers_by_file(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[str, tuple[str, ...]]:
-    """First line of every file (one tiny job per file, run concurrently)."""
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        return dict(zip(paths, pool.map(lambda p: _header_of(spark, p, sep), paths)))
+def headers_by_file(
+    spark: SparkSession, paths: Sequence[str], sep: str = ",", per: str = "file"
+) -> dict[str, tuple[str, ...]]:
+    """Header line of every file.
+
+    ``per="file"`` reads the first line of every file (one tiny job per file,
+    run concurrently; only the first split of each file is opened).
+    ``per="directory"`` reads one file per folder and assumes the folder's
+    files share it, which keeps the number of jobs at the number of export
+    batches when there are tens of thousands of files.
+    """
+    if per == "file":
+        probes = list(paths)
+    elif per == "directory":
+        first: dict[str, str] = {}
+        for p in paths:
+            first.setdefault(p.rsplit("/", 1)[0], p)
+        probes = list(first.values())
+    else:
+        raise ValueError(f"unknown header mode {per!r}")
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        found = dict(zip(probes, pool.map(lambda p: _header_of(spark, p, sep), probes)))
+    if per == "file":
+        return found
+    by_dir = {p.rsplit("/", 1)[0]: h for p, h in found.items()}
+    return {p: by_dir[p.rsplit("/", 1)[0]] for p in paths}
 
 
 def _valid(raw: str, typ: str, parse: str | None) -> Column:
@@ -64,6 +86,7 @@ def read_csv_aligned(
     bad_rows: str = "drop",
     null_value: str | None = None,
     sep: str = ",",
+    headers: str = "file",
 ) -> DataFrame:
     """Raw text columns named by their raw headers.
 
@@ -80,7 +103,7 @@ def read_csv_aligned(
     wanted = [c[0] for c in columns]
     paths = list_files(spark, pattern)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in headers_by_file(spark, paths, sep).items():
+    for path, header in headers_by_file(spark, paths, sep, headers).items():
         if header:
             groups.setdefault(header, []).append(path)
     parts = []

@@ -144,3 +144,8 @@ def test_json_map_parse(spark):
     df = spark.createDataFrame([('{"k": 69, "o": {"x": 1}}',)], "props string")
     row = df.select(staging.parse_json_map("props").alias("m")).collect()[0]
     assert row.m["k"] == "69" and json.loads(row.m["o"]) == {"x": 1}
+
+
+def test_csv_headers_per_directory(spark, trip_files):
+    raw = files.read_csv_aligned(spark, trip_files, TRIP_COLUMNS, headers="directory")
+    assert sorted(r.trip_id for r in staging.stage_trips(raw).collect()) == [1, 2, 8]
