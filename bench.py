@@ -32,9 +32,23 @@ HEADLINE = {
 VARIANTS = {
     "t11_daily_fused_struct": "t11_daily_features_fused_struct",
     "t11_daily_join_first": "t11_daily_features_join_first",
+    "a05_distinct_fused": "a05_count_distinct_fused",
+    "o02_top_pair_struct": "o02_top_pair_struct",
 }
 
 
+def plan_facts(df) -> dict:
+    """Scan, shuffle and Expand counts of the physical plan (before AQE re-planning)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {
+        "parquet_scans": plan.count("FileScan parquet"),
+        "exchanges": plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition")
+        + plan.count("Exchange rangepartitioning"),
+        "broadcasts": plan.count("BroadcastExchange"),
+        "expand": plan.count("Expand ["),
+    }
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -53,9 +67,12 @@ def main() -> None:
     ensure_shared_dir(spark, tempfile.mkdtemp(prefix="dg-bench-", dir="/tmp"))
     reg = registry()
     timings: dict[str, float] = {}
+    facts: dict[str, dict] = {}
     for label, name in {**HEADLINE, **VARIANTS}.items():
         q = reg[name]
-        run(q.run(spark, sf_dir))  # warm-up (JIT, file listing, broadcast checks)
+        warm = q.run(spark, sf_dir)
+        facts[label] = plan_facts(warm)
+        run(warm)  # warm-up (JIT, file listing, broadcast checks)
         best = float("inf")
         for _ in range(repeat):
             t0 = time.perf_counter()
@@ -72,6 +89,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": timings,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+                "plans": facts,
             }
         )
     )

@@ -25,7 +25,6 @@ from .plans import tables
 class Query:
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None
-    doubles: tuple[str, ...] = ()
 
 
 def _final(table: str, doubles) -> str:
@@ -145,10 +144,23 @@ def q_percentiles(spark, sf_dir):
     )
 
 
+def q_distinct_counts_fused(spark, sf_dir):
+    """A5, fused plan: three ``count(distinct)`` in one aggregation (Catalyst Expand)."""
+    clean = tables.trips_clean(_inputs(spark, sf_dir))
+    return clean.groupBy(aggregate.trip_day()).agg(
+        *[F.count_distinct(c).alias(n) for c, n in aggregate.DISTINCT_COUNTS]
+    )
+
+
 def q_top_pair(spark, sf_dir):
     return aggregate.top_pair(tables.trips_clean(_inputs(spark, sf_dir)))
 
 
+def q_top_pair_struct(spark, sf_dir):
+    """O2 as a ``min(struct)`` aggregate instead of a ranking window."""
+    return aggregate.top_pair(tables.trips_clean(_inputs(spark, sf_dir)), "struct")
+
+
 def q_pair_counts(spark, sf_dir):
     return aggregate.pair_counts(tables.trips_clean(_inputs(spark, sf_dir)))
 
@@ -284,5 +296,7 @@ WHERE rk = 1""",
             "json_extract_string(props, '$.k') AS k_text FROM events",
         ),
     }
+    reg["a05_count_distinct_fused"] = Query(q_distinct_counts_fused, reg["a05_count_distinct"].sql)
+    reg["o02_top_pair_struct"] = Query(q_top_pair_struct, reg["o02_top_pair"].sql)
     reg.update(catalog_more.registry())
     return reg
