@@ -115,6 +115,16 @@ def q_daily_join_first(spark, sf_dir):
     return round_doubles(_daily(spark, sf_dir, plan="join_first"))
 
 
+def q_daily_bucketed(spark, sf_dir):
+    """Same table with the feature windows spread over 500-day buckets (halo of 30 rows)."""
+    return round_doubles(_daily(spark, sf_dir, bucket_rows=500))
+
+
+def q_weekly_bucketed(spark, sf_dir):
+    """Weekly table with windows over 150-week buckets (halo of 104 rows)."""
+    return round_doubles(tables.period_features(_daily(spark, sf_dir), "week", bucket_rows=150))
+
+
 def q_weekly(spark, sf_dir):
     return round_doubles(tables.weekly_features(_daily(spark, sf_dir)))
 
@@ -245,6 +255,8 @@ def registry() -> dict[str, Query]:
         "t11_daily_features_fused_struct": Query(q_daily_fused_struct, _sql("daily", DAILY_DOUBLES)),
         "t11_daily_features_join_first": Query(q_daily_join_first, _sql("daily", DAILY_DOUBLES)),
         "t12_weekly_features": Query(q_weekly, _sql("weekly", WEEKLY_DOUBLES)),
+        "t11_daily_features_bucketed_windows": Query(q_daily_bucketed, _sql("daily", DAILY_DOUBLES)),
+        "t12_weekly_features_bucketed_windows": Query(q_weekly_bucketed, _sql("weekly", WEEKLY_DOUBLES)),
         "t13_monthly_features": Query(q_monthly, _sql("monthly", MONTHLY_DOUBLES)),
         "a05_count_distinct": Query(
             q_distinct_counts,

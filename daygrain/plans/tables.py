@@ -122,16 +122,28 @@ def daily_features(
     distinct: str = "split",
     top: str = "window",
     plan: str = "auto",
+    bucket_rows: int | None = None,
 ) -> DataFrame:
-    """One row per observed day, 68 columns."""
+    """One row per observed day, 68 columns.
+
+    ``bucket_rows`` spreads the feature windows over buckets of consecutive
+    days with a halo (``windows.add_features_bucketed``); by default the
+    few thousand day rows are windowed in one partition.
+    """
     daily = daily_base(inp, distinct=distinct, top=top, plan=plan)
     daily = daily.withColumns(dates.calendar_columns("trip_date", weekend))
-    daily = windows.add_features(daily, windows.daily_spec())
+    daily = _with_features(daily, windows.daily_spec(), bucket_rows)
     daily = joins.holiday_flag(daily, "trip_date", inp.holidays)
     daily = joins.restriction_flag(daily, "trip_date", inp.restrictions)
     return daily.select(*DAILY_COLUMNS)
 
 
+def _with_features(df: DataFrame, spec: windows.FeatureSpec, bucket_rows: int | None) -> DataFrame:
+    if bucket_rows:
+        return windows.add_features_bucketed(df, spec, bucket_rows)
+    return windows.add_features(df, spec)
+
+
 def period_columns(unit: str) -> list[str]:
     key = aggregate.PERIOD_KEYS[unit]
     time = ["year", "week_of_year", "month_num", "days_in_week"] if unit == "week" else [
@@ -148,10 +160,11 @@ def period_columns(unit: str) -> list[str]:
     return [key] + time + measures + windows.period_spec(unit).names()
 
 
-def period_features(daily: DataFrame, unit: str) -> DataFrame:
+def period_features(daily: DataFrame, unit: str, bucket_rows: int | None = None) -> DataFrame:
     """T12 (``week``) / T13 (``month``) from the daily table."""
     rolled = aggregate.rollup_period(daily, unit)
-    return windows.add_features(rolled, windows.period_spec(unit)).select(*period_columns(unit))
+    spec = windows.period_spec(unit)
+    return _with_features(rolled, spec, bucket_rows).select(*period_columns(unit))
 
 
 def weekly_features(daily: DataFrame) -> DataFrame:

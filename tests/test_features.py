@@ -84,3 +84,26 @@ def test_partitioned_series(spark):
     s = windows.FeatureSpec("t", "d", ("k",)).lags("total_trips__leaky", "trips", [1])
     got = {(r.k, r.t): r.trips_lag_1d for r in windows.add_features(df, s).collect()}
     assert got == {("a", 1): None, ("a", 2): 1, ("b", 1): None, ("b", 2): 10}
+
+
+def test_bucketed_features_equal_global_window(spark):
+    day, rows = dt.date(2020, 1, 1), []
+    for i in range(400):  # strictly increasing dates with gaps of 1-3 days
+        day += dt.timedelta(days=1 + i % 3)
+        rows.append((day, (i * 7919) % 97))
+    df = spark.createDataFrame(rows, "trip_date date, total_trips__leaky bigint")
+    s = windows.daily_spec()
+    s = windows.FeatureSpec("trip_date", "d", (), [f for f in s.features if f.source == "total_trips__leaky"])
+    want = {r.trip_date: r.asDict() for r in windows.add_features(df, s).collect()}
+    got = {r.trip_date: r.asDict() for r in windows.add_features_bucketed(df, s, bucket_rows=45).collect()}
+    assert windows.lookback(s) == 30
+    assert set(got) == set(want)
+    for k, row in want.items():
+        assert got[k] == pytest.approx(row), k
+
+
+def test_global_row_index(spark):
+    df = spark.createDataFrame([(dt.date(2020, m, d),) for m in (1, 3, 7) for d in (5, 1, 9)], "d date")
+    idx = windows.global_row_index(df, "d", F.trunc("d", "MM"))
+    got = [r._idx for r in idx.orderBy("d").collect()]
+    assert got == list(range(9))
