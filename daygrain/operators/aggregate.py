@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..functions.exprs import share
 
+# ---------------------------------------------------------------------------
+# Fixed values that must equal the reference: the two user-type labels and
+# the output column names of the daily measures, in reference order.
+# ---------------------------------------------------------------------------
 MEMBER = "Annual Member"
 CASUAL = "Casual Member"
 
@@ -44,6 +48,7 @@ TOP_PAIR_COLUMNS = [
     "top_start_station_id__leaky", "top_start_station_trips__leaky",
     "top_end_station_id__leaky", "top_end_station_trips__leaky",
 ]
+# ---------------------------------------------------------------------------
 
 DISTINCT_COUNTS = [
     ("bike_id", "unique_bikes__leaky"),

@@ -145,6 +145,11 @@ def _with_features(df: DataFrame, spec: windows.FeatureSpec, bucket_rows: int |
 
 
 def period_columns(unit: str) -> list[str]:
+    """Output columns of the weekly / monthly table, in reference order.
+
+    Fixed values that must equal the reference: the period key, time and
+    measure column names; the feature names follow from ``period_spec``.
+    """
     key = aggregate.PERIOD_KEYS[unit]
     time = ["year", "week_of_year", "month_num", "days_in_week"] if unit == "week" else [
         "year", "month_num", "month_name", "quarter", "days_in_month"]
