@@ -122,6 +122,7 @@ def daily_measures(
     *,
     distinct: str = "split",
     weather_columns: bool = False,
+    distinct_source: DataFrame | None = None,
 ) -> DataFrame:
     """A1-A13 per day from clean (or enriched) trips.
 
@@ -141,7 +142,10 @@ def daily_measures(
 
     ``weather_columns=True`` expects the ``weather_*`` columns of T10 and
     picks them per day (A12); otherwise weather is joined after the
-    aggregation by the caller.
+    aggregation by the caller.  ``distinct_source`` (split plan only) takes
+    the distinct counts from another frame with the same values per day:
+    left-join fan-out repeats rows but never adds values, so the enriched
+    table's distinct counts equal the clean trips' ones.
     """
     aggs = _regular_aggs()
     if weather_columns:
@@ -153,8 +157,9 @@ def daily_measures(
     elif distinct == "split":
         out = trips.groupBy(trip_day()).agg(*aggs)
         out = out.join(duration_quartiles(trips), "trip_date", "left")
+        source = trips if distinct_source is None else distinct_source
         for c, n in DISTINCT_COUNTS:
-            out = out.join(distinct_per_day(trips, c, n), "trip_date", "left")
+            out = out.join(distinct_per_day(source, c, n), "trip_date", "left")
     else:
         raise ValueError(f"unknown distinct strategy {distinct!r}")
     out = out.withColumns(

@@ -108,7 +108,9 @@ def daily_base(
         best = aggregate.top_pair(clean, top)
     elif plan == "join_first":
         enriched = joins.enrich_trips(clean, stations_clean(inp), wx)
-        base = aggregate.daily_measures(enriched, distinct=distinct, weather_columns=True)
+        base = aggregate.daily_measures(
+            enriched, distinct=distinct, weather_columns=True, distinct_source=clean
+        )
         best = aggregate.top_pair(enriched, top)
     else:
         raise ValueError(f"unknown plan {plan!r}")

@@ -57,3 +57,18 @@ def test_null_filter_reaches_the_scan_of_a_trips_table(spark):
     plan = plan_of(tables.daily_features(inp2))
     assert "PushedFilters: [IsNotNull(trip_duration)]" in plan
     assert "ReadSchema: struct<trip_duration:bigint,start_time:timestamp_ntz,user_type:string>" in plan
+
+
+def test_trip_level_aggregations_combine_before_the_shuffle(spark):
+    """Skew: every aggregation over trip rows has a partial step ahead of its exchange."""
+    inp = tables.role_inputs(spark, SF001)
+    plan = tables.daily_features(inp)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan parquet" in line and "lineitem" in line]
+    assert len(scans) == 6
+    for i in scans:
+        # walking up from the scan, the first aggregate comes before the first exchange
+        above = lines[:i][::-1]
+        first_agg = next(j for j, line in enumerate(above) if "HashAggregate" in line)
+        first_exchange = next(j for j, line in enumerate(above) if "Exchange" in line)
+        assert first_agg < first_exchange
