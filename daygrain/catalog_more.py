@@ -11,7 +11,7 @@ from .operators import quality, staging
 from .plans import checks, marts, modeling, tables
 from .schemas import TRIP_COLUMNS, station_schema
 from .session import scratch_path
-from .sources import files, sinks
+from .sources import files, roles, sinks
 
 DOUBLES = {"daily": catalog.DAILY_DOUBLES, "weekly": catalog.WEEKLY_DOUBLES, "monthly": catalog.MONTHLY_DOUBLES}
 
@@ -57,43 +57,22 @@ def _weather_from_csv(spark, roles_inp: tables.Inputs, root: str):
     signs included) and read back strictly (any bad row fails the job)."""
     from .schemas import WEATHER_PRIMARY_COLUMNS, WEATHER_SECONDARY_COLUMNS
 
-    files.write_raw_csv(roles_inp.weather_primary, f"{root}/wx_primary", WEATHER_PRIMARY_COLUMNS)
-    files.write_raw_csv(roles_inp.weather_secondary, f"{root}/wx_secondary", WEATHER_SECONDARY_COLUMNS)
+    paths = roles.render_weather_files(roles_inp, root)
     primary = staging.stage_weather(
-        files.read_csv_aligned(spark, f"{root}/wx_primary/*.csv", WEATHER_PRIMARY_COLUMNS, bad_rows="fail"))
+        files.read_csv_aligned(spark, paths["weather_primary"], WEATHER_PRIMARY_COLUMNS, bad_rows="fail"))
     secondary = staging.stage_weather(
-        files.read_csv_aligned(spark, f"{root}/wx_secondary/*.csv", WEATHER_SECONDARY_COLUMNS, bad_rows="fail"),
+        files.read_csv_aligned(spark, paths["weather_secondary"], WEATHER_SECONDARY_COLUMNS, bad_rows="fail"),
         secondary=True)
     return primary, secondary
 
 
 def raw_file_inputs(spark, sf_dir) -> tables.Inputs:
     """Every role rendered in its raw file layout below the shared folder and
-    read back through the file sources: trips CSV in two header layouts,
-    station JSON lines, two weather CSVs, and the two seed CSVs."""
-    from .schemas import HOLIDAY_SEED_DDL, RESTRICTION_SEED_DDL
-    from .sources import calendars
+    read back through the file sources (the same path as the command line)."""
+    from .cli import inputs_from_files
 
-    roles_inp = tables.role_inputs(spark, sf_dir)
-    root = scratch_path(spark, "raw")
-    canonical = [c[0] for c in TRIP_COLUMNS]
-    even = F.col("trip_id") % 2 == 0
-    files.write_raw_csv(roles_inp.trips.filter(even), f"{root}/trips/bikeshare-ridership-a", TRIP_COLUMNS)
-    files.write_raw_csv(roles_inp.trips.filter(~even), f"{root}/trips/bikeshare-ridership-b", TRIP_COLUMNS,
-                        canonical[::-1])
-    roles_inp.stations.write.mode("overwrite").json(f"{root}/stations")
-    primary, secondary = _weather_from_csv(spark, roles_inp, root)
-    calendars.holiday_seed(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/hol")
-    calendars.restriction_seed(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/cov")
-    return tables.Inputs(
-        trips=staging.stage_trips(
-            files.read_csv_aligned(spark, f"{root}/trips/bikeshare-ridership-*/*.csv", TRIP_COLUMNS)),
-        stations=staging.stage_stations(files.read_json_records(spark, f"{root}/stations", station_schema())),
-        weather_primary=primary,
-        weather_secondary=secondary,
-        holidays=staging.stage_holidays(files.load_seed(spark, f"{root}/hol", HOLIDAY_SEED_DDL)),
-        restrictions=staging.stage_restrictions(files.load_seed(spark, f"{root}/cov", RESTRICTION_SEED_DDL)),
-    )
+    paths = roles.render_raw_files(spark, tables.role_inputs(spark, sf_dir), scratch_path(spark, "raw"))
+    return inputs_from_files(spark, **paths)
 
 
 def q_daily_from_raw_files(spark, sf_dir):

@@ -45,6 +45,13 @@ MART_V2 = {
 }
 
 
+def model_names() -> list[str]:
+    """Every model a ``Project`` can build, parents before children."""
+    names = ["int_trips_clean", "int_stations_clean", "int_weather_clean", "int_enriched_trips",
+             "int_daily", "int_weekly", "int_monthly"]
+    return names + [f"fct_trips_{g}_{v}" for g in GRAIN_KEYS for v in ("v1", "v2")]
+
+
 def grain_columns(grain: str) -> list[str]:
     if grain == "daily":
         return list(tables.DAILY_COLUMNS)
@@ -97,6 +104,7 @@ class Project:
                     [parent],
                     (lambda p=parent, g=grain, v=version: mart(self.ref(p), g, v)),
                 )
+        assert list(self._builders) == model_names()
 
     @property
     def names(self) -> list[str]:

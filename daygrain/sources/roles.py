@@ -160,3 +160,42 @@ def weather_secondary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON properties (X19): ``events.props`` holds small JSON objects."""
     return _read(spark, sf_dir, "events")
+
+
+def render_weather_files(inp, root: str) -> dict[str, str]:
+    """Write both weather roles as raw CSV (reference headers); returns globs."""
+    from ..schemas import WEATHER_PRIMARY_COLUMNS, WEATHER_SECONDARY_COLUMNS
+    from .files import write_raw_csv
+
+    write_raw_csv(inp.weather_primary, f"{root}/wx_primary", WEATHER_PRIMARY_COLUMNS)
+    write_raw_csv(inp.weather_secondary, f"{root}/wx_secondary", WEATHER_SECONDARY_COLUMNS)
+    return {"weather_primary": f"{root}/wx_primary/*.csv", "weather_secondary": f"{root}/wx_secondary/*.csv"}
+
+
+def render_raw_files(spark: SparkSession, inp, root: str) -> dict[str, str]:
+    """Write staged role inputs in the reference's raw layouts below ``root``.
+
+    Trips go to two folders of header CSV, the second with its columns in
+    reverse order; stations to JSON lines; weather to raw CSV; the calendars
+    to seed CSVs.  Returns the paths / globs to read them back with.
+    """
+    from ..schemas import TRIP_COLUMNS
+    from .files import write_raw_csv
+
+    canonical = [c[0] for c in TRIP_COLUMNS]
+    even = F.col("trip_id") % 2 == 0
+    write_raw_csv(inp.trips.filter(even), f"{root}/trips/bikeshare-ridership-a", TRIP_COLUMNS)
+    write_raw_csv(inp.trips.filter(~even), f"{root}/trips/bikeshare-ridership-b", TRIP_COLUMNS, canonical[::-1])
+    inp.stations.write.mode("overwrite").json(f"{root}/stations")
+    paths = render_weather_files(inp, root)
+    from . import calendars
+
+    calendars.holiday_seed(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/hol")
+    calendars.restriction_seed(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/cov")
+    paths.update(
+        trips=f"{root}/trips/bikeshare-ridership-*/*.csv",
+        stations=f"{root}/stations",
+        holidays=f"{root}/hol",
+        restrictions=f"{root}/cov",
+    )
+    return paths

@@ -88,3 +88,22 @@ def test_modelling_handoff(spark, project):
     assert -10 < score <= 1
     top = modeling.top_features(modeling.importances(model, feats), 5).collect()
     assert len(top) == 5 and top[0].importance >= top[-1].importance
+
+
+def test_command_line_build_and_test(spark, tmp, capsys):
+    from daygrain import cli
+    from daygrain.sources import roles
+
+    paths = roles.render_raw_files(spark, tables.role_inputs(spark, SF001), f"{tmp}/raw")
+    args = []
+    for key in ("trips", "stations", "weather_primary", "weather_secondary", "holidays", "restrictions"):
+        args += [f"--{key.replace('_', '-')}", paths[key]]
+    out, exp = f"{tmp}/models", f"{tmp}/exports"
+    assert cli.main(["build", *args, "--select", "+fct_trips_weekly_v2", "--out", out, "--export", exp],
+                    spark=spark) == 0
+    assert "fct_trips_weekly_v2\t13 columns" in capsys.readouterr().out
+    back = spark.read.parquet(f"{out}/fct_trips_weekly_v2")
+    assert back.count() == tables.weekly_features(tables.daily_features(tables.role_inputs(spark, SF001))).count()
+    assert cli.main(["test", *args, "--select", "fct_trips_weekly_v1"], spark=spark) == 0
+    assert "PASS\tfct_trips_weekly_v1\tunique\tweek_start_date\t0" in capsys.readouterr().out
+    assert cli.main(["list"]) == 0
