@@ -201,7 +201,9 @@ def q_json_map(spark, sf_dir):
     """JSON object text -> map<string,string>, then a key lookup."""
     from .operators.staging import parse_json_map
 
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    from .sources import roles
+
+    ev = roles.events(spark, sf_dir)
     m = parse_json_map("props")
     return ev.select(
         "event_id",

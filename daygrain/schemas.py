@@ -114,11 +114,6 @@ def ddl(columns) -> str:
     return ", ".join(f"`{c[1]}` {c[2]}" for c in columns)
 
 
-def raw_text_schema(columns) -> T.StructType:
-    """All-text schema keyed by raw header: the tolerant CSV read."""
-    return T.StructType([T.StructField(c[0], T.StringType(), True) for c in columns])
-
-
 def station_schema() -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in STATION_FIELDS))
 
