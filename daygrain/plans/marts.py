@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 
+from ..operators import joins
 from ..sources import sinks
 from . import tables
 
@@ -78,7 +79,8 @@ class Project:
     materialises the selected models and, with ``out_dir``, writes each one
     as Parquet and continues from the written table (S10), which also cuts
     the lineage between layers the way the reference's table
-    materialisation does.
+    materialisation does.  The daily model reads the cleaned models, so a
+    build with parents parses raw CSV once and aggregates Parquet.
     """
 
     def __init__(self, inputs: tables.Inputs, **options):
@@ -91,9 +93,17 @@ class Project:
             "int_weather_clean": ([], lambda: tables.weather_clean(inputs)),
             "int_enriched_trips": (
                 ["int_trips_clean", "int_stations_clean", "int_weather_clean"],
-                lambda: tables.enriched_trips(inputs),
+                lambda: joins.enrich_trips(
+                    self.ref("int_trips_clean"), self.ref("int_stations_clean"), self.ref("int_weather_clean")
+                ),
+            ),
+            "int_daily": (
+                ["int_trips_clean", "int_stations_clean", "int_weather_clean"],
+                lambda: tables.daily_features_from(
+                    self.ref("int_trips_clean"), self.ref("int_stations_clean"), self.ref("int_weather_clean"),
+                    inputs.holidays, inputs.restrictions, **options,
+                ),
             ),
-            "int_daily": ([], lambda: tables.daily_features(inputs, **options)),
             "int_weekly": (["int_daily"], lambda: tables.weekly_features(self.ref("int_daily"))),
             "int_monthly": (["int_daily"], lambda: tables.monthly_features(self.ref("int_daily"))),
         }

@@ -96,10 +96,23 @@ def daily_base(
     inp: Inputs, *, distinct: str = "split", top: str = "window", plan: str = "auto"
 ) -> DataFrame:
     """Per-day measures, weather and busiest pair (before features)."""
-    clean = trips_clean(inp)
-    wx = weather_clean(inp)
+    return daily_base_from(
+        trips_clean(inp), stations_clean(inp), weather_clean(inp), distinct=distinct, top=top, plan=plan
+    )
+
+
+def daily_base_from(
+    clean: DataFrame,
+    stations: DataFrame,
+    wx: DataFrame,
+    *,
+    distinct: str = "split",
+    top: str = "window",
+    plan: str = "auto",
+) -> DataFrame:
+    """``daily_base`` from cleaned trips, stations and weather."""
     if plan == "auto":
-        plan = "aggregate_first" if dimensions_keyed(stations_clean(inp), wx) else "join_first"
+        plan = "aggregate_first" if dimensions_keyed(stations, wx) else "join_first"
     if plan == "aggregate_first":
         base = aggregate.daily_measures(clean, distinct=distinct)
         # day rows joined to day rows: no trip-sized side, so no hint needed
@@ -107,7 +120,7 @@ def daily_base(
         base = base.join(wday, base["trip_date"] == wday["_wday"], "left").drop("_wday")
         best = aggregate.top_pair(clean, top)
     elif plan == "join_first":
-        enriched = joins.enrich_trips(clean, stations_clean(inp), wx)
+        enriched = joins.enrich_trips(clean, stations, wx)
         base = aggregate.daily_measures(
             enriched, distinct=distinct, weather_columns=True, distinct_source=clean
         )
@@ -117,8 +130,19 @@ def daily_base(
     return base.join(best, "trip_date", "left")
 
 
-def daily_features(
-    inp: Inputs,
+def daily_features(inp: Inputs, **options) -> DataFrame:
+    """One row per observed day, 68 columns (see ``daily_features_from``)."""
+    return daily_features_from(
+        trips_clean(inp), stations_clean(inp), weather_clean(inp), inp.holidays, inp.restrictions, **options
+    )
+
+
+def daily_features_from(
+    clean: DataFrame,
+    stations: DataFrame,
+    wx: DataFrame,
+    holidays: DataFrame,
+    restrictions: DataFrame,
     *,
     weekend: str = "reference",
     distinct: str = "split",
@@ -126,17 +150,20 @@ def daily_features(
     plan: str = "auto",
     bucket_rows: int | None = None,
 ) -> DataFrame:
-    """One row per observed day, 68 columns.
+    """T11 from the cleaned tables (T7-T9) and the staged calendars.
 
+    Taking the cleaned tables lets a build continue from their written
+    Parquet copies: raw CSV is parsed once, and the six trip-level
+    aggregations read pruned columns of a columnar table.
     ``bucket_rows`` spreads the feature windows over buckets of consecutive
     days with a halo (``windows.add_features_bucketed``); by default the
     few thousand day rows are windowed in one partition.
     """
-    daily = daily_base(inp, distinct=distinct, top=top, plan=plan)
+    daily = daily_base_from(clean, stations, wx, distinct=distinct, top=top, plan=plan)
     daily = daily.withColumns(dates.calendar_columns("trip_date", weekend))
     daily = _with_features(daily, windows.daily_spec(), bucket_rows)
-    daily = joins.holiday_flag(daily, "trip_date", inp.holidays)
-    daily = joins.restriction_flag(daily, "trip_date", inp.restrictions)
+    daily = joins.holiday_flag(daily, "trip_date", holidays)
+    daily = joins.restriction_flag(daily, "trip_date", restrictions)
     return daily.select(*DAILY_COLUMNS)
 
 

@@ -25,7 +25,9 @@ def test_mart_column_counts():
 
 
 def test_selector(project):
-    assert project.select("+fct_trips_weekly_v2") == ["int_daily", "int_weekly", "fct_trips_weekly_v2"]
+    assert project.select("+fct_trips_weekly_v2") == [
+        "int_trips_clean", "int_stations_clean", "int_weather_clean", "int_daily", "int_weekly",
+        "fct_trips_weekly_v2"]
     assert project.select("v2") == ["fct_trips_daily_v2", "fct_trips_weekly_v2", "fct_trips_monthly_v2"]
     assert set(project.select("int_")) >= {"int_daily", "int_enriched_trips"}
     with pytest.raises(KeyError):
@@ -35,7 +37,7 @@ def test_selector(project):
 def test_build_export_and_read_back(spark, project):
     out, exp = scratch_path(spark, "models"), scratch_path(spark, "exports")
     built = project.build("+fct_trips_monthly_v2", out_dir=out, export_dir=exp)
-    assert list(built) == ["int_daily", "int_monthly", "fct_trips_monthly_v2"]
+    assert list(built)[-3:] == ["int_daily", "int_monthly", "fct_trips_monthly_v2"]
     mart = built["fct_trips_monthly_v2"]
     back = sinks.read_exported_csv(spark, f"{exp}/fct_trips_monthly_v2", mart.schema)
     assert back.count() == mart.count()
@@ -107,3 +109,11 @@ def test_command_line_build_and_test(spark, tmp, capsys):
     assert cli.main(["test", *args, "--select", "fct_trips_weekly_v1"], spark=spark) == 0
     assert "PASS\tfct_trips_weekly_v1\tunique\tweek_start_date\t0" in capsys.readouterr().out
     assert cli.main(["list"]) == 0
+
+
+def test_daily_model_reads_the_written_clean_tables(spark):
+    project = marts.Project(tables.role_inputs(spark, SF001))
+    out = scratch_path(spark, "models")
+    project.build(["int_trips_clean", "int_stations_clean", "int_weather_clean"], out_dir=out)
+    plan = project.ref("int_daily")._jdf.queryExecution().executedPlan().toString()
+    assert "int_trips_clean" in plan and "lineitem" not in plan and "orders.parquet" not in plan
