@@ -84,6 +84,7 @@ def role_join(
     prefix: str,
     cols: Sequence[str],
     max_rows: int = BROADCAST_MAX_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """J2 / J3 / J4 + P8: left-join one role of a dimension, prefixing its columns.
 
@@ -91,10 +92,14 @@ def role_join(
     the reference (text station id compared with a bigint) is computed once
     per dimension row; under ANSI a non-numeric id fails the job, as it does
     in the reference engine.  Right-side duplicates fan out, as in SQL.
+    ``small`` passes a row bound already proven for ``dim`` (one check
+    serves several roles of the same dimension).
     """
     tag = f"_{prefix}key"
     side = dim.select(dim_key.alias(tag), *[F.col(c).alias(f"{prefix}{c}") for c in cols])
-    side = size_checked(side, max_rows)
+    if small is None:
+        small = within_rows(side, max_rows)
+    side = F.broadcast(side) if small else side
     return facts.join(side, fact_key == F.col(tag), "left").drop(tag)
 
 
@@ -102,8 +107,11 @@ def enrich_trips(trips: DataFrame, stations: DataFrame, weather: DataFrame) -> D
     """Trips with start-station, end-station and weather roles (45 columns)."""
     t = trips.select(*TRIP_KEEP_COLUMNS)
     station_key = F.col("station_id").cast("bigint")
-    t = role_join(t, stations, F.col("start_station_id"), station_key, "start_station_", STATION_ROLE_COLUMNS)
-    t = role_join(t, stations, F.col("end_station_id"), station_key, "end_station_", STATION_ROLE_COLUMNS)
+    small = within_rows(stations, BROADCAST_MAX_ROWS)  # one check for both station roles
+    t = role_join(t, stations, F.col("start_station_id"), station_key, "start_station_",
+                  STATION_ROLE_COLUMNS, small=small)
+    t = role_join(t, stations, F.col("end_station_id"), station_key, "end_station_",
+                  STATION_ROLE_COLUMNS, small=small)
     t = role_join(t, weather, dates.to_day("start_time"), F.to_date("date_time"), "weather_", WEATHER_ROLE_COLUMNS)
     return t
 
