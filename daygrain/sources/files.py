@@ -137,6 +137,59 @@ def read_csv_aligned(
     return out.filter(ok) if bad_rows == "drop" else out.filter(~ok)
 
 
+def csv_reject_report(
+    spark: SparkSession,
+    pattern: str | Sequence[str],
+    columns,
+    *,
+    null_value: str | None = None,
+    sep: str = ",",
+    headers: str = "file",
+) -> DataFrame:
+    """Rows a tolerant read drops, counted per file and reason (one pass).
+
+    ``reason`` is ``field_count`` for rows with too few or too many fields,
+    else ``type:<raw header>`` for the first column whose value does not
+    convert to its declared type.  Columns: ``file_path, reason, rows``.
+    """
+    spark.conf.set(CSV_PRUNING_CONF, "false")
+    wanted = [c[0] for c in columns]
+    paths = list_files(spark, pattern)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, header in headers_by_file(spark, paths, sep, headers).items():
+        if header:
+            groups.setdefault(header, []).append(path)
+    parts = []
+    for header, group in groups.items():
+        schema = T.StructType(
+            [T.StructField(h, T.StringType(), True) for h in header]
+            + [T.StructField("_corrupt", T.StringType(), True)]
+        )
+        reader = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("sep", sep)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt")
+        )
+        if null_value is not None:
+            reader = reader.option("nullValue", null_value)
+        df = reader.csv(group).select(
+            F.input_file_name().alias("file_path"),
+            F.col("_corrupt"),
+            *[F.col(f"`{w}`") if w in header else F.lit(None).cast("string").alias(w) for w in wanted],
+        )
+        parts.append(df)
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    reason = F.when(F.col("_corrupt").isNotNull(), F.lit("field_count"))
+    for raw, _name, typ, parse in columns:
+        reason = reason.when(~_valid(raw, typ, parse), F.lit(f"type:{raw}"))
+    rejected = rows.select("file_path", reason.alias("reason")).filter(F.col("reason").isNotNull())
+    return rejected.groupBy("file_path", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def write_raw_csv(df: DataFrame, path: str, columns, header_order: Sequence[str] | None = None) -> None:
     """Render a staged table in its raw text layout (inverse of staging).
 

@@ -149,3 +149,17 @@ def test_json_map_parse(spark):
 def test_csv_headers_per_directory(spark, trip_files):
     raw = files.read_csv_aligned(spark, trip_files, TRIP_COLUMNS, headers="directory")
     assert sorted(r.trip_id for r in staging.stage_trips(raw).collect()) == [1, 2, 8]
+
+
+def test_csv_reject_report(spark, trip_files):
+    rep = files.csv_reject_report(spark, trip_files, TRIP_COLUMNS)
+    got = {(r.file_path.rsplit("/", 1)[-1], r.reason): r.rows for r in rep.collect()}
+    assert got == {
+        ("a.csv", "field_count"): 2,
+        ("a.csv", "type:Trip  Duration"): 1,
+        ("a.csv", "type:Start Station Id"): 1,
+        ("a.csv", "type:Start Time"): 1,
+    }
+    # kept + rejected = every data row
+    kept = files.read_csv_aligned(spark, trip_files, TRIP_COLUMNS).count()
+    assert kept + sum(got.values()) == 8
