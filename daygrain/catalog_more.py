@@ -154,7 +154,7 @@ def q_importances(spark, sf_dir):
     train, test = modeling.chrono_split(clean, "trip_date", 0.8)
     model = modeling.fit_forest(train, feats, trees=100, seed=42)
     score = modeling.r2(model, test, feats)
-    ranked = modeling.importances(model, feats)
+    ranked = modeling.importances(model, feats, spark)
     return ranked.withColumn("test_r2", F.lit(score))
 
 

@@ -77,13 +77,13 @@ def r2(model: PipelineModel, test: DataFrame, features: list[str], target: str =
     return RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="r2").evaluate(pred)
 
 
-def importances(model: PipelineModel, features: list[str]) -> DataFrame:
+def importances(model: PipelineModel, features: list[str], spark=None) -> DataFrame:
     """M6 / O3: feature importances ranked, as a DataFrame."""
     from pyspark.sql import SparkSession
 
     # One weight per model feature: a vector the size of the feature list.
     values = model.stages[-1].featureImportances.toArray().tolist()
-    session = SparkSession.getActiveSession()
+    session = spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     rows = [(f, float(v)) for f, v in zip(features, values)]
     df = session.createDataFrame(rows, "feature string, importance double")
     return df.orderBy(F.col("importance").desc(), F.col("feature"))
