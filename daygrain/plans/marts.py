@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 
-from ..operators import joins
+from ..operators import cleaning, joins
 from ..sources import sinks
 from . import tables
 
@@ -46,10 +46,21 @@ MART_V2 = {
 }
 
 
+STAGING_MODELS = {
+    "stg_trips": "trips",
+    "stg_stations": "stations",
+    "stg_weather_primary": "weather_primary",
+    "stg_weather_secondary": "weather_secondary",
+    "stg_holidays": "holidays",
+    "stg_restrictions": "restrictions",
+}
+
+
 def model_names() -> list[str]:
-    """Every model a ``Project`` can build, parents before children."""
-    names = ["int_trips_clean", "int_stations_clean", "int_weather_clean", "int_enriched_trips",
-             "int_daily", "int_weekly", "int_monthly"]
+    """Every model a ``Project`` can build (19, as in the reference), parents first."""
+    names = list(STAGING_MODELS) + [
+        "int_trips_clean", "int_stations_clean", "int_weather_clean", "int_enriched_trips",
+        "int_daily", "int_weekly", "int_monthly"]
     return names + [f"fct_trips_{g}_{v}" for g in GRAIN_KEYS for v in ("v1", "v2")]
 
 
@@ -88,9 +99,16 @@ class Project:
         self.options = options
         self._models: dict[str, DataFrame] = {}
         self._builders: dict[str, tuple[list[str], Callable[[], DataFrame]]] = {
-            "int_trips_clean": ([], lambda: tables.trips_clean(inputs)),
-            "int_stations_clean": ([], lambda: tables.stations_clean(inputs)),
-            "int_weather_clean": ([], lambda: tables.weather_clean(inputs)),
+            name: ([], (lambda f=f: getattr(inputs, f))) for name, f in STAGING_MODELS.items()
+        }
+        ref = self.ref
+        self._builders.update({
+            "int_trips_clean": (["stg_trips"], lambda: cleaning.clean_trips(ref("stg_trips"))),
+            "int_stations_clean": (["stg_stations"], lambda: cleaning.clean_stations(ref("stg_stations"))),
+            "int_weather_clean": (
+                ["stg_weather_primary", "stg_weather_secondary"],
+                lambda: cleaning.clean_weather(ref("stg_weather_primary"), ref("stg_weather_secondary")),
+            ),
             "int_enriched_trips": (
                 ["int_trips_clean", "int_stations_clean", "int_weather_clean"],
                 lambda: joins.enrich_trips(
@@ -98,15 +116,15 @@ class Project:
                 ),
             ),
             "int_daily": (
-                ["int_trips_clean", "int_stations_clean", "int_weather_clean"],
+                ["int_trips_clean", "int_stations_clean", "int_weather_clean", "stg_holidays", "stg_restrictions"],
                 lambda: tables.daily_features_from(
-                    self.ref("int_trips_clean"), self.ref("int_stations_clean"), self.ref("int_weather_clean"),
-                    inputs.holidays, inputs.restrictions, **options,
+                    ref("int_trips_clean"), ref("int_stations_clean"), ref("int_weather_clean"),
+                    ref("stg_holidays"), ref("stg_restrictions"), **options,
                 ),
             ),
-            "int_weekly": (["int_daily"], lambda: tables.weekly_features(self.ref("int_daily"))),
-            "int_monthly": (["int_daily"], lambda: tables.monthly_features(self.ref("int_daily"))),
-        }
+            "int_weekly": (["int_daily"], lambda: tables.weekly_features(ref("int_daily"))),
+            "int_monthly": (["int_daily"], lambda: tables.monthly_features(ref("int_daily"))),
+        })
         for grain in GRAIN_KEYS:
             for version in ("v1", "v2"):
                 parent = f"int_{grain}"
@@ -129,7 +147,9 @@ class Project:
         return self._models[name]
 
     def select(self, selector: str | Iterable[str]) -> list[str]:
-        """Model names for a selector: a name, a layer prefix, a version, or ``+name``."""
+        """Model names for a selector: a name, a prefix (``stg``, ``int``, ``fct``), a layer
+        (``staging``, ``intermediate``, ``marts``), a version (``v2``), or ``+name`` for a
+        model with all its parents."""
         items = [selector] if isinstance(selector, str) else list(selector)
         chosen: list[str] = []
 
@@ -140,9 +160,10 @@ class Project:
             if n not in chosen:
                 chosen.append(n)
 
+        layers = {"staging": "stg_", "intermediate": "int_", "marts": "fct_"}
         for item in items:
             with_parents = item.startswith("+")
-            key = item.lstrip("+")
+            key = layers.get(item.lstrip("+"), item.lstrip("+"))
             matches = [n for n in self.names if n == key or n.startswith(key) or n.endswith(f"_{key}")]
             if not matches:
                 raise KeyError(f"no model matches {item!r}")

@@ -26,8 +26,11 @@ def test_mart_column_counts():
 
 def test_selector(project):
     assert project.select("+fct_trips_weekly_v2") == [
-        "int_trips_clean", "int_stations_clean", "int_weather_clean", "int_daily", "int_weekly",
-        "fct_trips_weekly_v2"]
+        "stg_trips", "int_trips_clean", "stg_stations", "int_stations_clean", "stg_weather_primary",
+        "stg_weather_secondary", "int_weather_clean", "stg_holidays", "stg_restrictions", "int_daily",
+        "int_weekly", "fct_trips_weekly_v2"]
+    assert len(project.names) == 19
+    assert project.select("staging") == list(marts.STAGING_MODELS)
     assert project.select("v2") == ["fct_trips_daily_v2", "fct_trips_weekly_v2", "fct_trips_monthly_v2"]
     assert set(project.select("int_")) >= {"int_daily", "int_enriched_trips"}
     with pytest.raises(KeyError):
@@ -114,6 +117,6 @@ def test_command_line_build_and_test(spark, tmp, capsys):
 def test_daily_model_reads_the_written_clean_tables(spark):
     project = marts.Project(tables.role_inputs(spark, SF001))
     out = scratch_path(spark, "models")
-    project.build(["int_trips_clean", "int_stations_clean", "int_weather_clean"], out_dir=out)
+    project.build(["+int_trips_clean", "+int_stations_clean", "+int_weather_clean", "staging"], out_dir=out)
     plan = project.ref("int_daily")._jdf.queryExecution().executedPlan().toString()
     assert "int_trips_clean" in plan and "lineitem" not in plan and "orders.parquet" not in plan
