@@ -166,6 +166,26 @@ def q_top_pair(spark, sf_dir):
     return aggregate.top_pair(tables.trips_clean(_inputs(spark, sf_dir)))
 
 
+def q_top_station_per_role(spark, sf_dir):
+    """O2, documented intent: busiest start and busiest end station ranked apart."""
+    return aggregate.top_station_per_role(tables.trips_clean(_inputs(spark, sf_dir)))
+
+
+def _sql_top_per_role() -> str:
+    def ranked(col: str) -> str:
+        return (f"SELECT trip_date, {col}, n FROM (SELECT *, row_number() OVER (PARTITION BY trip_date "
+                f"ORDER BY n DESC, {col} ASC NULLS LAST) AS rk FROM (SELECT CAST(start_time AS DATE) AS trip_date, "
+                f"{col}, count(*) AS n FROM trips_clean GROUP BY 1, 2)) WHERE rk = 1")
+
+    return oracle.with_ctes(
+        f"""SELECT coalesce(s.trip_date, e.trip_date) AS trip_date,
+       s.start_station_id AS top_start_station_id__leaky, s.n AS top_start_station_trips__leaky,
+       e.end_station_id AS top_end_station_id__leaky, e.n AS top_end_station_trips__leaky
+FROM ({ranked("start_station_id")}) s FULL JOIN ({ranked("end_station_id")}) e ON s.trip_date = e.trip_date""",
+        "trips_clean",
+    )
+
+
 def q_top_pair_struct(spark, sf_dir):
     """O2 as a ``min(struct)`` aggregate instead of a ranking window."""
     return aggregate.top_pair(tables.trips_clean(_inputs(spark, sf_dir)), "struct")
@@ -312,5 +332,6 @@ WHERE rk = 1""",
     }
     reg["a05_count_distinct_fused"] = Query(q_distinct_counts_fused, reg["a05_count_distinct"].sql)
     reg["o02_top_pair_struct"] = Query(q_top_pair_struct, reg["o02_top_pair"].sql)
+    reg["o02_top_station_per_role"] = Query(q_top_station_per_role, _sql_top_per_role())
     reg.update(catalog_more.registry())
     return reg

@@ -218,6 +218,25 @@ def top_pair(trips: DataFrame, mode: str = "window", pairs: DataFrame | None = N
     )
 
 
+def top_station_per_role(trips: DataFrame) -> DataFrame:
+    """Documented intent of O2: the busiest start station and, separately, the
+    busiest end station of each day (ties: smaller id, nulls last).
+
+    The reference ranks (start, end) pairs instead; that stays the default
+    (``top_pair``).  Each role is a (day, station) count with map-side
+    partial aggregation, then a top-1 per day with a partial group limit.
+    """
+    def best(col: str, id_name: str, trips_name: str) -> DataFrame:
+        counts = trips.groupBy(trip_day(), F.col(col)).agg(F.count(F.lit(1)).alias("_n"))
+        w = Window.partitionBy("trip_date").orderBy(F.col("_n").desc(), F.col(col).asc_nulls_last())
+        ranked = counts.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1)
+        return ranked.select("trip_date", F.col(col).alias(id_name), F.col("_n").alias(trips_name))
+
+    starts = best("start_station_id", "top_start_station_id__leaky", "top_start_station_trips__leaky")
+    ends = best("end_station_id", "top_end_station_id__leaky", "top_end_station_trips__leaky")
+    return starts.join(ends, "trip_date", "full").select("trip_date", *TOP_PAIR_COLUMNS)
+
+
 def weather_by_day(weather: DataFrame) -> DataFrame:
     """Daily weather columns for the aggregate-then-join plan."""
     return weather.select(

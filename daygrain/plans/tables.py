@@ -109,8 +109,13 @@ def daily_base_from(
     distinct: str = "split",
     top: str = "window",
     plan: str = "auto",
+    top_roles: str = "pair",
 ) -> DataFrame:
-    """``daily_base`` from cleaned trips, stations and weather."""
+    """``daily_base`` from cleaned trips, stations and weather.
+
+    ``top_roles="pair"`` reproduces the reference (both top stations are the
+    ends of the busiest pair); ``"per_role"`` ranks starts and ends apart.
+    """
     if plan == "auto":
         plan = "aggregate_first" if dimensions_keyed(stations, wx) else "join_first"
     if plan == "aggregate_first":
@@ -118,13 +123,14 @@ def daily_base_from(
         # day rows joined to day rows: no trip-sized side, so no hint needed
         wday = aggregate.weather_by_day(wx)
         base = base.join(wday, base["trip_date"] == wday["_wday"], "left").drop("_wday")
-        best = aggregate.top_pair(clean, top)
+        best = aggregate.top_pair(clean, top) if top_roles == "pair" else aggregate.top_station_per_role(clean)
     elif plan == "join_first":
         enriched = joins.enrich_trips(clean, stations, wx)
         base = aggregate.daily_measures(
             enriched, distinct=distinct, weather_columns=True, distinct_source=clean
         )
-        best = aggregate.top_pair(enriched, top)
+        best = (aggregate.top_pair(enriched, top) if top_roles == "pair"
+                else aggregate.top_station_per_role(enriched))
     else:
         raise ValueError(f"unknown plan {plan!r}")
     return base.join(best, "trip_date", "left")
@@ -149,6 +155,7 @@ def daily_features_from(
     top: str = "window",
     plan: str = "auto",
     bucket_rows: int | None = None,
+    top_roles: str = "pair",
 ) -> DataFrame:
     """T11 from the cleaned tables (T7-T9) and the staged calendars.
 
@@ -159,7 +166,7 @@ def daily_features_from(
     days with a halo (``windows.add_features_bucketed``); by default the
     few thousand day rows are windowed in one partition.
     """
-    daily = daily_base_from(clean, stations, wx, distinct=distinct, top=top, plan=plan)
+    daily = daily_base_from(clean, stations, wx, distinct=distinct, top=top, plan=plan, top_roles=top_roles)
     daily = daily.withColumns(dates.calendar_columns("trip_date", weekend))
     daily = _with_features(daily, windows.daily_spec(), bucket_rows)
     daily = joins.holiday_flag(daily, "trip_date", holidays)

@@ -97,3 +97,21 @@ def test_rollup_is_consistent_with_daily(spark):
     b = weekly.agg(F.sum("total_trips__leaky")).first()[0]
     assert a == b
     assert weekly.agg(F.sum("days_in_week")).first()[0] == daily.count()
+
+
+def test_top_station_per_role(spark):
+    rows = [
+        (1, 60, 1, ts(3), 9, 1, "Annual Member"),
+        (2, 60, 1, ts(3), 8, 2, "Annual Member"),
+        (3, 60, 2, ts(3), 7, 3, "Annual Member"),
+        (4, 60, 3, ts(3), 7, 4, "Annual Member"),
+        (5, 60, 3, ts(3), 7, 5, "Annual Member"),
+    ]
+    df = spark.createDataFrame(rows, TRIP_DDL)
+    r = aggregate.top_station_per_role(df).collect()[0]
+    # starts: 1 x2, 3 x2 -> 1 (tie, smaller id); ends: 7 x3
+    assert (r.top_start_station_id__leaky, r.top_start_station_trips__leaky) == (1, 2)
+    assert (r.top_end_station_id__leaky, r.top_end_station_trips__leaky) == (7, 3)
+    # the reference's pair ranking picks the busiest (start, end) pair instead: (3, 7) x2
+    p = aggregate.top_pair(df).collect()[0]
+    assert (p.top_start_station_id__leaky, p.top_end_station_id__leaky, p.top_start_station_trips__leaky) == (3, 7, 2)
