@@ -120,6 +120,11 @@ def q_daily_bucketed(spark, sf_dir):
     return round_doubles(_daily(spark, sf_dir, bucket_rows=500))
 
 
+def q_daily_calendar_lags(spark, sf_dir):
+    """Documented intent: lags and frames over calendar days (missing days are gaps)."""
+    return round_doubles(_daily(spark, sf_dir, densify=True))
+
+
 def q_weekly_bucketed(spark, sf_dir):
     """Weekly table with windows over 150-week buckets (halo of 104 rows)."""
     return round_doubles(tables.period_features(_daily(spark, sf_dir), "week", bucket_rows=150))
@@ -278,6 +283,8 @@ def registry() -> dict[str, Query]:
         "t11_daily_features_join_first": Query(q_daily_join_first, _sql("daily", DAILY_DOUBLES)),
         "t12_weekly_features": Query(q_weekly, _sql("weekly", WEEKLY_DOUBLES)),
         "t11_daily_features_bucketed_windows": Query(q_daily_bucketed, _sql("daily", DAILY_DOUBLES)),
+        "t11_daily_features_calendar_lags": Query(
+            q_daily_calendar_lags, _sql("daily_calendar_lags", DAILY_DOUBLES)),
         "t12_weekly_features_bucketed_windows": Query(q_weekly_bucketed, _sql("weekly", WEEKLY_DOUBLES)),
         "t13_monthly_features": Query(q_monthly, _sql("monthly", MONTHLY_DOUBLES)),
         "a05_count_distinct": Query(

@@ -110,6 +110,34 @@ def add_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return df.withColumns(feature_columns(spec))
 
 
+def densify(df: DataFrame, key: str, step: str) -> DataFrame:
+    """Insert the missing periods (``step``: day, week or month) as rows of nulls.
+
+    The calendar is generated from the series' own first and last period
+    with one ``sequence`` (bounded by the number of periods, not by the
+    data) and left-joined with the observed rows, which keep ``_observed``.
+    """
+    bounds = df.agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    calendar = bounds.select(
+        F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL 1 {step.upper()}"))).alias(key)
+    )
+    return calendar.join(df.withColumn("_observed", F.lit(True)), key, "left")
+
+
+def add_features_calendar(df: DataFrame, spec: FeatureSpec, step: str, bucket_rows: int | None = None) -> DataFrame:
+    """Documented intent of the lags: count calendar periods, not rows.
+
+    ``lag 7`` of a day is then the value 7 calendar days earlier (null when
+    that day has no row) and rolling frames span calendar periods.  The
+    reference counts rows (``add_features``), which stays the default.
+    """
+    if spec.series_keys:
+        raise ValueError("calendar densification is defined for one series")
+    dense = densify(df, spec.order, step)
+    out = add_features_bucketed(dense, spec, bucket_rows) if bucket_rows else add_features(dense, spec)
+    return out.filter(F.col("_observed")).drop("_observed").select(*df.columns, *spec.names())
+
+
 def lookback(spec: FeatureSpec) -> int:
     """Rows before the current one that any feature of ``spec`` reads."""
     reach = [f.k if isinstance(f, Lag) else f.n if isinstance(f, Rolling) else max(f.recent, f.base)

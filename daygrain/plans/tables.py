@@ -156,6 +156,7 @@ def daily_features_from(
     plan: str = "auto",
     bucket_rows: int | None = None,
     top_roles: str = "pair",
+    densify: bool = False,
 ) -> DataFrame:
     """T11 from the cleaned tables (T7-T9) and the staged calendars.
 
@@ -168,13 +169,17 @@ def daily_features_from(
     """
     daily = daily_base_from(clean, stations, wx, distinct=distinct, top=top, plan=plan, top_roles=top_roles)
     daily = daily.withColumns(dates.calendar_columns("trip_date", weekend))
-    daily = _with_features(daily, windows.daily_spec(), bucket_rows)
+    daily = _with_features(daily, windows.daily_spec(), bucket_rows, "day" if densify else None)
     daily = joins.holiday_flag(daily, "trip_date", holidays)
     daily = joins.restriction_flag(daily, "trip_date", restrictions)
     return daily.select(*DAILY_COLUMNS)
 
 
-def _with_features(df: DataFrame, spec: windows.FeatureSpec, bucket_rows: int | None) -> DataFrame:
+def _with_features(
+    df: DataFrame, spec: windows.FeatureSpec, bucket_rows: int | None, calendar_step: str | None = None
+) -> DataFrame:
+    if calendar_step:
+        return windows.add_features_calendar(df, spec, calendar_step, bucket_rows)
     if bucket_rows:
         return windows.add_features_bucketed(df, spec, bucket_rows)
     return windows.add_features(df, spec)
@@ -201,11 +206,17 @@ def period_columns(unit: str) -> list[str]:
     return [key] + time + measures + windows.period_spec(unit).names()
 
 
-def period_features(daily: DataFrame, unit: str, bucket_rows: int | None = None) -> DataFrame:
-    """T12 (``week``) / T13 (``month``) from the daily table."""
+def period_features(
+    daily: DataFrame, unit: str, bucket_rows: int | None = None, densify: bool = False
+) -> DataFrame:
+    """T12 (``week``) / T13 (``month``) from the daily table.
+
+    ``densify=True`` counts lags in calendar weeks / months (documented
+    intent); by default they count rows, as the reference does.
+    """
     rolled = aggregate.rollup_period(daily, unit)
     spec = windows.period_spec(unit)
-    return _with_features(rolled, spec, bucket_rows).select(*period_columns(unit))
+    return _with_features(rolled, spec, bucket_rows, unit if densify else None).select(*period_columns(unit))
 
 
 def weekly_features(daily: DataFrame) -> DataFrame:

@@ -107,3 +107,17 @@ def test_global_row_index(spark):
     idx = windows.global_row_index(df, "d", F.trunc("d", "MM"))
     got = [r._idx for r in idx.orderBy("d").collect()]
     assert got == list(range(9))
+
+
+def test_calendar_lags_count_days_not_rows(spark):
+    days = [1, 2, 4, 5, 9]
+    df = spark.createDataFrame([(dt.date(2024, 1, d), d * 10) for d in days], "trip_date date, total_trips__leaky bigint")
+    s = windows.FeatureSpec("trip_date", "d").lags("total_trips__leaky", "trips", [1, 3])
+    s.rolling("total_trips__leaky", "trips", 3, ["avg"])
+    got = {r.trip_date.day: r for r in windows.add_features_calendar(df, s, "day").collect()}
+    assert sorted(got) == days
+    assert got[4].trips_lag_1d is None and got[4].trips_lag_3d == 10  # day 3 missing, day 1 three days back
+    assert got[5].trips_lag_1d == 40 and got[9].trips_lag_1d is None
+    assert got[5].trips_rolling_3d_avg == pytest.approx((20 + 40) / 2)  # days 2, 3 (missing), 4
+    rows = {r.trip_date.day: r for r in windows.add_features(df, s).collect()}
+    assert rows[4].trips_lag_1d == 20  # the reference's row lag
