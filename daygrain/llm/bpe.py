@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import small_batches
+
 SAFE = re.compile(r"(?<=[!-~])(?= [!-~])")
 PIECE_CHARS = 1 << 16
 
@@ -94,7 +96,7 @@ def encode_table(docs: DataFrame, path: str, pattern: str, text_col: str = "text
 
     def run(batches):
         enc, decimal = encoding(path, pattern)
-        for batch in batches:
+        for batch in small_batches(batches, "__text"):
             made = {c: [] for c in outputs}
             for text in batch.column("__text").to_pylist():
                 ids = encode_text(text, enc)

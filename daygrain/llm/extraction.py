@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import small_batches
+
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[a-z]+")
@@ -445,12 +447,10 @@ def extract_table(pages: DataFrame, model: Model, html_col: str = "html", keep=(
 
     def run(batches):
         own = Model(weights[0], weights[1], weights[2:4], weights[4:6], weights[6:8], weights[8], weights[9])
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                cut = [blocks(h) for h in part.column("__html").to_pylist()]
-                marks = own.label(cut)
-                texts = [" ".join([b.text for b, m in zip(p, good, strict=True) if m]) for p, good in zip(cut, marks, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(texts, pa.string())], names=[*keep, "text"])
+        for batch in small_batches(batches, "__html", 2 << 20):
+            cut = [blocks(h) for h in batch.column("__html").to_pylist()]
+            marks = own.label(cut)
+            texts = [" ".join([b.text for b, m in zip(p, good, strict=True) if m]) for p, good in zip(cut, marks, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(texts, pa.string())], names=[*keep, "text"])
 
     return pages.select(*keep, F.col(html_col).alias("__html")).mapInArrow(run, schema)

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import HashCache, bit_filter, encode, gram_hashes, hash_words, write_read
+from .text import HashCache, bit_filter, encode, gram_hashes, hash_words, small_batches, write_read
 
 FREQUENT = 1 << 15
 _BITS = [f"b{i}" for i in range(4)]
@@ -72,7 +72,7 @@ def frequent(docs: DataFrame, width: int, percent: int, limit: int = FREQUENT) -
 
     def run(batches):
         cache, tokens, counts = HashCache(), np.empty(0, np.uint64), np.empty(0, np.int64)
-        for batch in batches:
+        for batch in small_batches(batches):
             found = [tokens]
             for text in batch.column("text").to_pylist():
                 s = shingles(text, width, cache)
@@ -95,7 +95,7 @@ def sketch(docs: DataFrame, width: int, percent: int, last: np.ndarray) -> DataF
 
     def run(batches):
         cache = HashCache()
-        for batch in batches:
+        for batch in small_batches(batches):
             n, wide, prefixes = [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, width, cache)
@@ -161,14 +161,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
     def sets(batches):
         cache = HashCache()
-        for batch in batches:
+        for batch in small_batches(batches):
             hit = wanted.test(batch.column("h").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
             part = batch.filter(pa.array(hit))
             found = [shingles(t, width, cache).tobytes() for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found, pa.binary())], names=["id", "items"])
 
     def compare(batches):
-        for batch in batches:
+        for batch in small_batches(batches, "x"):
             good = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

@@ -37,6 +37,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import small_batches
+
 UND = "und"
 LANE = 256
 GAP, OTHER, PAD = 0, 1, 2
@@ -262,7 +264,7 @@ def predict_table(docs: DataFrame, samples: dict, text_col: str = "text", keep=(
 
     def run(batches):
         model = _model(key, samples, total_symbols)
-        for batch in batches:
+        for batch in small_batches(batches, "__text"):
             langs, scores = model.predict(batch.column("__text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
 

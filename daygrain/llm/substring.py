@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import HashCache, bit_filter, encode, gram_hashes, hash_words, mix64, write_read
+from .text import HashCache, bit_filter, encode, gram_hashes, hash_words, mix64, small_batches, write_read
 
 WIDTH = 35
 SPAN = 32  # grams per window: a power of two, so a sliding minimum is five steps
@@ -64,7 +64,7 @@ def _minimisers(texts: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         cache = HashCache()
-        for batch in batches:
+        for batch in small_batches(batches):
             found = []
             for text in batch.column("text").to_pylist():
                 least, grams = window_minima(hash_words(encode(text).split(), cache), width)
@@ -85,12 +85,14 @@ _KMER = "bucket long, p0 long, p1 long, t0 long, t1 long, at long, packed binary
 
 
 def _super_kmers(texts: DataFrame, width: int, keep) -> DataFrame:
-    """Occurrences of super-k-mers; the packed words stand in one row per string and batch."""
+    """Occurrences of super-k-mers; the packed words stand in the first row of each string in a task."""
 
     def run(batches):
         cache = HashCache()
-        for batch in batches:
-            seen: set[bytes] = set()
+        seen: set[bytes] = set()
+        for batch in small_batches(batches):
+            if len(seen) > 1_000_000:
+                seen.clear()
             heads, digests, starts, packed = [], [], [], []
             for text in batch.column("text").to_pylist():
                 raw = encode(text)
@@ -245,7 +247,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     result = f"id {id_type}, n_words long, n_removed long, kept_sha256 string, kept string"
 
     def split(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             raws = [encode(t) for t in batch.column("text").to_pylist()]
             digests = b"".join(xxhash.xxh3_128_digest(r) for r in raws)
             longs = np.frombuffer(digests, np.int64).reshape(len(raws), 2) if raws else np.empty((0, 2), np.int64)

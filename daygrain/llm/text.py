@@ -8,6 +8,7 @@ A-Z alone, so both need no regular expression.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +66,17 @@ def gram_hashes(h: np.ndarray, width: int) -> np.ndarray:
     return mix64(out)
 
 
+def small_batches(batches, column: str = "text", limit: int = 16 << 20):
+    """The same rows in batches of about ``limit`` text bytes: bounds a task's memory when texts are long."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes.astype(np.int64)) // limit
+        edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def write_read(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage with a table in the shared folder the cluster names."""
     spark = df.sparkSession
