@@ -42,16 +42,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import HashCache, bit_filter, encode, gram_hashes, hash_words, small_batches, write_read
+from .text import bit_filter, distinct, encode, gram_hashes, hash_words, small_batches, write_read
 
 FREQUENT = 1 << 15
 _BITS = [f"b{i}" for i in range(4)]
 
 
-def shingles(text, width: int, cache: HashCache) -> np.ndarray:
+def shingles(text, width: int) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes of a whole text."""
-    h = hash_words(encode(text).lower().split(), cache)
-    return np.unique(gram_hashes(h, min(width, len(h)))) if len(h) else np.empty(0, np.uint64)
+    h = hash_words(encode(text).lower().split())
+    return distinct(gram_hashes(h, min(width, len(h)))) if len(h) else np.empty(0, np.uint64)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -71,11 +71,11 @@ def frequent(docs: DataFrame, width: int, percent: int, limit: int = FREQUENT) -
     """
 
     def run(batches):
-        cache, tokens, counts = HashCache(), np.empty(0, np.uint64), np.empty(0, np.int64)
+        tokens, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in small_batches(batches):
             found = [tokens]
             for text in batch.column("text").to_pylist():
-                s = shingles(text, width, cache)
+                s = shingles(text, width)
                 found.append(s[: 3 * prefix_length(len(s), percent)])
             weights = np.concatenate([counts, np.ones(sum(map(len, found[1:])), np.int64)])
             tokens, where = np.unique(np.concatenate(found), return_inverse=True)
@@ -94,11 +94,10 @@ def sketch(docs: DataFrame, width: int, percent: int, last: np.ndarray) -> DataF
     """Per document: id, n, set digest d0 d1, group digest g0 g1, parity bits b0-b3, prefix."""
 
     def run(batches):
-        cache = HashCache()
         for batch in small_batches(batches):
             n, wide, prefixes = [], [], []
             for text in batch.column("text").to_pylist():
-                s = shingles(text, width, cache)
+                s = shingles(text, width)
                 n.append(len(s))
                 if len(last):
                     late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
@@ -160,11 +159,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     wanted = bit_filter(ids, "h")
 
     def sets(batches):
-        cache = HashCache()
         for batch in small_batches(batches):
             hit = wanted.test(batch.column("h").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
             part = batch.filter(pa.array(hit))
-            found = [shingles(t, width, cache).tobytes() for t in part.column("text").to_pylist()]
+            found = [shingles(t, width).tobytes() for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found, pa.binary())], names=["id", "items"])
 
     def compare(batches):

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import HashCache, bit_filter, encode, gram_hashes, hash_words, mix64, small_batches, write_read
+from .text import bit_filter, encode, gram_hashes, hash_words, mix64, small_batches, write_read
 
 WIDTH = 35
 SPAN = 32  # grams per window: a power of two, so a sliding minimum is five steps
@@ -63,11 +63,10 @@ def _minimisers(texts: DataFrame, width: int) -> DataFrame:
     """One row per super-k-mer; two if its minimiser occurs again in the same text."""
 
     def run(batches):
-        cache = HashCache()
         for batch in small_batches(batches):
             found = []
             for text in batch.column("text").to_pylist():
-                least, grams = window_minima(hash_words(encode(text).split(), cache), width)
+                least, grams = window_minima(hash_words(encode(text).split()), width)
                 if len(least):
                     heads = least[runs(least)[:-1]]
                     ordered = np.sort(grams)
@@ -88,7 +87,6 @@ def _super_kmers(texts: DataFrame, width: int, keep) -> DataFrame:
     """Occurrences of super-k-mers; the packed words stand in the first row of each string in a task."""
 
     def run(batches):
-        cache = HashCache()
         seen: set[bytes] = set()
         for batch in small_batches(batches):
             if len(seen) > 1_000_000:
@@ -97,7 +95,7 @@ def _super_kmers(texts: DataFrame, width: int, keep) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 raw = encode(text)
                 words = raw.split()
-                least, _ = window_minima(hash_words(words, cache), width)
+                least, _ = window_minima(hash_words(words), width)
                 if not len(least):
                     continue
                 edges = runs(least)
@@ -193,10 +191,9 @@ def _windows(strings: DataFrame, width: int) -> DataFrame:
     """One row per window of each string, under a 128-bit digest of its words."""
 
     def run(batches):
-        one, two = HashCache(1), HashCache(2)
         for batch in batches:
             parts = [s.split(b" ") for s in batch.column("packed").to_pylist()]
-            found = [[gram_hashes(hash_words(p, c), width) for p in parts] for c in (one, two)]
+            found = [[gram_hashes(hash_words(p, seed), width) for p in parts] for seed in (1, 2)]
             windows = np.fromiter(map(len, found[0]), np.int64, len(parts))
             row = np.repeat(np.arange(len(parts)), windows)
             at = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)

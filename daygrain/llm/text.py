@@ -7,6 +7,8 @@ A-Z alone, so both need no regular expression.
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import pyarrow.compute as pc
 import xxhash
@@ -23,26 +25,18 @@ _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)
 
 
-class HashCache(dict):
-    """64-bit hash of each word, remembered up to ``limit`` words."""
-
-    def __init__(self, seed: int = 0, limit: int = 400_000):
-        super().__init__()
-        self.seed, self.limit = seed, limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, self.seed)
-        return value
-
-
 def encode(text) -> bytes:
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
 
 
-def hash_words(words: list[bytes], cache: HashCache) -> np.ndarray:
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+def hash_words(words: list[bytes], seed: int = 0) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(seed)), np.uint64, len(words))
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different values of ``x``, ascending."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
