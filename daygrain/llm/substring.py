@@ -12,10 +12,11 @@ packed string (their words joined by a space) to the minimiser's bucket:
 2. ``_super_kmers``: packed strings, each text and string as a 128-bit digest;
    equal strings fold into one with a count, combined map-side, so a passage
    that a third of all documents repeat is one row in its bucket.
-3. ``_count_sorted``: buckets are dealt by minimiser; sorting a bucket's
-   windows brings equal ones together, and neighbours are compared word by
-   word.  Buckets of more than ``spread`` different strings (near copies of
-   one passage) are dealt by single windows instead, counted map-side first.
+3. ``_counted``: buckets are dealt by minimiser; sorting a bucket's windows
+   brings equal ones together, and neighbours are compared word by word.  A
+   bucket of more than ``spread`` different strings (near copies of one
+   passage) is dealt in parts: what repeats within a part is decided there,
+   and single windows meet across the parts under 128-bit digests.
 4. Runs of repeated windows go back to the texts that hold the strings.  Texts
    without any take no part in that shuffle.
 
@@ -39,7 +40,7 @@ from .text import bit_filter, encode, gram_hashes, hash_words, mix64, small_batc
 
 WIDTH = 35
 SPAN = 32  # grams per window: a power of two, so a sliding minimum is five steps
-SPREAD = 256
+SPREAD = 1024
 
 
 def window_minima(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,49 +160,71 @@ def repeated_windows(strings: list[bytes], times: np.ndarray, width: int) -> lis
     return out
 
 
-def _count_sorted(strings: DataFrame, width: int) -> DataFrame:
-    """(p0, p1, marks) of strings dealt and sorted by bucket; whole buckets are counted together."""
+def _counted(strings: DataFrame, width: int) -> DataFrame:
+    """Count windows in parts of buckets: strings (bucket, part, parts, p0, p1, times, packed), dealt and sorted.
+
+    Rows with ``marks``: runs of windows repeated within the part, per string
+    (p0, p1).  Rows with a window digest (w0, w1), for buckets of several
+    parts: each window that the part holds repeatedly, once with its count,
+    and each it holds once, with its string and place.
+    """
 
     def count(table):
-        marks = repeated_windows(table.column("packed").to_pylist(), table.column("times").to_numpy(), width)
-        good = pa.array([len(m) > 0 for m in marks], pa.bool_())
-        some = pa.array([m for m in marks if len(m)], pa.list_(pa.int64()))
-        part = table.filter(good).combine_chunks()
-        arrays = [pa.concat_arrays(part.column(c).chunks) if part.num_rows else pa.array([], pa.int64()) for c in ("p0", "p1")]
-        return pa.RecordBatch.from_arrays([*arrays, some], names=["p0", "p1", "marks"])
+        packed, times = table.column("packed").to_pylist(), table.column("times").to_numpy()
+        p = [table.column(c).to_numpy() for c in ("p0", "p1")]
+        marks = repeated_windows(packed, times, width)
+        good = [i for i, m in enumerate(marks) if len(m)]
+        empty = pa.nulls(len(good), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(p[0][good]), pa.array(p[1][good]), pa.array([marks[i] for i in good], pa.list_(pa.int64())), empty, empty, empty, empty], names=_COUNTED)
+        wide = np.flatnonzero(table.column("parts").to_numpy() > 1)
+        if not len(wide):
+            return
+        words = [packed[i].split(b" ") for i in wide]
+        digests = [np.concatenate([gram_hashes(hash_words(w, seed), width) for w in words]) for seed in (1, 2)]
+        windows = np.fromiter((len(w) - width + 1 for w in words), np.int64, len(words))
+        owner = np.repeat(wide, windows)
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        order = np.lexsort(digests[::-1])
+        a, b = (d[order] for d in digests)
+        heads = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        total = np.add.reduceat(times[owner[order]], heads)
+        first = order[heads]
+        # Null where repeated: that is decided here, and only lends its count to other parts.
+        place = [pa.array(v, mask=total > 1) for v in (p[0][owner[first]], p[1][owner[first]], at[first])]
+        none = pa.nulls(len(heads), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([place[0], place[1], none, pa.array(a[heads].view(np.int64)), pa.array(b[heads].view(np.int64)), pa.array(total), place[2]], names=_COUNTED)
 
     def run(batches):
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
-            bucket = table.column("bucket").to_numpy()
-            cut = int(np.searchsorted(bucket, bucket[-1], side="left")) if len(bucket) else 0
+            bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
+            last = np.flatnonzero((bucket != bucket[-1]) | (part != part[-1])) if len(bucket) else np.empty(0, np.int64)
+            cut = int(last[-1]) + 1 if len(last) else 0
             held = table.slice(cut)
             if cut:
-                yield count(table.slice(0, cut))
+                yield from count_groups(table.slice(0, cut))
         if held is not None and held.num_rows:
-            yield count(held)
-
-    dealt = strings.select("bucket", "p0", "p1", "times", "packed").repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "p0 long, p1 long, marks array<long>")
+            yield from count_groups(held)
 
+    def count_groups(table):
+        """Parts of wide buckets are counted one by one, all other buckets at once."""
+        parts = table.column("parts").to_numpy()
+        if (parts == 1).any():
+            yield from count(table.filter(pa.array(parts == 1)))
+        wide = table.filter(pa.array(parts > 1))
+        if wide.num_rows:
+            bucket, part = wide.column("bucket").to_numpy(), wide.column("part").to_numpy()
+            edges = [0, *(np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), wide.num_rows]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                yield from count(wide.slice(a, b - a))
 
-def _windows(strings: DataFrame, width: int) -> DataFrame:
-    """One row per window of each string, under a 128-bit digest of its words."""
+    dealt = strings.select("bucket", "part", "parts", "p0", "p1", "times", "packed").repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    return dealt.mapInArrow(run, "p0 long, p1 long, marks array<long>, w0 long, w1 long, times long, w long")
 
-    def run(batches):
-        for batch in batches:
-            parts = [s.split(b" ") for s in batch.column("packed").to_pylist()]
-            found = [[gram_hashes(hash_words(p, seed), width) for p in parts] for seed in (1, 2)]
-            windows = np.fromiter(map(len, found[0]), np.int64, len(parts))
-            row = np.repeat(np.arange(len(parts)), windows)
-            at = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-            w = [np.concatenate(f).view(np.int64) if f else np.empty(0, np.int64) for f in found]
-            rest = [batch.column(c).take(pa.array(row)) for c in ("p0", "p1", "times")]
-            yield pa.RecordBatch.from_arrays([pa.array(w[0]), pa.array(w[1]), *rest, pa.array(at)], names=["w0", "w1", "p0", "p1", "times", "w"])
 
-    return strings.select("p0", "p1", "times", "packed").mapInArrow(run, "w0 long, w1 long, p0 long, p1 long, times long, w long")
+_COUNTED = ["p0", "p1", "marks", "w0", "w1", "times", "w"]
 
 
 def _marks(texts: DataFrame, width: int, spread: int) -> DataFrame:
@@ -212,12 +235,14 @@ def _marks(texts: DataFrame, width: int, spread: int) -> DataFrame:
         found.groupBy("bucket", "p0", "p1").agg(F.count(F.lit(1)).alias("times"), F.first("packed", ignorenulls=True).alias("packed")),
         "strings",
     )
-    wide = strings.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > spread).select("bucket")
-    few = _count_sorted(strings.join(wide, "bucket", "left_anti"), width)
-    single = write_read(_windows(strings.join(wide, "bucket", "left_semi"), width), "windows")
+    load = strings.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"))
+    dealt = strings.join(load, "bucket").withColumn("parts", F.ceil(F.col("c") / spread))
+    counted = write_read(_counted(dealt.withColumn("part", F.pmod("p0", "parts")), width), "counted")
+    few = counted.where(F.col("w0").isNull()).select("p0", "p1", "marks")
+    single = counted.where(F.col("w0").isNotNull())
     twice = single.groupBy("w0", "w1").agg(F.sum("times").alias("c")).where(F.col("c") > 1).select("w0", "w1")
     # Each window on its own: the bounds [w, w + 1) need no merging here.
-    many = single.join(twice, ["w0", "w1"]).groupBy("p0", "p1").agg(F.collect_list("w").alias("w"))
+    many = single.where(F.col("p0").isNotNull()).join(twice, ["w0", "w1"]).groupBy("p0", "p1").agg(F.collect_list("w").alias("w"))
     many = many.select("p0", "p1", F.flatten(F.transform("w", lambda w: F.array(w, w + 1))).alias("marks"))
     places = found.select("t0", "t1", "at", "p0", "p1").distinct().join(few.union(many), ["p0", "p1"])
     shifted = F.transform("marks", lambda m: m + F.col("at"))
