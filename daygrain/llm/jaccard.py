@@ -10,13 +10,15 @@ different texts is lost:
    of step 4 short.  The list of frequent shingles has a fixed bound.
 2. ``sketch``: per document its set's size and digest, its prefix (the first
    ``n - ceil(percent * n / 100) + 1`` shingles: linked sets share one of
-   them) and 256 parity bits.  Equal sets fold into one class.
+   them) and parity bits, about one per shingle and their fold to 256.
+   Equal sets fold into one class.
 3. Classes with identical prefix and size fold into one group.
 4. Each prefix shingle lists its groups.  Only shingles of two or more groups
    matter; a fixed-size bit filter drops most others before the shuffle.
 5. First round: each group meets the least group of every list it is in (and
    each class the least class of its group).  Pairs pass the size, position
-   and parity bounds, are expanded to members and verified on the whole sets.
+   and parity bounds, are expanded to members, pass the bound of the whole
+   parity sketches and are verified on the whole sets.
 6. Second round: where a list still holds more than one component, the
    groups outside its first group's component meet all groups of the list
    that are in another component.  So each list pair is either within one
@@ -90,12 +92,25 @@ def frequent(docs: DataFrame, width: int, percent: int, limit: int = FREQUENT) -
     return np.sort(top.view(np.uint64))
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """Parity bits of a set: about as many as elements, a power of two, at least 256."""
+    size = max(256, 1 << (max(1, len(s)) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Differing parity bits, the longer sketch folded to the length of the shorter."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum())
+
+
 def sketch(docs: DataFrame, width: int, percent: int, last: np.ndarray) -> DataFrame:
-    """Per document: id, n, set digest d0 d1, group digest g0 g1, parity bits b0-b3, prefix."""
+    """Per document: id, n, set digest d0 d1, group digest g0 g1, parity bits b0-b3 and parity sketch, prefix."""
 
     def run(batches):
         for batch in small_batches(batches):
-            n, wide, prefixes = [], [], []
+            n, wide, sketches, prefixes = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, width)
                 n.append(len(s))
@@ -105,15 +120,16 @@ def sketch(docs: DataFrame, width: int, percent: int, last: np.ndarray) -> DataF
                 else:
                     ordered = s
                 prefix = ordered[: prefix_length(len(s), percent)].tobytes() if len(s) else b""
-                odd = np.bincount((s >> np.uint64(8)).astype(np.uint8), minlength=256) & 1
+                bits = parity(s)
                 digest = xxhash.xxh3_128_digest(s.tobytes()) + xxhash.xxh3_128_digest(prefix, len(s))
-                wide.append(digest + np.packbits(odd.astype(np.uint8)).tobytes())
+                wide.append(digest + np.bitwise_xor.reduce(bits.reshape(-1, 32), axis=0).tobytes())
+                sketches.append(bits.tobytes())
                 prefixes.append(prefix)
             longs = np.frombuffer(b"".join(wide), np.int64).reshape(len(wide), 8) if wide else np.empty((0, 8), np.int64)
-            columns = [batch.column("id"), pa.array(n, pa.int64()), *[pa.array(longs[:, i]) for i in range(8)], pa.array(prefixes, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "d0", "d1", "g0", "g1", *_BITS, "prefix"])
+            columns = [batch.column("id"), pa.array(n, pa.int64()), *[pa.array(longs[:, i]) for i in range(8)], pa.array(sketches, pa.binary()), pa.array(prefixes, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "d0", "d1", "g0", "g1", *_BITS, "parity", "prefix"])
 
-    return docs.mapInArrow(run, "id long, n long, d0 long, d1 long, g0 long, g1 long, b0 long, b1 long, b2 long, b3 long, prefix binary")
+    return docs.mapInArrow(run, "id long, n long, d0 long, d1 long, g0 long, g1 long, b0 long, b1 long, b2 long, b3 long, parity binary, prefix binary")
 
 
 def _postings(groups: DataFrame, keep=None) -> DataFrame:
@@ -152,9 +168,24 @@ def _parity_fits(x: str, y: str, n: Column, m: Column, percent: int) -> Column:
     return F.coalesce((100 + percent) * differ <= (100 - percent) * (n + m), F.lit(True))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _near(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that the whole parity sketches allow: a sixty-fourth of the sets' bytes."""
+
+    def compare(batches):
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("x", "y", "n", "m")), strict=True)
+            keep = pa.array([(100 + percent) * differing(x, y) <= (100 - percent) * (n + m) for x, y, n, m in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+
+    own = light.where(F.col("n") > 0)
+    left = pairs.join(own.select(F.col("id").alias("a"), "n", F.col("parity").alias("x")), "a")
+    both = left.join(own.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("parity").alias("y")), "b")
+    return both.select("a", "b", "x", "y", "n", "m").mapInArrow(compare, "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, light: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The linked ones of ``pairs`` (a, b), compared on whole shingle sets."""
-    pairs = write_read(pairs, "pairs")
+    pairs = write_read(_near(pairs, light, percent), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().select(F.xxhash64("id").alias("h"))
     wanted = bit_filter(ids, "h")
 
@@ -227,7 +258,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         .select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
         .distinct()
     )
-    found = components(_verified(first, docs, width, percent))
+    found = components(_verified(first, light, docs, width, percent))
 
     # Second round: what a list still holds besides its first component.
     placed = write_read(
@@ -269,7 +300,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         .select(F.col("z.cid").alias("a"), F.col("y.other").alias("b"))
         .distinct()
     )
-    more = _verified(second, docs, width, percent)
+    more = _verified(second, light, docs, width, percent)
     final = components(more.union(found.select(F.col("id").alias("a"), F.col("comp").alias("b"))))
 
     ids = members.select("d0", "d1", "n", "cid").join(final.withColumnRenamed("id", "cid"), "cid", "left")
