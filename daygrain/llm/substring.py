@@ -90,7 +90,7 @@ def _super_kmers(texts: DataFrame, width: int, keep) -> DataFrame:
     def run(batches):
         seen: set[bytes] = set()
         for batch in small_batches(batches):
-            if len(seen) > 1_000_000:
+            if len(seen) > 200_000:
                 seen.clear()
             heads, digests, starts, packed = [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -196,7 +196,7 @@ def _counted(strings: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         held = None
-        for batch in batches:
+        for batch in small_batches(batches, "packed", 1 << 20):
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
             bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
@@ -281,7 +281,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays(columns, names=["id", "t0", "t1", "n_words", "sum", "raw"])
 
     def finish(batches):
-        for batch in batches:
+        for batch in small_batches(batches, "raw"):
             removed, sums, kept = [], [], []
             for raw, done, marks_ in zip(batch.column("raw").to_pylist(), batch.column("sum").to_pylist(), batch.column("marks").to_pylist(), strict=True):
                 words = (raw or b"").split() if done is None else []

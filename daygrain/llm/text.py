@@ -60,7 +60,7 @@ def gram_hashes(h: np.ndarray, width: int) -> np.ndarray:
     return mix64(out)
 
 
-def small_batches(batches, column: str = "text", limit: int = 16 << 20):
+def small_batches(batches, column: str = "text", limit: int = 4 << 20):
     """The same rows in batches of about ``limit`` text bytes: bounds a task's memory when texts are long."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
