@@ -46,9 +46,9 @@ def q_csv_trips(spark, sf_dir):
     root = scratch_path(spark, "raw-trips")
     canonical = [c[0] for c in TRIP_COLUMNS]
     even = F.col("trip_id") % 2 == 0
-    files.write_raw_csv(trips.filter(even), f"{root}/bikeshare-ridership-a", TRIP_COLUMNS)
-    files.write_raw_csv(trips.filter(~even), f"{root}/bikeshare-ridership-b", TRIP_COLUMNS, canonical[::-1])
-    raw = files.read_csv_aligned(spark, f"{root}/bikeshare-ridership-*/*.csv", TRIP_COLUMNS)
+    files.write_raw_csv(trips.filter(even), f"{root}/ridership-a", TRIP_COLUMNS)
+    files.write_raw_csv(trips.filter(~even), f"{root}/ridership-b", TRIP_COLUMNS, canonical[::-1])
+    raw = files.read_csv_aligned(spark, f"{root}/ridership-*/*.csv", TRIP_COLUMNS)
     return staging.stage_trips(raw)
 
 

@@ -9,7 +9,8 @@
 
 ``build`` materialises the selected models (with ``+``: and their parents)
 as Parquet below ``--out`` and exports marts as header CSV below
-``--export``; ``test`` prints the declared not-null / unique checks and
+``--export``; ``rejects`` counts the trip rows a tolerant build drops, per
+file and reason; ``test`` prints the declared not-null / unique checks and
 exits non-zero when any is violated.
 """
 
@@ -36,18 +37,19 @@ def inputs_from_files(
     restrictions: str,
     stations_record_path: str | None = None,
     null_value: str | None = None,
-    headers: str = "file",
+    stations_layout: str | None = None,
 ) -> tables.Inputs:
     """Staged inputs (T1-T6) from raw files: tolerant trips, strict weather, typed seeds."""
     return tables.Inputs(
         trips=staging.stage_trips(files.read_csv_aligned(
-            spark, trips, TRIP_COLUMNS, bad_rows="drop", null_value=null_value, headers=headers)),
+            spark, trips, TRIP_COLUMNS, bad_rows="drop", null_value=null_value)),
         stations=staging.stage_stations(files.read_json_records(
-            spark, stations, station_schema(), record_path=stations_record_path)),
+            spark, stations, station_schema(), record_path=stations_record_path,
+            layout=stations_layout, key="station_id")),
         weather_primary=staging.stage_weather(files.read_csv_aligned(
-            spark, weather_primary, WEATHER_PRIMARY_COLUMNS, bad_rows="fail", headers=headers)),
+            spark, weather_primary, WEATHER_PRIMARY_COLUMNS, bad_rows="fail")),
         weather_secondary=staging.stage_weather(files.read_csv_aligned(
-            spark, weather_secondary, WEATHER_SECONDARY_COLUMNS, bad_rows="fail", headers=headers),
+            spark, weather_secondary, WEATHER_SECONDARY_COLUMNS, bad_rows="fail"),
             secondary=True),
         holidays=staging.stage_holidays(files.load_seed(spark, holidays, HOLIDAY_SEED_DDL)),
         restrictions=staging.stage_restrictions(files.load_seed(spark, restrictions, RESTRICTION_SEED_DDL)),
@@ -57,18 +59,20 @@ def inputs_from_files(
 def _inputs(spark, a: argparse.Namespace) -> tables.Inputs:
     return inputs_from_files(
         spark, a.trips, a.stations, a.weather_primary, a.weather_secondary, a.holidays, a.restrictions,
-        stations_record_path=a.stations_record_path, null_value=a.null_value, headers=a.headers,
+        stations_record_path=a.stations_record_path, null_value=a.null_value,
+        stations_layout=a.stations_layout,
     )
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="daygrain")
-    p.add_argument("command", choices=["build", "test", "list"])
+    p.add_argument("command", choices=["build", "test", "list", "rejects"])
     for name in ("trips", "stations", "weather-primary", "weather-secondary", "holidays", "restrictions"):
         p.add_argument(f"--{name}")
     p.add_argument("--stations-record-path", default=None, help="e.g. data.stations for a nested document")
     p.add_argument("--null-value", default=None, help="text read as null in trip CSVs, e.g. NULL")
-    p.add_argument("--headers", choices=["file", "directory"], default="file")
+    p.add_argument("--stations-layout", choices=files.JSON_LAYOUTS, default=None,
+                   help="array for a top-level array; default: nested with a record path, else lines")
     p.add_argument("--select", nargs="*", default=[])
     p.add_argument("--out", default=None, help="folder for the materialised models (Parquet)")
     p.add_argument("--export", default=None, help="folder for the mart CSV exports")
@@ -83,6 +87,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         print("\n".join(marts.model_names()))
         return 0
     spark = spark or get_session(a.master)
+    if a.command == "rejects":
+        report = files.csv_reject_report(spark, a.trips, TRIP_COLUMNS, null_value=a.null_value)
+        for r in report.orderBy("file_path", "reason").collect():
+            print(f"{r.file_path}\t{r.reason}\t{r.rows}")
+        return 0
     project = marts.Project(_inputs(spark, a), weekend=a.weekend)
     selected = project.select(a.select) if a.select else project.names
     if a.command == "build":

@@ -5,12 +5,11 @@ holiday and restriction calendars) is bounded by the number of stations or
 calendar days, not by trip volume.  Two cases:
 
 * a trip-sized table joined to a dimension (T10's role joins): the
-  dimension is broadcast only after a row-count bound has been proven
-  (``limit(n + 1).count()`` stops reading as soon as the bound is
-  exceeded); beyond the bound the join falls back to a shuffle join, where
-  adaptive execution splits skewed partitions.  The explicit hint matters
-  because a derived dimension (an aggregate, a window) carries no row
-  count, so the static planner cannot see that it is small;
+  dimension is broadcast only when the plan's size estimate (bytes of the
+  files below it; an aggregate keeps its input's size) is within
+  ``BROADCAST_MAX_BYTES``; beyond it the join is a shuffle join, where
+  adaptive execution splits skewed partitions or switches to a broadcast
+  once the real size is known.  No job runs while the plan is built;
 * a day-level table joined to a day-level dimension (calendar flags, weather
   after aggregation): both sides hold thousands of rows; Spark's own size
   estimate and adaptive execution's runtime statistics choose the strategy,
@@ -26,19 +25,18 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 
-# Rows a dimension may have and still be broadcast.  A clean station row is
-# a few hundred bytes, so this bound keeps a broadcast under ~100 MB.
-BROADCAST_MAX_ROWS = 250_000
+# Estimated bytes a dimension may have and still be broadcast.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def within_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def within_bytes(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when the optimizer's size estimate of ``df`` is at most ``max_bytes`` (no job)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= max_bytes
 
 
-def size_checked(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when its row count is proven small, else ``dim``."""
-    return F.broadcast(dim) if within_rows(dim, max_rows) else dim
+def size_checked(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(dim)`` when its estimated size is small, else ``dim``."""
+    return F.broadcast(dim) if within_bytes(dim, max_bytes) else dim
 
 
 def duplicated_keys(df: DataFrame, key: Sequence[Column | str]) -> DataFrame:
@@ -60,6 +58,7 @@ def all_keyed(*checks: tuple[DataFrame, Sequence[Column | str]]) -> bool:
     return u.limit(1).count() == 0
 
 
+# Fixed values that must equal the reference: the columns each role keeps.
 STATION_ROLE_COLUMNS = [
     "name", "physical_configuration", "lat", "lon", "address", "capacity",
     "is_charging_station", "rental_methods", "groups", "obcn", "short_name", "nearby_distance",
@@ -83,22 +82,21 @@ def role_join(
     dim_key: Column,
     prefix: str,
     cols: Sequence[str],
-    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
     small: bool | None = None,
 ) -> DataFrame:
     """J2 / J3 / J4 + P8: left-join one role of a dimension, prefixing its columns.
 
     ``dim_key`` is evaluated on the dimension side, so the implicit cast of
-    the reference (text station id compared with a bigint) is computed once
-    per dimension row; under ANSI a non-numeric id fails the job, as it does
-    in the reference engine.  Right-side duplicates fan out, as in SQL.
-    ``small`` passes a row bound already proven for ``dim`` (one check
-    serves several roles of the same dimension).
+    the start role (text station id compared with a bigint) is computed once
+    per dimension row; under ANSI a non-numeric id fails the job.  The end
+    role compares text with text.  Right-side duplicates fan out, as in SQL.
+    ``small`` passes a size decision already made for ``dim``.
     """
     tag = f"_{prefix}key"
     side = dim.select(dim_key.alias(tag), *[F.col(c).alias(f"{prefix}{c}") for c in cols])
     if small is None:
-        small = within_rows(side, max_rows)
+        small = within_bytes(side, max_bytes)
     side = F.broadcast(side) if small else side
     return facts.join(side, fact_key == F.col(tag), "left").drop(tag)
 
@@ -106,11 +104,10 @@ def role_join(
 def enrich_trips(trips: DataFrame, stations: DataFrame, weather: DataFrame) -> DataFrame:
     """Trips with start-station, end-station and weather roles (45 columns)."""
     t = trips.select(*TRIP_KEEP_COLUMNS)
-    station_key = F.col("station_id").cast("bigint")
-    small = within_rows(stations, BROADCAST_MAX_ROWS)  # one check for both station roles
-    t = role_join(t, stations, F.col("start_station_id"), station_key, "start_station_",
+    small = within_bytes(stations)  # one decision for both station roles
+    t = role_join(t, stations, F.col("start_station_id"), F.col("station_id").cast("bigint"), "start_station_",
                   STATION_ROLE_COLUMNS, small=small)
-    t = role_join(t, stations, F.col("end_station_id"), station_key, "end_station_",
+    t = role_join(t, stations, F.col("end_station_id"), F.col("station_id"), "end_station_",
                   STATION_ROLE_COLUMNS, small=small)
     t = role_join(t, weather, dates.to_day("start_time"), F.to_date("date_time"), "weather_", WEATHER_ROLE_COLUMNS)
     return t

@@ -3,9 +3,9 @@
 Plan shape of the daily table (T11) at scale::
 
     trips scan (pruned, null filter pushed)
-      ├─ partial agg by day ─ shuffle(day) ─ final agg ─────────────┐
-      ├─ 3 x dedupe (day, value) ─ shuffle ─ count per day ─────────┤
-      └─ partial agg by (day, start, end) ─ shuffle ─ top-1 per day ┤ join on day (small)
+      ├─ histogram (day, user type, duration) ─ shuffle ─ per day ──┐
+      ├─ dedupe (day, bike) ─ shuffle ─ count per day ──────────────┤
+      └─ partial agg by (day, start, end) ─ shuffle ─ per day ──────┤ join on day (small)
     weather (one row per day, size-checked broadcast) ──────────────┤
     single-partition window over ~thousands of day rows ── calendar flags (broadcast)
 
@@ -40,6 +40,8 @@ class Inputs:
     weather_secondary: DataFrame
     holidays: DataFrame
     restrictions: DataFrame
+    # True when station ids and weather days are known to be unique; None: tested when needed.
+    keyed: bool | None = None
 
 
 def role_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -51,6 +53,7 @@ def role_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         weather_secondary=roles.weather_secondary(spark, sf_dir),
         holidays=staging.stage_holidays(calendars.holiday_seed(spark)),
         restrictions=staging.stage_restrictions(calendars.restriction_seed(spark)),
+        keyed=True,  # stations have the supplier key, weather is grouped by day
     )
 
 
@@ -92,12 +95,20 @@ def dimensions_keyed(stations: DataFrame, weather: DataFrame) -> bool:
     )
 
 
+def resolved_plan(plan: str, keyed: bool | None) -> str:
+    """``auto`` without a job where the keys are already known."""
+    if plan == "auto" and keyed is not None:
+        return "aggregate_first" if keyed else "join_first"
+    return plan
+
+
 def daily_base(
-    inp: Inputs, *, distinct: str = "split", top: str = "window", plan: str = "auto"
+    inp: Inputs, *, distinct: str = "shared", top: str = "window", plan: str = "auto"
 ) -> DataFrame:
     """Per-day measures, weather and busiest pair (before features)."""
     return daily_base_from(
-        trips_clean(inp), stations_clean(inp), weather_clean(inp), distinct=distinct, top=top, plan=plan
+        trips_clean(inp), stations_clean(inp), weather_clean(inp), distinct=distinct, top=top,
+        plan=resolved_plan(plan, inp.keyed),
     )
 
 
@@ -106,28 +117,37 @@ def daily_base_from(
     stations: DataFrame,
     wx: DataFrame,
     *,
-    distinct: str = "split",
+    distinct: str = "shared",
     top: str = "window",
     plan: str = "auto",
     top_roles: str = "pair",
 ) -> DataFrame:
     """``daily_base`` from cleaned trips, stations and weather.
 
+    ``distinct="shared"`` reads the trips three times (``daily_shared``, which
+    also yields the busiest pair); ``split`` and ``fused`` are the variants of
+    ``daily_measures``, with ``top`` choosing the plan of the pair.
+
     ``top_roles="pair"`` reproduces the reference (both top stations are the
     ends of the busiest pair); ``"per_role"`` ranks starts and ends apart.
     """
     if plan == "auto":
         plan = "aggregate_first" if dimensions_keyed(stations, wx) else "join_first"
+    shared = distinct == "shared"
     if plan == "aggregate_first":
-        base = aggregate.daily_measures(clean, distinct=distinct)
+        base = aggregate.daily_shared(clean) if shared else aggregate.daily_measures(clean, distinct=distinct)
+        if shared and top_roles != "pair":
+            base = base.drop(*aggregate.TOP_PAIR_COLUMNS)
         # day rows joined to day rows: no trip-sized side, so no hint needed
         wday = aggregate.weather_by_day(wx)
         base = base.join(wday, base["trip_date"] == wday["_wday"], "left").drop("_wday")
+        if shared and top_roles == "pair":
+            return base
         best = aggregate.top_pair(clean, top) if top_roles == "pair" else aggregate.top_station_per_role(clean)
     elif plan == "join_first":
         enriched = joins.enrich_trips(clean, stations, wx)
         base = aggregate.daily_measures(
-            enriched, distinct=distinct, weather_columns=True, distinct_source=clean
+            enriched, distinct="split" if shared else distinct, weather_columns=True, distinct_source=clean
         )
         best = (aggregate.top_pair(enriched, top) if top_roles == "pair"
                 else aggregate.top_station_per_role(enriched))
@@ -138,6 +158,7 @@ def daily_base_from(
 
 def daily_features(inp: Inputs, **options) -> DataFrame:
     """One row per observed day, 68 columns (see ``daily_features_from``)."""
+    options["plan"] = resolved_plan(options.get("plan", "auto"), inp.keyed)
     return daily_features_from(
         trips_clean(inp), stations_clean(inp), weather_clean(inp), inp.holidays, inp.restrictions, **options
     )
@@ -151,7 +172,7 @@ def daily_features_from(
     restrictions: DataFrame,
     *,
     weekend: str = "reference",
-    distinct: str = "split",
+    distinct: str = "shared",
     top: str = "window",
     plan: str = "auto",
     bucket_rows: int | None = None,
@@ -161,7 +182,7 @@ def daily_features_from(
     """T11 from the cleaned tables (T7-T9) and the staged calendars.
 
     Taking the cleaned tables lets a build continue from their written
-    Parquet copies: raw CSV is parsed once, and the six trip-level
+    Parquet copies: raw CSV is parsed once, and the three trip-level
     aggregations read pruned columns of a columnar table.
     ``bucket_rows`` spreads the feature windows over buckets of consecutive
     days with a halo (``windows.add_features_bucketed``); by default the

@@ -21,7 +21,7 @@ TRIP_COLUMNS = [
     ("Start Station Id", "start_station_id", "bigint", None),
     ("Start Time", "start_time", "timestamp_ntz", "trip_time"),
     ("Start Station Name", "start_station_name", "string", None),
-    ("End Station Id", "end_station_id", "bigint", None),
+    ("End Station Id", "end_station_id", "string", None),
     ("End Time", "end_time", "timestamp_ntz", "trip_time"),
     ("End Station Name", "end_station_name", "string", None),
     ("Bike Id", "bike_id", "bigint", None),

@@ -2,13 +2,14 @@
 
 CSV reads never infer types.  Files are read as text with the declared
 raw headers, grouped by their actual header line so that files whose
-columns come in another order (or lack a column) are aligned by *name*
-(Spark's CSV reader aligns by position), and unioned by name.  Bad rows:
+columns come in another order are aligned by *name* (Spark's CSV reader
+aligns by position), and unioned by name.  A declared column that is missing
+fails with the file named; files without content hold no rows.  Bad rows:
 
 * ``drop``  (the reference's ``ignore_errors``): rows with the wrong number
   of fields are dropped by the parser (``DROPMALFORMED``), rows whose values
   do not convert to the declared types are dropped by a ``try_cast`` filter;
-* ``fail``: the first bad row fails the job;
+* ``fail``: the first bad row fails the job, whatever columns are used;
 * ``only``: return just the rejected (convertible-length) rows, as text, for
   a data-quality report.
 """
@@ -19,6 +20,7 @@ import csv
 import io
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,49 +28,82 @@ from pyspark.sql import types as T
 
 from ..operators.staging import typed_column
 
-CSV_PRUNING_CONF = "spark.sql.csv.parser.columnPruning.enabled"
-
-
 def list_files(spark: SparkSession, pattern: str | Sequence[str]) -> list[str]:
-    """Paths matching a glob, listed by Spark (file contents are not read)."""
+    """Paths matching a glob, from the driver's file listing (no scan of the files)."""
     patterns = [pattern] if isinstance(pattern, str) else list(pattern)
-    listing = spark.read.format("binaryFile").load(patterns).select("path")
-    return sorted(r.path for r in listing.collect())
+    return sorted(unquote(p) for p in spark.read.text(patterns).inputFiles())
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line that is not blank, read through the file system API (no job).
 
+    None for a file without content.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(conf).open(target)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+        source = codec.createInputStream(stream) if codec else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
+        line = reader.readLine()
+        seen = line is not None
+        while line is not None and not line.strip():
+            line = reader.readLine()
+        if line is None and seen:
+            raise ValueError(f"only blank lines in {path}")
+        return None if line is None else line.removeprefix("\ufeff")
+    finally:
+        stream.close()
+
+
+def headers_by_file(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[str, tuple[str, ...]]:
+    """Header of every file that has content; a few driver threads open the files, no job runs."""
+
+    def header(path: str) -> tuple[str, ...] | None:
+        line = first_line(spark, path)
+        return None if line is None else tuple(next(csv.reader(io.StringIO(line), delimiter=sep)))
 
-def _header_of(spark: SparkSession, path: str, sep: str) -> tuple[str, ...]:
-    line = spark.read.text(path).limit(1).collect()
-    if not line:
-        return ()
-    return tuple(next(csv.reader(io.StringIO(line[0].value), delimiter=sep)))
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        found = dict(zip(paths, pool.map(header, paths)))
+    return {p: h for p, h in found.items() if h is not None}
 
 
-def headers_by_file(
-    spark: SparkSession, paths: Sequence[str], sep: str = ",", per: str = "file"
-) -> dict[str, tuple[str, ...]]:
-    """Header line of every file.
+def _layouts(spark, pattern, columns, sep: str, strict: bool) -> list[tuple[dict[str, str], tuple[str, ...], list[str]]]:
+    """Files by header: (declared name -> name in the files, header, paths).
 
-    ``per="file"`` reads the first line of every file (one tiny job per file,
-    run concurrently; only the first split of each file is opened).
-    ``per="directory"`` reads one file per folder and assumes the folder's
-    files share it, which keeps the number of jobs at the number of export
-    batches when there are tens of thousands of files.
+    Names match whatever their case.  A declared column that a file lacks
+    fails with the file named; so does an undeclared one when ``strict``.
     """
-    if per == "file":
-        probes = list(paths)
-    elif per == "directory":
-        first: dict[str, str] = {}
-        for p in paths:
-            first.setdefault(p.rsplit("/", 1)[0], p)
-        probes = list(first.values())
-    else:
-        raise ValueError(f"unknown header mode {per!r}")
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        found = dict(zip(probes, pool.map(lambda p: _header_of(spark, p, sep), probes)))
-    if per == "file":
-        return found
-    by_dir = {p.rsplit("/", 1)[0]: h for p, h in found.items()}
-    return {p: by_dir[p.rsplit("/", 1)[0]] for p in paths}
+    wanted = [c[0] for c in columns]
+    paths = list_files(spark, pattern)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, header in headers_by_file(spark, paths, sep).items():
+        groups.setdefault(header, []).append(path)
+    out = []
+    for header, files in groups.items():
+        by_name = {h.casefold(): h for h in header}
+        missing = [w for w in wanted if w.casefold() not in by_name]
+        if missing:
+            raise ValueError(f"columns {missing} are missing in {files[0]}")
+        known = {w.casefold() for w in wanted}
+        unknown = [h for h in header if h.casefold() not in known]
+        if unknown and strict:
+            raise ValueError(f"unexpected columns {unknown} in {files[0]}")
+        out.append(({w: by_name[w.casefold()] for w in wanted}, header, files))
+    if not out:
+        raise FileNotFoundError(f"no CSV files match {pattern!r}")
+    return out
+
+
+def _reader(spark, header, sep: str, null_value: str | None, mode: str, extra: Sequence[str] = ()):
+    """A CSV reader that counts fields against the whole header, whatever the projection."""
+    schema = T.StructType([T.StructField(h, T.StringType(), True) for h in (*header, *extra)])
+    reader = (
+        spark.read.schema(schema).option("header", True).option("sep", sep)
+        .option("columnPruning", "false").option("mode", mode)
+    )
+    return reader if null_value is None else reader.option("nullValue", null_value)
 
 
 def _valid(raw: str, typ: str, parse: str | None) -> Column:
@@ -86,7 +121,6 @@ def read_csv_aligned(
     bad_rows: str = "drop",
     null_value: str | None = None,
     sep: str = ",",
-    headers: str = "file",
 ) -> DataFrame:
     """Raw text columns named by their raw headers.
 
@@ -96,44 +130,22 @@ def read_csv_aligned(
     """
     if bad_rows not in ("drop", "fail", "only"):
         raise ValueError(f"unknown bad-row policy {bad_rows!r}")
-    if bad_rows != "fail":
-        # Count fields against the full declared width, whatever the
-        # projection, so that dropping short/long rows is deterministic.
-        spark.conf.set(CSV_PRUNING_CONF, "false")
-    wanted = [c[0] for c in columns]
-    paths = list_files(spark, pattern)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in headers_by_file(spark, paths, sep, headers).items():
-        if header:
-            groups.setdefault(header, []).append(path)
+    strict = bad_rows == "fail"
     parts = []
-    for header, files in groups.items():
-        unknown = [h for h in header if h not in wanted]
-        if unknown and bad_rows == "fail":
-            raise ValueError(f"unexpected columns {unknown} in {files[0]}")
-        schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
-        reader = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("sep", sep)
-            .option("mode", "FAILFAST" if bad_rows == "fail" else "DROPMALFORMED")
-        )
-        if null_value is not None:
-            reader = reader.option("nullValue", null_value)
-        df = reader.csv(files)
-        parts.append(
-            df.select(*[F.col(f"`{w}`") if w in header else F.lit(None).cast("string").alias(w) for w in wanted])
-        )
-    if not parts:
-        raise FileNotFoundError(f"no CSV files match {pattern!r}")
+    for names, header, files in _layouts(spark, pattern, columns, sep, strict):
+        df = _reader(spark, header, sep, null_value, "FAILFAST" if strict else "DROPMALFORMED").csv(files)
+        parts.append(df.select(*[F.col(f"`{name}`").alias(w) for w, name in names.items()]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    if bad_rows == "fail":
-        return out
     ok = F.lit(True)
     for raw, _name, typ, parse in columns:
         ok = ok & _valid(raw, typ, parse)
+    if strict:
+        # A filter survives column pruning, so every declared type is checked.
+        row = F.to_json(F.struct(*[F.col(f"`{c[0]}`") for c in columns]))
+        failed = F.raise_error(F.concat(F.lit("a value does not convert to its declared type: "), row)).cast("boolean")
+        return out.filter(F.when(ok, F.lit(True)).otherwise(failed))
     return out.filter(ok) if bad_rows == "drop" else out.filter(~ok)
 
 
@@ -144,7 +156,6 @@ def csv_reject_report(
     *,
     null_value: str | None = None,
     sep: str = ",",
-    headers: str = "file",
 ) -> DataFrame:
     """Rows a tolerant read drops, counted per file and reason (one pass).
 
@@ -152,34 +163,14 @@ def csv_reject_report(
     else ``type:<raw header>`` for the first column whose value does not
     convert to its declared type.  Columns: ``file_path, reason, rows``.
     """
-    spark.conf.set(CSV_PRUNING_CONF, "false")
-    wanted = [c[0] for c in columns]
-    paths = list_files(spark, pattern)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in headers_by_file(spark, paths, sep, headers).items():
-        if header:
-            groups.setdefault(header, []).append(path)
     parts = []
-    for header, group in groups.items():
-        schema = T.StructType(
-            [T.StructField(h, T.StringType(), True) for h in header]
-            + [T.StructField("_corrupt", T.StringType(), True)]
-        )
-        reader = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("sep", sep)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt")
-        )
-        if null_value is not None:
-            reader = reader.option("nullValue", null_value)
-        df = reader.csv(group).select(
-            F.input_file_name().alias("file_path"),
-            F.col("_corrupt"),
-            *[F.col(f"`{w}`") if w in header else F.lit(None).cast("string").alias(w) for w in wanted],
-        )
-        parts.append(df)
+    for names, header, files in _layouts(spark, pattern, columns, sep, strict=False):
+        reader = _reader(spark, header, sep, null_value, "PERMISSIVE", ["_corrupt"])
+        df = reader.option("columnNameOfCorruptRecord", "_corrupt").csv(files)
+        parts.append(df.select(
+            F.input_file_name().alias("file_path"), "_corrupt",
+            *[F.col(f"`{name}`").alias(w) for w, name in names.items()],
+        ))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
@@ -217,25 +208,43 @@ def record_path_schema(record_schema: T.StructType, record_path: str) -> T.Struc
     return node  # type: ignore[return-value]
 
 
+JSON_LAYOUTS = ("lines", "array", "nested")
+
+
 def read_json_records(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: T.StructType,
     record_path: str | None = None,
-    multi_line: bool | None = None,
+    layout: str | None = None,
+    key: str | None = None,
 ) -> DataFrame:
-    """JSON records with a declared schema.
-
-    Without ``record_path`` the file holds one record per line (or a
-    top-level array with ``multi_line=True``).  With ``record_path`` (e.g.
-    ``"data.stations"``) the document nests the records in an array, which
-    is unwrapped with ``inline`` (the reference's external ``jq`` step).
+    """JSON records with a declared schema and layout.
+
+    ``lines``: one record per line; ``array``: a top-level array, possibly
+    over many lines; ``nested``: one document that holds the array at
+    ``record_path`` (e.g. ``"data.stations"``), unwrapped with ``inline``.
+    Another layout than the declared one raises: malformed text fails the
+    read, each file must open with the layout's bracket, and with ``key``
+    a record without that field fails.
     """
-    if record_path:
-        wrapper = record_path_schema(schema, record_path)
-        doc = spark.read.schema(wrapper).option("multiLine", True if multi_line is None else multi_line).json(path)
-        return doc.selectExpr(f"inline({record_path})")
-    return spark.read.schema(schema).option("multiLine", bool(multi_line)).json(path)
+    layout = layout or ("nested" if record_path else "lines")
+    if layout not in JSON_LAYOUTS or (layout == "nested") != bool(record_path):
+        raise ValueError(f"layout {layout!r} with record path {record_path!r}")
+    opening = "[" if layout == "array" else "{"
+    for file in list_files(spark, path):
+        line = first_line(spark, file)
+        if line is not None and not line.lstrip().startswith(opening):
+            raise ValueError(f"{file} does not open with {opening!r} as the layout {layout!r} does")
+    reader = spark.read.option("mode", "FAILFAST").option("multiLine", layout != "lines")
+    if layout == "nested":
+        df = reader.schema(record_path_schema(schema, record_path)).json(path).selectExpr(f"inline({record_path})")
+    else:
+        df = reader.schema(schema).json(path)
+    if key is None:
+        return df
+    failed = F.raise_error(F.lit(f"a record without {key}: is the layout {layout!r}?")).cast("boolean")
+    return df.filter(F.when(F.col(key).isNotNull(), F.lit(True)).otherwise(failed))
 
 
 def load_seed(spark: SparkSession, path: str, ddl: str) -> DataFrame:

@@ -38,7 +38,14 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.col("l_shipdate") + _minutes(F.col("l_partkey") % 1440)
     end = F.when(missing, start).otherwise(start + _minutes(F.col("l_quantity")))
     start_id = F.col("l_suppkey")
-    end_id = F.col("l_partkey") % 120
+    # Text ids as raw files hold them: padded, non-numeric and the word NULL among them.
+    number = (F.col("l_partkey") % 120).cast("string")
+    end_id = (
+        F.when(F.col("l_partkey") % 211 == 0, F.lit("NULL"))
+        .when(F.col("l_partkey") % 223 == 0, F.concat(F.lit("SX"), number))
+        .when(F.col("l_partkey") % 7 == 0, F.lpad(number, 5, "0"))
+        .otherwise(number)
+    )
     return li.select(
         F.col("l_orderkey").alias("trip_id"),
         duration.alias("trip_duration"),
@@ -47,7 +54,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Station "), start_id.cast("string")).alias("start_station_name"),
         end_id.alias("end_station_id"),
         end.alias("end_time"),
-        F.concat(F.lit("Station "), end_id.cast("string")).alias("end_station_name"),
+        F.concat(F.lit("Station "), end_id).alias("end_station_name"),
         F.col("l_partkey").alias("bike_id"),
         F.when(F.col("l_linestatus") == "O", F.lit("Annual Member"))
         .otherwise(F.lit("Casual Member"))
@@ -82,7 +89,9 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "short_name": k.cast("string"),
         "nearby_distance": F.lit(500.0),
         "_ride_code_support": F.lit(True),
-        "rental_uris": F.create_map().cast("map<string,string>"),
+        "rental_uris": F.when(k % 4 == 0, F.create_map().cast("map<string,string>")).otherwise(
+            F.create_map(F.lit("ios"), F.concat(F.lit("app://"), k.cast("string")), F.lit("web"), F.col("s_name"))
+        ),
         "post_code": F.lit(None).cast("string"),
         "is_valet_station": F.lit(None).cast("boolean"),
         "cross_street": F.lit(None).cast("string"),
@@ -184,8 +193,8 @@ def render_raw_files(spark: SparkSession, inp, root: str) -> dict[str, str]:
 
     canonical = [c[0] for c in TRIP_COLUMNS]
     even = F.col("trip_id") % 2 == 0
-    write_raw_csv(inp.trips.filter(even), f"{root}/trips/bikeshare-ridership-a", TRIP_COLUMNS)
-    write_raw_csv(inp.trips.filter(~even), f"{root}/trips/bikeshare-ridership-b", TRIP_COLUMNS, canonical[::-1])
+    write_raw_csv(inp.trips.filter(even), f"{root}/trips/ridership-a", TRIP_COLUMNS)
+    write_raw_csv(inp.trips.filter(~even), f"{root}/trips/ridership-b", TRIP_COLUMNS, canonical[::-1])
     inp.stations.write.mode("overwrite").json(f"{root}/stations")
     paths = render_weather_files(inp, root)
     from . import calendars
@@ -193,7 +202,7 @@ def render_raw_files(spark: SparkSession, inp, root: str) -> dict[str, str]:
     calendars.holiday_seed(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/hol")
     calendars.restriction_seed(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/cov")
     paths.update(
-        trips=f"{root}/trips/bikeshare-ridership-*/*.csv",
+        trips=f"{root}/trips/ridership-*/*.csv",
         stations=f"{root}/stations",
         holidays=f"{root}/hol",
         restrictions=f"{root}/cov",

@@ -29,6 +29,16 @@ def test_non_numeric_station_id_fails(spark):
                         "s_", ["name"]).collect()
 
 
+def test_end_role_compares_text(spark):
+    inp = tables.role_inputs(spark, SF001)
+    trip = tables.trips_clean(inp).limit(1)
+    ids = ["7000", "07000", "NULL", "SX1"]
+    trips = trip.drop("end_station_id").crossJoin(spark.createDataFrame([(i,) for i in ids], "end_station_id string"))
+    dim = tables.stations_clean(inp).limit(1).withColumn("station_id", F.lit("7000"))
+    out = joins.enrich_trips(trips, dim, tables.weather_clean(inp)).collect()
+    assert {r.end_station_id: r.end_station_name is not None for r in out} == {i: i == "7000" for i in ids}
+
+
 def test_duplicate_dimension_key_fans_out(spark):
     facts = spark.createDataFrame([(1,), (2,)], "start_station_id bigint")
     dim = spark.createDataFrame([("1", "A"), ("1", "B")], "station_id string, name string")
@@ -39,8 +49,8 @@ def test_duplicate_dimension_key_fans_out(spark):
 
 def test_size_check_decides_broadcast(spark):
     small = spark.range(10)
-    assert joins.within_rows(small, 10) and not joins.within_rows(small, 9)
-    plan = spark.range(100).join(joins.size_checked(small, 10), "id")._jdf.queryExecution().executedPlan().toString()
+    assert joins.within_bytes(small, 100) and not joins.within_bytes(small, 50)
+    plan = spark.range(100).join(joins.size_checked(small, 100), "id")._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
     big = spark.range(1000)
     assert joins.size_checked(big, 10) is big
@@ -49,7 +59,7 @@ def test_size_check_decides_broadcast(spark):
 def test_join_first_plan_used_when_stations_repeat(spark):
     inp = tables.role_inputs(spark, SF001)
     dup = inp.stations.unionByName(inp.stations.filter(F.col("station_id") == "3"))
-    inp2 = dataclasses.replace(inp, stations=dup)
+    inp2 = dataclasses.replace(inp, stations=dup, keyed=None)
     assert tables.dimensions_keyed(tables.stations_clean(inp), tables.weather_clean(inp))
     assert not tables.dimensions_keyed(tables.stations_clean(inp2), tables.weather_clean(inp2))
     auto = tables.daily_features(inp2).orderBy("trip_date").collect()

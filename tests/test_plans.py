@@ -57,6 +57,8 @@ def test_null_filter_reaches_the_scan_of_a_trips_table(spark):
     plan = plan_of(tables.daily_features(inp2))
     assert "PushedFilters: [IsNotNull(trip_duration)]" in plan
     assert "ReadSchema: struct<trip_duration:bigint,start_time:timestamp_ntz,user_type:string>" in plan
+    # the percentile reads a histogram, never trip rows
+    assert all("percentile" not in line for line in plan.splitlines() if "partial_count(1)" in line)
 
 
 def test_trip_level_aggregations_combine_before_the_shuffle(spark):
@@ -65,7 +67,7 @@ def test_trip_level_aggregations_combine_before_the_shuffle(spark):
     plan = tables.daily_features(inp)._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
     scans = [i for i, line in enumerate(lines) if "FileScan parquet" in line and "lineitem" in line]
-    assert len(scans) == 6
+    assert 0 < len(scans) <= 3
     for i in scans:
         # walking up from the scan, the first aggregate comes before the first exchange
         above = lines[:i][::-1]

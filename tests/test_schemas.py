@@ -24,7 +24,7 @@ def test_grain_table_types(spark):
     types = dict(daily.dtypes)
     assert types["trip_date"] == "date" and types["total_trips__leaky"] == "bigint"
     assert types["median_trip_duration__leaky"] == "double" and types["day_of_week"] == "bigint"
-    assert types["top_end_station_id__leaky"] == "bigint"
+    assert types["top_end_station_id__leaky"] == "string"
     weekly = tables.weekly_features(daily)
     assert dict(weekly.dtypes)["week_start_date"] == "timestamp_ntz"
     assert dict(weekly.dtypes)["total_trips__leaky"] == "bigint"

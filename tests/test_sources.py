@@ -33,12 +33,12 @@ def trip_files(tmp):
         "6,600,7000,1/2/2024 9:00,A,7001,1/2/2024 9:10,B,59,Annual Member,extra",  # long row -> dropped
         "7,600,7000,13/45/2024 9:00,A,7001,1/2/2024 9:10,B,60,Annual Member",  # bad time -> dropped
     ]
-    write(f"{tmp}/bikeshare-ridership-2024/a.csv", "\n".join(rows_a) + "\n")
+    write(f"{tmp}/ridership-2024/a.csv", "\n".join(rows_a) + "\n")
     # Second file: same columns, reversed order.
     rev = [c[0] for c in TRIP_COLUMNS][::-1]
     values = "Casual Member,61,D,1/3/2024 10:20,7003,C,12/31/2024 23:59,7002,1200,8".split(",")
-    write(f"{tmp}/bikeshare-ridership-2025/b.csv", ",".join(rev) + "\n" + ",".join(values) + "\n")
-    return f"{tmp}/bikeshare-ridership-*/*.csv"
+    write(f"{tmp}/ridership-2025/b.csv", ",".join(rev) + "\n" + ",".join(values) + "\n")
+    return f"{tmp}/ridership-*/*.csv"
 
 
 def test_csv_drop_bad_rows_and_align_headers(spark, trip_files):
@@ -73,15 +73,57 @@ def test_csv_fail_mode(spark, trip_files):
         staging.stage_trips(raw).collect()
 
 
-def test_csv_missing_column_is_null(spark, tmp):
-    cols = [c[0] for c in TRIP_COLUMNS if c[0] != "Bike Id"]
-    vals = {"Trip Id": "9", "Trip  Duration": "60", "Start Station Id": "1", "Start Time": "1/1/2024 0:00",
-            "Start Station Name": "A", "End Station Id": "2", "End Time": "1/1/2024 0:01",
-            "End Station Name": "B", "User Type": "Annual Member"}
-    write(f"{tmp}/x/one.csv", ",".join(cols) + "\n" + ",".join(vals[c] for c in cols) + "\n")
-    staged = staging.stage_trips(files.read_csv_aligned(spark, f"{tmp}/x/*.csv", TRIP_COLUMNS))
-    row = staged.collect()[0]
-    assert row.trip_id == 9 and row.bike_id is None
+def test_csv_missing_column_fails_with_the_file(spark, tmp):
+    write(f"{tmp}/x/one.csv", HEADER.replace("Trip  Duration", "Trip Duration") + "\n")
+    with pytest.raises(ValueError, match=r"Trip  Duration.*one\.csv"):
+        files.read_csv_aligned(spark, f"{tmp}/x/*.csv", TRIP_COLUMNS)
+
+
+def test_csv_names_match_whatever_their_case_and_blank_lines_are_skipped(spark, tmp):
+    write(f"{tmp}/y/one.csv", "\n\n" + HEADER.upper() + "\n1,600,7000,1/2/2024 3:04,A,7001,1/2/2024 3:14,B,55,Annual Member\n")
+    write(f"{tmp}/y/none.csv", "")
+    got = staging.stage_trips(files.read_csv_aligned(spark, f"{tmp}/y/*.csv", TRIP_COLUMNS)).collect()
+    assert [(r.trip_id, r.end_station_id) for r in got] == [(1, "7001")]
+    write(f"{tmp}/z/blank.csv", "\n \n")
+    with pytest.raises(ValueError, match="blank"):
+        files.read_csv_aligned(spark, f"{tmp}/z/*.csv", TRIP_COLUMNS)
+
+
+def test_text_end_ids_survive_a_tolerant_read(spark, tmp):
+    ids = ["NULL", "7001", "07001", "SX1"]
+    rows = [f"{i},600,7000,1/2/2024 3:04,A,{e},1/2/2024 3:14,B,55,Annual Member" for i, e in enumerate(ids)]
+    write(f"{tmp}/e/a.csv", "\n".join([HEADER, *rows]) + "\n")
+    got = staging.stage_trips(files.read_csv_aligned(spark, f"{tmp}/e/*.csv", TRIP_COLUMNS)).orderBy("trip_id").collect()
+    assert [r.end_station_id for r in got] == ids
+
+
+def test_strict_reads_fail_under_any_projection(spark, tmp):
+    head = "Date/Time,Max Temp (°C)"
+    columns = [("Date/Time", "date_time", "date", None), ("Max Temp (°C)", "max_temp_c", "double", None)]
+    for name, bad in (("short", "2024-01-02"), ("type", "2024-01-02,warm")):
+        write(f"{tmp}/{name}/a.csv", f"{head}\n2024-01-01,1.5\n{bad}\n")
+        raw = files.read_csv_aligned(spark, f"{tmp}/{name}/*.csv", columns, bad_rows="fail")
+        with pytest.raises(Exception):
+            raw.select("`Date/Time`").collect()
+
+
+def count_jobs(spark, run):
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_do_not_grow_with_the_number_of_files(spark, tmp):
+    row = "1,600,7000,1/2/2024 3:04,A,7001,1/2/2024 3:14,B,55,Annual Member"
+    jobs = []
+    for n in (3, 300):
+        for i in range(n):
+            write(f"{tmp}/n{n}/{i}.csv", f"{HEADER}\n{row}\n")
+        jobs.append(count_jobs(spark, lambda n=n: files.read_csv_aligned(spark, f"{tmp}/n{n}/*.csv", TRIP_COLUMNS)))
+    assert jobs[1] <= jobs[0] + 3  # listing many paths is at most one distributed job per read
 
 
 def test_raw_csv_writer_roundtrip(spark, tmp):
@@ -128,6 +170,18 @@ def test_json_lines_records(spark, tmp):
     assert sorted(r.station_id for r in df.collect()) == ["0", "1", "2"]
 
 
+def test_json_layouts_are_declared(spark, tmp):
+    write(f"{tmp}/array.json", json.dumps([station(i) for i in range(2)], indent=2))
+    write(f"{tmp}/lines.json", "\n".join(json.dumps(station(i)) for i in range(3)))
+    write(f"{tmp}/nested.json", json.dumps({"data": {"stations": [station(1)]}}))
+    read = lambda f, **kw: files.read_json_records(spark, f"{tmp}/{f}.json", station_schema(), key="station_id", **kw).collect()
+    assert [r.station_id for r in read("array", layout="array")] == ["0", "1"]
+    for wrong in (("array", {"layout": "lines"}), ("lines", {"layout": "array"}), ("nested", {"layout": "lines"}),
+                  ("array", {"record_path": "data.stations"}), ("nested", {"layout": "array"})):
+        with pytest.raises(Exception):
+            read(wrong[0], **wrong[1])
+
+
 def test_seeds_parse(spark, tmp):
     write(f"{tmp}/covid.csv", 'dates,hospitalizations,icu_admissions,inhospital_deaths,ed_visits,restrictions\n'
           '"Mar, 2020",867,196,130,"9,420",1\n"Apr, 2020","5,366","1,233","1,460","13,702",0\n')
@@ -146,9 +200,12 @@ def test_json_map_parse(spark):
     assert row.m["k"] == "69" and json.loads(row.m["o"]) == {"x": 1}
 
 
-def test_csv_headers_per_directory(spark, trip_files):
-    raw = files.read_csv_aligned(spark, trip_files, TRIP_COLUMNS, headers="directory")
-    assert sorted(r.trip_id for r in staging.stage_trips(raw).collect()) == [1, 2, 8]
+def test_one_reversed_file_in_a_folder_is_aligned(spark, tmp):
+    rev = [c[0] for c in TRIP_COLUMNS][::-1]
+    values = "Casual Member,61,D,1/3/2024 10:20,7003,C,12/31/2024 23:59,7002,1200,8"
+    write(f"{tmp}/d/a.csv", f"{HEADER}\n1,600,7000,1/2/2024 3:04,A,7001,1/2/2024 3:14,B,55,Annual Member\n")
+    write(f"{tmp}/d/b.csv", ",".join(rev) + "\n" + values + "\n")
+    assert sorted(r.trip_id for r in staging.stage_trips(files.read_csv_aligned(spark, f"{tmp}/d/*.csv", TRIP_COLUMNS)).collect()) == [1, 8]
 
 
 def test_csv_reject_report(spark, trip_files):
