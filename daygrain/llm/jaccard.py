@@ -15,14 +15,16 @@ different texts is lost:
 3. Classes with identical prefix and size fold into one group.
 4. Each prefix shingle lists its groups.  Only shingles of two or more groups
    matter; a fixed-size bit filter drops most others before the shuffle.
-5. First round: each group meets the least group of every list it is in (and
-   each class the least class of its group).  Pairs pass the size, position
-   and parity bounds, are expanded to members, pass the bound of the whole
-   parity sketches and are verified on the whole sets.
-6. Second round: where a list still holds more than one component, the
+5. First round: all pairs of groups in lists of up to ``LONG_LIST``; in
+   longer ones each group meets the list's least group (and each class the
+   least class of its group).  Pairs pass the size, position and parity
+   bounds, are expanded to members, pass the bound of the whole parity
+   sketches and are verified on the whole sets.
+6. Second round: where a long list still holds more than one component, the
    groups outside its first group's component meet all groups of the list
-   that are in another component.  So each list pair is either within one
-   component or has been verified.
+   that are in another component.  A row brings the shingles before its own,
+   and a pair that shares one of those is left to that shingle's list.  So
+   each pair of a list is within one component or has been verified.
 7. Components of the verified links, joined back to every document.
 
 Bounds: a parity bit differs for an odd number of elements, so the number of
@@ -42,12 +44,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import components
 from .text import bit_filter, distinct, encode, gram_hashes, hash_words, small_batches, write_read
 
 FREQUENT = 1 << 15
+LONG_LIST = 16
 _BITS = [f"b{i}" for i in range(4)]
+_LISTED = ["token", "pos", "gid", "n", *_BITS, "lo", "hi", "outside", "earlier"]
 
 
 def shingles(text, width: int) -> np.ndarray:
@@ -82,7 +87,7 @@ def frequent(docs: DataFrame, width: int, percent: int, limit: int = FREQUENT) -
             weights = np.concatenate([counts, np.ones(sum(map(len, found[1:])), np.int64)])
             tokens, where = np.unique(np.concatenate(found), return_inverse=True)
             counts = np.bincount(where, weights=weights, minlength=len(tokens)).astype(np.int64)
-            if len(tokens) > 1 << 21:
+            if len(tokens) > 1 << 19:
                 tokens, counts = tokens[counts > 1], counts[counts > 1]
         often = counts >= 4
         yield pa.RecordBatch.from_arrays([pa.array(_signed(tokens[often])), pa.array(counts[often])], names=["token", "seen"])
@@ -154,6 +159,21 @@ def _postings(groups: DataFrame, keep=None) -> DataFrame:
     return groups.mapInArrow(run, schema)
 
 
+def _with_earlier(rows: DataFrame) -> DataFrame:
+    """Adds ``earlier``: the prefix shingles before the one that lists the row."""
+
+    def run(batches):
+        for batch in small_batches(batches, "prefix"):
+            found = [np.frombuffer(p, np.int64) for p in batch.column("prefix").to_pylist()]
+            pos, token = batch.column("pos").to_pylist(), batch.column("token").to_pylist()
+            own = pa.array([i < len(p) and int(p[i]) == t for p, i, t in zip(found, pos, token, strict=True)], pa.bool_())
+            earlier = pa.array([p[:i] for p, i in zip(found, pos, strict=True)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(own) for c in _LISTED[:-1]] + [earlier.filter(own)], names=_LISTED)
+
+    kept = [rows.schema[c] for c in _LISTED[:-1]] + [T.StructField("earlier", T.ArrayType(T.LongType()))]
+    return rows.select(*_LISTED[:-1], "prefix").mapInArrow(run, T.StructType(kept))
+
+
 def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
@@ -233,24 +253,36 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     shared = _postings(groups).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
     lists = write_read(_postings(groups, bit_filter(shared, "token")), "lists")
 
-    # First round: against the least group of each list, and of each group.
-    head = lists.groupBy("token").agg(F.min(F.struct("gid", "n", "pos", *_BITS)).alias("p"), F.count(F.lit(1)).alias("c"))
-    head = head.where(F.col("c") > 1).select("token", "p.*")
-    x, p = lists.alias("x"), head.alias("p")
-    fits = (
-        (F.col("x.gid") != F.col("p.gid"))
-        & _sizes_fit(F.col("x.n"), F.col("p.n"), percent)
-        & _position_fits(F.col("x.n"), F.col("x.pos"), F.col("p.n"), F.col("p.pos"), percent)
-        & _parity_fits("x", "p", F.col("x.n"), F.col("p.n"), percent)
-    )
-    met = x.join(p, (F.col("x.token") == F.col("p.token")) & fits).select(F.col("x.gid").alias("gid"), F.col("p.gid").alias("to")).distinct()
+    # First round: every pair of a short list; in a long one, against its least group.
+    head = lists.groupBy("token").agg(F.min(F.struct("gid", "n", "pos", *_BITS)).alias("p"), F.count(F.lit(1)).alias("length"))
+    head = head.where(F.col("length") > 1)
+    sized = write_read(lists.join(head.select("token", "length"), "token"), "sized")
+    short, long_ = sized.where(F.col("length") <= LONG_LIST), sized.where(F.col("length") > LONG_LIST)
+
+    def fits(x, p):
+        return (
+            (F.col(f"{x}.token") == F.col(f"{p}.token"))
+            & _sizes_fit(F.col(f"{x}.n"), F.col(f"{p}.n"), percent)
+            & _position_fits(F.col(f"{x}.n"), F.col(f"{x}.pos"), F.col(f"{p}.n"), F.col(f"{p}.pos"), percent)
+            & _parity_fits(x, p, F.col(f"{x}.n"), F.col(f"{p}.n"), percent)
+        )
+
+    def pairs_of(joined, whole):
+        return joined.select(F.col("x.gid").alias("gid"), F.col("p.gid").alias("to"), F.lit(whole).alias("whole"))
+
+    pivots = head.where(F.col("length") > LONG_LIST).select("token", "p.*")
+    met = long_.alias("x").join(pivots.alias("p"), fits("x", "p") & (F.col("x.gid") != F.col("p.gid")))
+    every = short.alias("x").join(short.alias("p"), fits("x", "p") & (F.col("x.gid") > F.col("p.gid")))
+    met = write_read(pairs_of(met, False).union(pairs_of(every, True)).distinct(), "met")
     own = members.where(F.col("cid") != F.col("gid")).select("cid", F.col("gid").alias("to"), "n", *_BITS)
-    expanded = members.join(met, "gid").select("cid", "to", "n", *_BITS).union(own).alias("x")
-    pivot = members.alias("y")
+    # A short list's pair stands for all members of both groups, a pivot for its least class.
+    chosen = members.join(met, "gid").select("cid", "to", "n", *_BITS, "whole").union(own.withColumn("whole", F.lit(False)).select("cid", "to", "n", *_BITS, "whole")).alias("x")
+    others = members.alias("y")
     first = (
-        expanded.join(
-            pivot,
-            (F.col("x.to") == F.col("y.cid"))
+        chosen.join(
+            others,
+            (F.col("x.to") == F.col("y.gid"))
+            & (F.col("x.whole") | (F.col("y.cid") == F.col("y.gid")))
             & (F.col("x.cid") != F.col("y.cid"))
             & _sizes_fit(F.col("x.n"), F.col("y.n"), percent)
             & _parity_fits("x", "y", F.col("x.n"), F.col("y.n"), percent),
@@ -260,21 +292,20 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     )
     found = components(_verified(first, light, docs, width, percent))
 
-    # Second round: what a list still holds besides its first component.
+    # Second round: what a long list still holds besides its first component.
     placed = write_read(
         members.join(found.withColumnRenamed("id", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")).drop("d0", "d1"),
         "placed",
     )
     span = placed.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    spread = lists.join(span, "gid")
+    spread = long_.drop("length").join(span, "gid")
     uniform = F.col("lo") == F.col("hi")
     main = spread.groupBy("token").agg(F.min(F.struct("gid", "lo", "hi")).alias("m"), F.min("lo").alias("l"), F.max("hi").alias("h"))
     main = main.where(F.col("l") != F.col("h")).select("token", F.when(F.col("m.lo") == F.col("m.hi"), F.col("m.lo")).alias("main"))
-    mixed = write_read(
-        spread.join(main, "token").withColumn("outside", ~F.coalesce(uniform & (F.col("lo") == F.col("main")), F.lit(False))),
-        "mixed",
-    )
-    r, a = mixed.where("outside").alias("r"), mixed.alias("a")
+    mixed = spread.join(main, "token").withColumn("outside", ~F.coalesce(uniform & (F.col("lo") == F.col("main")), F.lit(False)))
+    # A pair meets once: where neither group has an earlier shingle of the other.
+    listed = write_read(_with_earlier(mixed.join(groups.select("gid", "prefix"), "gid")), "listed")
+    r, a = listed.where("outside").alias("r"), listed.alias("a")
     apart = (
         (F.col("r.gid") != F.col("a.gid"))
         & (~F.col("a.outside") | (F.col("r.gid") < F.col("a.gid")))
@@ -282,6 +313,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         & _sizes_fit(F.col("r.n"), F.col("a.n"), percent)
         & _position_fits(F.col("r.n"), F.col("r.pos"), F.col("a.n"), F.col("a.pos"), percent)
         & _parity_fits("r", "a", F.col("r.n"), F.col("a.n"), percent)
+        & ~F.arrays_overlap("r.earlier", "a.earlier")
     )
     meet = r.join(a, (F.col("r.token") == F.col("a.token")) & apart).select(F.col("r.gid").alias("g"), F.col("a.gid").alias("to")).distinct()
     torn = span.where(~uniform).select(F.col("gid").alias("g"), F.col("gid").alias("to"))

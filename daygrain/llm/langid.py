@@ -256,16 +256,18 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per
     return out
 
 
-def predict_table(docs: DataFrame, samples: dict, text_col: str = "text", keep=("doc_id",), total_symbols: int = 1 << 16) -> DataFrame:
-    """``keep`` columns plus ``lang_pred`` and ``score``; one pass, no shuffle."""
-    keep = list(keep)
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+def predict_table(docs: DataFrame, samples: dict, text_col: str = "text", keep=("doc_id",), total_symbols: int = 1 << 16, names=("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns plus the language and its score under ``names``; one pass, no shuffle."""
+    keep, names = list(keep), list(names)
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    text = text_col if text_col in keep else "__text"
     key = str(hash(tuple((k, tuple(d.tobytes() for d in v)) for k, v in sorted(samples.items())))) + str(total_symbols)
 
     def run(batches):
         model = _model(key, samples, total_symbols)
-        for batch in small_batches(batches, "__text"):
-            langs, scores = model.predict(batch.column("__text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+        for batch in small_batches(batches, text):
+            langs, scores = model.predict(batch.column(text).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, *names])
 
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    rows = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text_col).alias(text))
+    return rows.mapInArrow(run, schema)

@@ -47,8 +47,10 @@ def test_jaccard_matches_brute_force(spark, width, percent):
     assert len({c for _, c in want.values()}) < len(want) - 20
 
 
-def test_jaccard_chains_near_the_threshold(spark):
+@pytest.mark.parametrize("long_list", [1, 16])
+def test_jaccard_chains_near_the_threshold(spark, monkeypatch, long_list):
     """Drifting copies: neighbours link, ends do not, and pivots alone would miss links."""
+    monkeypatch.setattr(jaccard, "LONG_LIST", long_list)
     r = random.Random(9)
     words = sentence(r, 150).split()
     rows = []
@@ -62,6 +64,15 @@ def test_jaccard_chains_near_the_threshold(spark):
     assert got == want
 
 
+def test_jaccard_long_lists_only(spark, monkeypatch):
+    """Every list goes through pivots and the second round."""
+    monkeypatch.setattr(jaccard, "LONG_LIST", 1)
+    rows = documents()
+    want = brute.jaccard_components(dict(known(rows)))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.cluster(frame(spark, known_rows(rows))).collect()}
+    assert got == want
+
+
 def test_jaccard_order_does_not_change_the_result(spark, monkeypatch):
     rows = documents()
     want = sorted(map(tuple, jaccard.cluster(frame(spark, known_rows(rows))).collect()))
