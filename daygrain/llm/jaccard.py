@@ -22,9 +22,10 @@ different texts is lost:
    sketches and are verified on the whole sets.
 6. Second round: where a long list still holds more than one component, the
    groups outside its first group's component meet all groups of the list
-   that are in another component.  A row brings the shingles before its own,
-   and a pair that shares one of those is left to that shingle's list.  So
-   each pair of a list is within one component or has been verified.
+   that are in another component.  A row brings the first ``EARLIER`` listed
+   shingles before its own, and a pair that shares one of those is left to
+   that shingle's list.  (A pair that shares others meets again, which costs
+   a row.)  So each pair of a list is within one component or verified.
 7. Components of the verified links, joined back to every document.
 
 Bounds: a parity bit differs for an odd number of elements, so the number of
@@ -44,15 +45,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .components import components
 from .text import bit_filter, distinct, encode, gram_hashes, hash_words, small_batches, write_read
 
 FREQUENT = 1 << 15
 LONG_LIST = 16
+EARLIER = 8
 _BITS = [f"b{i}" for i in range(4)]
-_LISTED = ["token", "pos", "gid", "n", *_BITS, "lo", "hi", "outside", "earlier"]
 
 
 def shingles(text, width: int) -> np.ndarray:
@@ -137,41 +137,40 @@ def sketch(docs: DataFrame, width: int, percent: int, last: np.ndarray) -> DataF
     return docs.mapInArrow(run, "id long, n long, d0 long, d1 long, g0 long, g1 long, b0 long, b1 long, b2 long, b3 long, parity binary, prefix binary")
 
 
-def _postings(groups: DataFrame, keep=None) -> DataFrame:
-    """One row per prefix shingle of each group; ``keep`` filters shingles."""
+def _postings(groups: DataFrame, keep=None, known=None) -> DataFrame:
+    """One row per prefix shingle of each group; ``keep`` filters shingles.
+
+    With ``known`` a row also brings ``earlier``: the first ``EARLIER``
+    shingles of the prefix that pass ``known`` and stand before its own.
+    """
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, "prefix"):
             found = [np.frombuffer(p, np.uint64) for p in batch.column("prefix").to_pylist()]
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             tokens = np.concatenate(found) if found else np.empty(0, np.uint64)
+            if keep is None:
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(tokens))], names=["token"])
+                continue
             row = np.repeat(np.arange(len(found)), lengths)
-            pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            if keep is not None:
-                good = keep.test(tokens)
-                tokens, row, pos = tokens[good], row[good], pos[good]
-            rest = [batch.column(c).take(pa.array(row)) for c in ("gid", "n", *_BITS)] if keep is not None else []
-            names = ["token", "pos", "gid", "n", *_BITS] if keep is not None else ["token"]
-            arrays = [pa.array(_signed(tokens)), *([pa.array(pos.astype(np.int64)), *rest] if keep is not None else [])]
+            starts = np.cumsum(lengths) - lengths
+            pos = np.arange(len(tokens)) - starts[row]
+            good = keep.test(tokens)
+            arrays = [pa.array(_signed(tokens[good])), pa.array(pos[good])]
+            arrays += [batch.column(c).take(pa.array(row[good])) for c in names[2:8]]
+            if known is not None:
+                hit = known.test(tokens)
+                before = np.concatenate([[0], np.cumsum(hit)])
+                first = before[starts][row[good]]
+                count = np.minimum(before[:-1][good] - first, EARLIER)
+                offsets = np.concatenate([[0], np.cumsum(count)])
+                at = np.arange(offsets[-1]) + np.repeat(first - offsets[:-1], count)
+                arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(_signed(tokens[hit][at]))))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    schema = "token long, pos long, gid long, n long, b0 long, b1 long, b2 long, b3 long" if keep is not None else "token long"
-    return groups.mapInArrow(run, schema)
-
-
-def _with_earlier(rows: DataFrame) -> DataFrame:
-    """Adds ``earlier``: the prefix shingles before the one that lists the row."""
-
-    def run(batches):
-        for batch in small_batches(batches, "prefix"):
-            found = [np.frombuffer(p, np.int64) for p in batch.column("prefix").to_pylist()]
-            pos, token = batch.column("pos").to_pylist(), batch.column("token").to_pylist()
-            own = pa.array([i < len(p) and int(p[i]) == t for p, i, t in zip(found, pos, token, strict=True)], pa.bool_())
-            earlier = pa.array([p[:i] for p, i in zip(found, pos, strict=True)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(own) for c in _LISTED[:-1]] + [earlier.filter(own)], names=_LISTED)
-
-    kept = [rows.schema[c] for c in _LISTED[:-1]] + [T.StructField("earlier", T.ArrayType(T.LongType()))]
-    return rows.select(*_LISTED[:-1], "prefix").mapInArrow(run, T.StructType(kept))
+    names = ["token", "pos", "gid", "n", *_BITS] + (["earlier"] if known is not None else [])
+    schema = ", ".join(f"{c} {'array<long>' if c == 'earlier' else 'long'}" for c in names)
+    return groups.mapInArrow(run, schema if keep is not None else "token long")
 
 
 def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
@@ -251,7 +250,8 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         "members",
     )
     shared = _postings(groups).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
-    lists = write_read(_postings(groups, bit_filter(shared, "token")), "lists")
+    several = bit_filter(shared, "token")
+    lists = write_read(_postings(groups, several), "lists")
 
     # First round: every pair of a short list; in a long one, against its least group.
     head = lists.groupBy("token").agg(F.min(F.struct("gid", "n", "pos", *_BITS)).alias("p"), F.count(F.lit(1)).alias("length"))
@@ -298,13 +298,15 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         "placed",
     )
     span = placed.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    spread = long_.drop("length").join(span, "gid")
+    spread = long_.select("token", "gid").join(span, "gid")
     uniform = F.col("lo") == F.col("hi")
     main = spread.groupBy("token").agg(F.min(F.struct("gid", "lo", "hi")).alias("m"), F.min("lo").alias("l"), F.max("hi").alias("h"))
     main = main.where(F.col("l") != F.col("h")).select("token", F.when(F.col("m.lo") == F.col("m.hi"), F.col("m.lo")).alias("main"))
-    mixed = spread.join(main, "token").withColumn("outside", ~F.coalesce(uniform & (F.col("lo") == F.col("main")), F.lit(False)))
+    main = write_read(main, "main")
     # A pair meets once: where neither group has an earlier shingle of the other.
-    listed = write_read(_with_earlier(mixed.join(groups.select("gid", "prefix"), "gid")), "listed")
+    mixed = _postings(groups, bit_filter(main, "token"), several).join(main, "token").join(span, "gid")
+    outside = ~F.coalesce(uniform & (F.col("lo") == F.col("main")), F.lit(False))
+    listed = write_read(mixed.withColumn("outside", outside).drop("main"), "listed")
     r, a = listed.where("outside").alias("r"), listed.alias("a")
     apart = (
         (F.col("r.gid") != F.col("a.gid"))
