@@ -148,7 +148,7 @@ def q_coverage(spark, sf_dir):
 
 def q_importances(spark, sf_dir):
     """M1-M6: forest on the daily v2 mart, chronological split, ranked importances."""
-    mart = marts.mart(_grain_table(spark, sf_dir, "daily"), "daily", "v2")
+    mart = modeling.written(marts.mart(_grain_table(spark, sf_dir, "daily"), "daily", "v2"))
     feats = modeling.select_features(mart, "trip_date")
     clean = modeling.complete_cases(mart, feats + ["total_trips__leaky"])
     train, test = modeling.chrono_split(clean, "trip_date", 0.8)

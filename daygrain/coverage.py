@@ -20,7 +20,7 @@ COVERAGE: dict[str, tuple[str, str]] = {
     "S4": (f"{S_}.files.read_csv_aligned", "s03_s04_weather_csv"),
     "S5": (f"{S_}.files.load_seed", "t11_daily_features_from_raw_files"),
     "S6": (f"{S_}.files.load_seed", "t11_daily_features_from_raw_files"),
-    "S7": (f"{S_}.files.record_path_schema", "tests/test_sources.py::test_json_nested_records_and_clean_defaults"),
+    "S7": (f"{S_}.files.record_path_schema", "s07_nested_stations"),
     "S8": (f"{S_}.files.headers_by_file", "s01_csv_trips_aligned"),
     "S9": (f"{P_}.marts.Project.ref", "s12_build_materialize_read"),
     "S10": (f"{S_}.sinks.materialize", "s12_build_materialize_read"),
@@ -30,11 +30,11 @@ COVERAGE: dict[str, tuple[str, str]] = {
     "S14": (f"{S_}.sinks.read_exported_csv", "s11_export_csv_roundtrip"),
     # projections
     "P1": (f"{O_}.staging.stage_trips", "s01_csv_trips_aligned"),
-    "P2": (f"{O_}.staging.stage_stations", "s02_json_stations"),
-    "P3": (f"{O_}.staging.stage_weather", "s03_s04_weather_csv"),
-    "P4": (f"{O_}.staging.stage_weather", "s03_s04_weather_csv"),
-    "P5": (f"{O_}.staging.stage_holidays", "t11_daily_features_from_raw_files"),
-    "P6": (f"{O_}.staging.stage_restrictions", "t11_daily_features_from_raw_files"),
+    "P2": (f"{O_}.staging.stage_stations", "t02_staged_stations"),
+    "P3": (f"{O_}.staging.stage_weather", "t03_staged_weather_primary"),
+    "P4": (f"{O_}.staging.stage_weather", "t04_staged_weather_secondary"),
+    "P5": (f"{O_}.staging.stage_holidays", "t05_staged_holidays"),
+    "P6": (f"{O_}.staging.stage_restrictions", "t06_staged_restrictions"),
     "P7": (f"{O_}.cleaning.clean_stations", "t08_clean_stations"),
     "P8": (f"{O_}.joins.role_join", "t10_enriched_trips"),
     "P9": (f"{P_}.tables.daily_features", "t11_daily_features"),
@@ -51,8 +51,8 @@ COVERAGE: dict[str, tuple[str, str]] = {
     "F7": (f"{F_}.exprs.pct_change", "t11_daily_features"),
     "F8": (f"{O_}.aggregate.rollup_period", "t12_weekly_features"),
     "F9": (f"{S_}.sinks.read_mart", "s12_build_materialize_read"),
-    "F10": (f"{P_}.modeling.complete_cases", "m06_feature_importances"),
-    "F11": (f"{S_}.files.read_csv_aligned", "tests/test_sources.py::test_csv_drop_bad_rows_and_align_headers"),
+    "F10": (f"{P_}.modeling.complete_cases", "f10_m01_m03_split"),
+    "F11": (f"{S_}.files.read_csv_aligned", "f11_reject_report"),
     # joins
     "J1": (f"{O_}.cleaning.fallback_merge", "t09_clean_weather"),
     "J2": (f"{O_}.joins.enrich_trips", "t10_enriched_trips"),
@@ -115,7 +115,7 @@ COVERAGE: dict[str, tuple[str, str]] = {
     "X1": (f"{F_}.dates.parse_trip_time", "s01_csv_trips_aligned"),
     "X2": (f"{F_}.dates.parse_month_year", "t11_daily_features_from_raw_files"),
     "X3": (f"{F_}.dates.parse_day_month_year", "t11_daily_features_from_raw_files"),
-    "X4": (f"{F_}.exprs.strip_thousands", "t11_daily_features_from_raw_files"),
+    "X4": (f"{F_}.exprs.strip_thousands", "t06_staged_restrictions"),
     "X5": (f"{F_}.dates.to_day", "t11_daily_features"),
     "X6": (f"{O_}.staging.stage_weather", "s03_s04_weather_csv"),
     "X7": (f"{F_}.dates.day_of_week", "x07_calendar_functions"),
@@ -135,23 +135,23 @@ COVERAGE: dict[str, tuple[str, str]] = {
     # data quality
     "Q1": (f"{O_}.quality.null_counts", "q01_q02_quality_report"),
     "Q2": (f"{O_}.quality.duplicate_keys", "q01_q02_quality_report"),
-    "Q3": (f"{O_}.quality.orphans", "tests/test_marts.py::test_quality_primitives"),
-    "Q4": ("daygrain.schemas.assert_schema", "tests/test_schemas.py::test_staged_roles_match_declared_schemas"),
+    "Q3": (f"{O_}.quality.orphans", "q03_orphans"),
+    "Q4": ("daygrain.schemas.assert_schema", "q04_schema_report"),
     "Q5": (f"{O_}.quality.period_coverage", "q05_period_coverage"),
     # modelling hand-off
-    "M1": (f"{P_}.modeling.select_features", "m06_feature_importances"),
-    "M2": (f"{P_}.modeling.complete_cases", "m06_feature_importances"),
-    "M3": (f"{P_}.modeling.chrono_split", "m06_feature_importances"),
+    "M1": (f"{P_}.modeling.select_features", "f10_m01_m03_split"),
+    "M2": (f"{P_}.modeling.complete_cases", "f10_m01_m03_split"),
+    "M3": (f"{P_}.modeling.chrono_split", "f10_m01_m03_split"),
     "M4": (f"{P_}.modeling.fit_forest", "m06_feature_importances"),
     "M5": (f"{P_}.modeling.r2", "m06_feature_importances"),
     "M6": (f"{P_}.modeling.importances", "m06_feature_importances"),
     # derived tables
     "T1": (f"{O_}.staging.stage_trips", "t01_staged_trips"),
-    "T2": (f"{O_}.staging.stage_stations", "s02_json_stations"),
-    "T3": (f"{O_}.staging.stage_weather", "s03_s04_weather_csv"),
-    "T4": (f"{O_}.staging.stage_weather", "s03_s04_weather_csv"),
-    "T5": (f"{O_}.staging.stage_holidays", "t11_daily_features_from_raw_files"),
-    "T6": (f"{O_}.staging.stage_restrictions", "t11_daily_features_from_raw_files"),
+    "T2": (f"{O_}.staging.stage_stations", "t02_staged_stations"),
+    "T3": (f"{O_}.staging.stage_weather", "t03_staged_weather_primary"),
+    "T4": (f"{O_}.staging.stage_weather", "t04_staged_weather_secondary"),
+    "T5": (f"{O_}.staging.stage_holidays", "t05_staged_holidays"),
+    "T6": (f"{O_}.staging.stage_restrictions", "t06_staged_restrictions"),
     "T7": (f"{P_}.tables.trips_clean", "t07_clean_trips"),
     "T8": (f"{P_}.tables.stations_clean", "t08_clean_stations"),
     "T9": (f"{P_}.tables.weather_clean", "t09_clean_weather"),

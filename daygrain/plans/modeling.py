@@ -17,9 +17,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+from ..sources.sinks import materialize
+
 LEAKY_SUFFIX = "__leaky"
 
 
+def written(mart: DataFrame) -> DataFrame:
+    """The mart from a table in the shared folder: counting, indexing, fitting and scoring all read it again."""
+    return materialize(mart, scratch_path(mart.sparkSession, "model-mart"))
+
+
 def select_features(df: DataFrame, key: str, target: str = "total_trips__leaky") -> list[str]:
     """M1: every non-leaky column except the key (target is leaky by name)."""
     return [c for c in df.columns if LEAKY_SUFFIX not in c and c != key and c != target]
@@ -51,9 +59,14 @@ def _order_window(order: str) -> Window:
 
 
 def fit_forest(
-    train: DataFrame, features: list[str], target: str = "total_trips__leaky", trees: int = 100, seed: int = 42
+    train: DataFrame, features: list[str], target: str = "total_trips__leaky", trees: int = 100, seed: int = 42,
+    depth: int = 10,
 ) -> PipelineModel:
-    """M4: index text features, assemble, fit a random-forest regressor."""
+    """M4: index text features, assemble, fit a random-forest regressor.
+
+    Every split sees all features.  ``depth`` bounds the trees (the documented
+    consumer grows them without bound; Spark stops at 30).
+    """
     text = [c for c in features if isinstance(train.schema[c].dataType, T.StringType)]
     stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in text]
     inputs = [f"{c}__idx" if c in text else c for c in features]
@@ -62,7 +75,8 @@ def fit_forest(
         F.col(target).cast("double").alias(target),
     )
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    stages.append(RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, seed=seed))
+    stages.append(RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, seed=seed,
+                                        maxDepth=depth, featureSubsetStrategy="all"))
     return Pipeline(stages=stages).fit(cast)
 
 

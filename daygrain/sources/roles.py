@@ -118,11 +118,11 @@ def _daily_weather(orders: DataFrame, station: str, climate_id: int, lon: float,
         F.year("date_time").cast("bigint").alias("year"),
         F.lpad(F.month("date_time").cast("string"), 2, "0").alias("month"),
         F.lpad(F.dayofmonth("date_time").cast("string"), 2, "0").alias("day"),
-        F.lit(None).cast("string").alias("data_quality"),
+        F.when(F.dayofmonth("date_time") % 13 == 0, F.lit("†")).alias("data_quality"),
         temp((F.col("_hi") % 350).cast("double") / 10).alias("max_temp_c"),
-        F.lit(None).cast("string").alias("max_temp_flag"),
+        F.when(gap, F.lit("M")).alias("max_temp_flag"),
         temp((F.col("_lo") % 200).cast("double") / 10 - 10).alias("min_temp_c"),
-        F.lit(None).cast("string").alias("min_temp_flag"),
+        F.when(gap, F.lit("M")).alias("min_temp_flag"),
         temp((F.col("_sum") % 250).cast("double") / 10).alias("mean_temp_c"),
         "_n",
     )
@@ -139,30 +139,31 @@ def weather_secondary(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _read(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
     w = _daily_weather(orders, "SECONDARY STATION", 1002, -79.63, 43.68)
     d = F.col("date_time")
-    text = lambda: F.lit(None).cast("string")
+    n, mean = F.col("_n"), F.col("mean_temp_c")
+    flag = lambda k, mark: F.when(F.dayofmonth(d) % k == 0, F.lit(mark))
     precip = F.when(F.dayofmonth(d) % 9 == 0, F.lit(None).cast("double")).otherwise(
         (F.col("_n") % 7).cast("double") * 1.5
     )
     snow = F.when(F.month(d).isin(12, 1, 2), F.col("_n") % 5).otherwise(F.lit(0)).cast("bigint")
     return w.select(
         *[c for c in w.columns if c != "_n"],
-        text().alias("mean_temp_flag"),
-        F.lit(None).cast("double").alias("heat_deg_days_c"),
-        text().alias("heat_deg_days_flag"),
-        F.lit(None).cast("double").alias("cool_deg_days_c"),
-        text().alias("cool_deg_days_flag"),
-        text().alias("total_rain_mm"),
-        text().alias("total_rain_flag"),
-        text().alias("total_snow_cm"),
-        text().alias("total_snow_flag"),
+        flag(10, "M").alias("mean_temp_flag"),
+        F.when(mean < 18, 18 - mean).when(mean >= 18, 0.0).alias("heat_deg_days_c"),
+        flag(10, "M").alias("heat_deg_days_flag"),
+        F.when(mean > 18, mean - 18).when(mean <= 18, 0.0).alias("cool_deg_days_c"),
+        flag(10, "M").alias("cool_deg_days_flag"),
+        (n % 7).cast("string").alias("total_rain_mm"),
+        flag(9, "T").alias("total_rain_flag"),
+        F.when(F.month(d).isin(12, 1, 2), (n % 5).cast("string")).alias("total_snow_cm"),
+        flag(8, "T").alias("total_snow_flag"),
         precip.alias("total_precip_mm"),
-        text().alias("total_precip_flag"),
+        flag(9, "M").alias("total_precip_flag"),
         snow.alias("snow_on_grnd_cm"),
-        text().alias("snow_on_grnd_flag"),
-        text().alias("dir_of_max_gust_10s_deg"),
-        text().alias("dir_of_max_gust_flag"),
-        text().alias("spd_of_max_gust_kmh"),
-        text().alias("spd_of_max_gust_flag"),
+        flag(12, "E").alias("snow_on_grnd_flag"),
+        F.when(n % 3 != 0, (n % 36).cast("string")).alias("dir_of_max_gust_10s_deg"),
+        flag(11, "E").alias("dir_of_max_gust_flag"),
+        F.when(n % 3 == 0, F.lit("<31")).otherwise((n % 40 + 31).cast("string")).alias("spd_of_max_gust_kmh"),
+        flag(11, "E").alias("spd_of_max_gust_flag"),
     )
 
 

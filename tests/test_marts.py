@@ -91,7 +91,12 @@ def test_modelling_handoff(spark, project):
     model = modeling.fit_forest(train, feats, trees=10, seed=42)
     score = modeling.r2(model, test, feats)
     assert -10 < score <= 1
-    top = modeling.top_features(modeling.importances(model, feats), 5).collect()
+    ranked = modeling.importances(model, feats)
+    again = modeling.importances(modeling.fit_forest(train, feats, trees=10, seed=42), feats)
+    weights = {r.feature: r.importance for r in ranked.collect()}
+    assert abs(sum(weights.values()) - 1) < 1e-9
+    assert weights == {r.feature: r.importance for r in again.collect()}
+    top = modeling.top_features(ranked, 5).collect()
     assert len(top) == 5 and top[0].importance >= top[-1].importance
 
 
