@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.exprs import pct_change
+from ..session import cut_lineage
 
 # Rolling statistics by name.  ``median`` uses ``percentile``: Spark's
 # ``median`` aggregate is rejected over an ordered frame.
@@ -174,6 +175,7 @@ def add_features_bucketed(
     equal ``add_features`` for row-based lags and frames.  ``coarse`` is any
     expression non-decreasing in the order column that splits the rows into
     many groups (default: the month of a date/timestamp order column).
+    The input is read several times, so it is written to the shared folder first.
     """
     if spec.series_keys:
         return add_features(df, spec)
@@ -181,7 +183,7 @@ def add_features_bucketed(
     if bucket_rows <= halo:
         raise ValueError("bucket_rows must exceed the feature lookback")
     coarse = F.trunc(F.col(spec.order), "MM") if coarse is None else coarse
-    indexed = global_row_index(df, spec.order, coarse)
+    indexed = global_row_index(cut_lineage(df, "table"), spec.order, coarse)
     bucket = F.floor(F.col("_idx") / bucket_rows)
     own = indexed.withColumns({"_bucket": bucket, "_copy": F.lit(False)})
     copies = indexed.filter(F.col("_idx") % bucket_rows >= bucket_rows - halo).withColumns(

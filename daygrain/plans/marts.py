@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, joins
 from ..sources import sinks
@@ -146,6 +146,11 @@ class Project:
             self._models[name] = self._builders[name][1]()
         return self._models[name]
 
+    def use_built(self, spark: SparkSession, out_dir: str, names: Iterable[str]) -> None:
+        """Read the models ``names`` from the tables an earlier ``build`` wrote below ``out_dir``."""
+        for n in names:
+            self._models[n] = spark.read.parquet(f"{out_dir.rstrip('/')}/{n}")
+
     def select(self, selector: str | Iterable[str]) -> list[str]:
         """Model names for a selector: a name, a prefix (``stg``, ``int``, ``fct``), a layer
         (``staging``, ``intermediate``, ``marts``), a version (``v2``), or ``+name`` for a

@@ -116,6 +116,11 @@ def test_command_line_build_and_test(spark, tmp, capsys):
     assert back.count() == tables.weekly_features(tables.daily_features(tables.role_inputs(spark, SF001))).count()
     assert cli.main(["test", *args, "--select", "fct_trips_weekly_v1"], spark=spark) == 0
     assert "PASS\tfct_trips_weekly_v1\tunique\tweek_start_date\t0" in capsys.readouterr().out
+    # Weeks without weather fail a not-null check, over the built table as over the raw files.
+    select = ["--select", "fct_trips_weekly_v2"]
+    recomputed = cli.main(["test", *args, *select], spark=spark), capsys.readouterr().out
+    assert (cli.main(["test", *args, "--built", out, *select], spark=spark), capsys.readouterr().out) == recomputed
+    assert recomputed[0] == 1 and "PASS\tfct_trips_weekly_v2\tunique\tweek_start_date\t0" in recomputed[1]
     assert cli.main(["list"]) == 0
 
 
