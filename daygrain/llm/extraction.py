@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import small_batches
+from .text import first_by_hash, small_batches
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -436,13 +436,11 @@ def fit(sentences: list[str], layouts: int = 1500, epochs: int = 5, seed: int =
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = 48, **options) -> Model:
     """Fit on layouts filled with sentences of the first ``sample_pages`` pages in hash order."""
-    rows = (
-        pages.where(F.col(html_col).isNotNull() & F.col(id_col).isNotNull())
-        .select(F.xxhash64(F.lit(1), F.col(id_col)).alias("h"), F.substring(html_col, 1, 20_000).alias("html"))
-        .orderBy("h", "html")
-        .limit(sample_pages)
-        .collect()
-    )
+    h = F.xxhash64(F.lit(1), F.col(id_col))
+    filled = pages.where(F.col(html_col).isNotNull() & F.col(id_col).isNotNull())
+    first = first_by_hash(filled.select(F.lit(0).alias("grp"), h.alias("h")), sample_pages)
+    chosen = filled.where(h <= max((r["h"] for r in first), default=-(1 << 63)))
+    rows = chosen.select(h.alias("h"), F.substring(html_col, 1, 20_000).alias("html")).orderBy("h", "html").limit(sample_pages).collect()
     sentences = [s for r in rows for b in blocks(r["html"]) for s in re.split(r"(?<=[.!?]) ", b.text) if 10 < len(s) < 400]
     return fit(sentences, **options)
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -92,6 +92,32 @@ def write_read(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def first_by_hash(rows: DataFrame, k: int) -> list[Row]:
+    """Per group (``grp``, never null) the first ``k`` rows by hash (``h``), ties by the other columns, with their rank ``r``.
+
+    Rows are counted per group first, and only those below a hash bound sized
+    for about ``4 * k`` of a group are ranked: what reaches a task does not
+    grow with the number of tasks.  A group with fewer than ``k`` rows below
+    its bound (hashes that repeat) is ranked again below a wider one.
+    """
+    totals = {r["grp"]: r["n"] for r in rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = {g: 4 * k / n for g, n in totals.items()}
+    order = Window.partitionBy("grp").orderBy("h", *[c for c in rows.columns if c not in ("grp", "h")])
+    out: list[Row] = []
+    while share:
+        limits = {g: int((min(s, 1.0) - 0.5) * (1 << 62)) * 4 for g, s in share.items()}
+        bound = F.element_at(F.create_map(*[F.lit(x) for g, b in limits.items() for x in (g, min(b, (1 << 63) - 1))]), F.col("grp"))
+        below = rows.where(F.col("h") <= bound).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).collect()
+        for g in list(share):
+            got = [r for r in below if r["grp"] == g]
+            if len(got) >= min(k, totals[g]):
+                out += got
+                del share[g]
+            else:
+                share[g] = 1.0 if share[g] > 1 / 16 else share[g] * 16
+    return out
+
+
 class BitFilter:
     """A Bloom filter of fixed size: no false negatives, bounded whatever the input."""
 

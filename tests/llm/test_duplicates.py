@@ -130,3 +130,18 @@ def test_bit_filter_has_no_false_negatives(spark):
     other = np.random.default_rng(2).integers(-(2**63), 2**63, 5000)
     assert made.test(other.view(np.uint64)).mean() < 0.05
     assert not text.bit_filter(df.limit(0), "h", 16).test(values.view(np.uint64)).any()
+
+
+@pytest.mark.parametrize("k", [1, 7, 500])
+def test_first_by_hash_equals_a_plain_sort(spark, k):
+    r = random.Random(5)
+    rows = [("a", r.getrandbits(64) - (1 << 63), i) for i in range(3000)]
+    rows += [("b", 1 << 62, i) for i in range(900)]  # one hash for all: the bound widens
+    rows += [("c", -(1 << 63), 0), ("c", (1 << 63) - 1, 1)]
+    got = text.first_by_hash(spark.createDataFrame(rows, "grp string, h long, id long").repartition(7), k)
+    want = [(g, h, i, n + 1) for x in "abc" for n, (g, h, i) in enumerate(sorted(y for y in rows if y[0] == x)[:k])]
+    assert sorted(tuple(x) for x in got) == sorted(want)
+
+
+def test_first_by_hash_of_nothing(spark):
+    assert text.first_by_hash(spark.createDataFrame([], "grp string, h long"), 3) == []
