@@ -33,11 +33,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import small_batches
+from .text import first_by_hash, small_batches
 
 UND = "und"
 LANE = 256
@@ -225,26 +225,20 @@ def held_out(id_col: str) -> Column:
 def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per_lang: int = 96, total_symbols: int = 1 << 16) -> dict[str, list[np.ndarray]]:
     """The training sample: per language the first documents in hash order that hold a letter.
 
-    The first pass ranks ids alone; Spark's partial limit per group leaves at
-    most ``docs_per_lang`` rows per language and task, so a language that
-    holds most rows is no hot task.  The second pass reads their texts.
+    ``first_by_hash`` finds their ids without a hot task, also where a language
+    holds most rows; a last pass reads their texts.
     """
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    ids = (
-        labelled.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.lit(17), F.col(id_col)).alias("h"))
-        .withColumn("r", F.row_number().over(order))
-        .where(F.col("r") <= docs_per_lang)
-        .collect()
-    )
+    known = labelled.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    lang = F.col(lang_col).cast("string")
+    ids = first_by_hash(known.select(lang.alias("grp"), F.col(id_col).alias("id"), F.xxhash64(F.lit(17), F.col(id_col)).alias("h")), docs_per_lang)
     if not ids:
         return {}
     wanted = sorted({r["id"] for r in ids})
-    rank = {(r["lang"], r["id"]): r["r"] for r in ids}
-    limit = max(1, total_symbols // len({r["lang"] for r in ids}))
+    rank = {(r["grp"], r["id"]): r["r"] for r in ids}
+    limit = max(1, total_symbols // len({r["grp"] for r in ids}))
     texts = (
-        labelled.where(F.col(id_col).isin(wanted) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"), F.substring(text_col, 1, 4 * limit // docs_per_lang + 64).alias("text"))
+        known.where(F.col(id_col).isin(wanted))
+        .select(lang.alias("lang"), F.col(id_col).alias("id"), F.substring(text_col, 1, 4 * limit // docs_per_lang + 64).alias("text"))
         .distinct()
         .collect()
     )
