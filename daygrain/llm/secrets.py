@@ -28,6 +28,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import first_by_hash
+
 # The base kinds in the order they are reported, their patterns
 # and the least length (of group 2 for assign, else of the match).
 ASSIGN = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -82,10 +84,10 @@ def matches(text: Column, found: Column, pattern: str, kind: str, ordinal: int,
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 8192, smoothing: float = 0.5) -> list[float]:
     """The table of log-likelihood ratios per step, from a bounded sample of labelled strings."""
     h = F.xxhash64(F.lit(8), F.col(id_col))
-    last = docs.select(h.alias("h")).orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
-    if last is None:
+    first = first_by_hash(docs.select(F.lit(0).alias("grp"), h.alias("h")), sample_docs)
+    if not first:
         return [0.0] * (_K * _K)
-    sample = docs.where(h <= last).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    sample = docs.where(h <= max(r["h"] for r in first)).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # Ordinary identifiers are what remains when the base matches are taken out.
     rest = F.col("text")
     for pattern in (ASSIGN, ACCESS, HEX):
