@@ -2,7 +2,9 @@
 
 Each query is executed through the ``noop`` sink (full execution, nothing
 collected to the driver): one warm-up round over all queries, then
-``$BENCH_REPEAT`` timed rounds; the best time per query is reported.
+``$BENCH_REPEAT`` timed rounds; the best time per query is reported.  Beside
+it stand, per query, the jobs that ran before its DataFrame was returned, and
+for context the time of its SQL in DuckDB on the same tables and machine.
 Prints one JSON line.
 """
 
@@ -16,6 +18,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import duckdb  # noqa: E402
+
 from daygrain.catalog import registry  # noqa: E402
 from daygrain.session import ensure_shared_dir, get_session  # noqa: E402
 
@@ -54,6 +58,24 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def duckdb_seconds(sf_dir: str, cpus: str, sqls: dict[str, str], repeat: int) -> dict[str, float]:
+    """Best time per SQL in DuckDB, results kept as Arrow tables."""
+    con = duckdb.connect()
+    con.execute(f"SET threads = {int(cpus)}")
+    for file in sorted(os.listdir(sf_dir)):
+        if file.endswith(".parquet"):
+            con.execute(f"CREATE VIEW {file[:-8]} AS SELECT * FROM read_parquet('{sf_dir}/{file}')")
+    out = {}
+    for label, sql in sqls.items():
+        best = float("inf")
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            con.sql(sql).to_arrow_table()
+            best = min(best, time.perf_counter() - t0)
+        out[label] = round(best, 3)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -73,8 +95,11 @@ def main() -> None:
     # each query is kept, so no query profits from running late.
     facts: dict[str, dict] = {}
     for label, name in names.items():
+        spark.sparkContext.setJobGroup(f"build-{label}", label)
         df = reg[name].run(spark, sf_dir)
-        facts[label] = plan_facts(df)
+        built = spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{label}")
+        spark.sparkContext.setJobGroup(f"run-{label}", label)
+        facts[label] = {"jobs_at_build": len(built), **plan_facts(df)}
         run(df)
     timings = {label: float("inf") for label in names}
     for _ in range(repeat):
@@ -85,6 +110,9 @@ def main() -> None:
     timings = {k: round(v, 3) for k, v in timings.items()}
     total = round(sum(timings[k] for k in HEADLINE), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
+    spark.stop()
+    sqls = {label: reg[name].sql for label, name in names.items() if reg[name].sql}
+    beside = duckdb_seconds(sf_dir, cpus, sqls, repeat)
     print(
         json.dumps(
             {
@@ -94,10 +122,10 @@ def main() -> None:
                 "queries": timings,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "plans": facts,
+                "duckdb": beside,
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":
