@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import random
 import subprocess
 import sys
+from collections import Counter
 
 import pytest
 import public_tokenizers
@@ -14,7 +16,7 @@ from daygrain.llm import langid, queries
 from daygrain.llm.text import write_read
 
 from . import brute
-from .fixtures import documents, frame
+from .fixtures import documents, frame, sentence
 
 
 def test_stages_on_the_awkward_table(spark):
@@ -97,3 +99,19 @@ def test_language_stage_rejects_only_texts_without_letters(spark):
     gone = {r.doc_id for r in docs.select("doc_id").subtract(kept.select("doc_id")).collect()}
     assert gone == {90, 91, 92, 98}
     assert langid.UND == "und"
+
+
+def test_mix_stage_keeps_null_and_shared_ids(spark):
+    r = random.Random(8)
+    rows = [(None, sentence(r, r.randint(20, 40)), "en", "a") for _ in range(80)]
+    rows += [(i % 40, sentence(r, r.randint(20, 40)), "en", s) for s in "bc" for i in range(80)]
+    got = corpus_pipeline.mix_sources(spark, frame(spark, rows), "/none")
+    assert got.columns == frame(spark, rows).columns
+    copies = Counter((x.doc_id, x.text, x.lang, x.source) for x in got.collect())
+    assert set(copies) <= set(rows) and max(copies.values()) == 2
+    words, taken = Counter(), Counter()
+    for row in rows:
+        words[row[3]] += len(brute.words(row[1]))
+        taken[row[3]] += copies[row] * len(brute.words(row[1]))
+    for s, target in brute.mix_targets(dict(words), queries.cycled_weights(list(words))).items():
+        assert abs(taken[s] - target) <= 20
