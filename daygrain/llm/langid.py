@@ -191,19 +191,24 @@ class Model:
             out[:, k] += np.bincount(who, weights=count, minlength=len(out)).astype(np.int64)
 
     def predict(self, texts: list) -> tuple[list[str], list[float]]:
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list) -> tuple[list[str], list[float], list[bool]]:
+        """Languages, scores, and whether the text holds a letter (whatever was learned)."""
         folded = [fold(t) if isinstance(t, str) and t else np.zeros(0, np.uint32) for t in texts]
         langs, scores = [UND] * len(texts), [0.0] * len(texts)
+        letters = [bool(points.any()) for points in folded]
         if not self.langs:
-            return langs, scores
+            return langs, scores, letters
         costs = self.phrases(folded) * np.array(self.bits)
         best = costs.argmin(axis=1)
-        for i, points in enumerate(folded):
-            if not points.any():
+        for i in range(len(folded)):
+            if not letters[i]:
                 continue
             langs[i] = self.langs[best[i]]
             rest = np.delete(costs[i], best[i])
             scores[i] = 1.0 if not len(rest) else float(min(1.0, max(0.0, 1.0 - costs[i, best[i]] / rest.min())))
-        return langs, scores
+        return langs, scores, letters
 
 
 _MODELS: dict = {}
@@ -251,17 +256,19 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per
 
 
 def predict_table(docs: DataFrame, samples: dict, text_col: str = "text", keep=("doc_id",), total_symbols: int = 1 << 16, names=("lang_pred", "score")) -> DataFrame:
-    """``keep`` columns plus the language and its score under ``names``; one pass, no shuffle."""
+    """``keep`` columns plus the language, its score and (given a third name) whether the text holds a letter; one pass, no shuffle."""
     keep, names = list(keep), list(names)
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    kinds = [(T.StringType(), pa.string()), (T.DoubleType(), pa.float64()), (T.BooleanType(), pa.bool_())][: len(names)]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, kind) for n, (kind, _) in zip(names, kinds, strict=True)])
     text = text_col if text_col in keep else "__text"
     key = str(hash(tuple((k, tuple(d.tobytes() for d in v)) for k, v in sorted(samples.items())))) + str(total_symbols)
 
     def run(batches):
         model = _model(key, samples, total_symbols)
         for batch in small_batches(batches, text):
-            langs, scores = model.predict(batch.column(text).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, *names])
+            found = model.judge(batch.column(text).to_pylist())
+            arrays = [pa.array(values, kind) for values, (_, kind) in zip(found, kinds, strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + arrays, names=[*keep, *names])
 
     rows = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text_col).alias(text))
     return rows.mapInArrow(run, schema)

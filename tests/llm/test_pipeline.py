@@ -115,3 +115,11 @@ def test_mix_stage_keeps_null_and_shared_ids(spark):
         taken[row[3]] += copies[row] * len(brute.words(row[1]))
     for s, target in brute.mix_targets(dict(words), queries.cycled_weights(list(words))).items():
         assert abs(taken[s] - target) <= 20
+
+
+@pytest.mark.parametrize("lang", [None, langid.UND])
+def test_language_stage_without_labels_and_with_the_label_und(spark, lang):
+    docs = frame(spark, [(i, t, lang, s) for i, t, _, s in documents()])
+    kept = corpus_pipeline.identify_language(spark, docs, "/none")
+    assert kept.count() == docs.count() - 4
+    assert {90, 91, 92, 98}.isdisjoint(r.doc_id for r in kept.collect())
