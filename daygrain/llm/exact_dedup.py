@@ -17,7 +17,8 @@ keeps the aggregation in Spark's hash form (no sort by whole texts).
 
 Defined cases: null text counts as empty; null ids come last in a tie and
 are reported as null; rows that repeat both id and text share one decision
-and all count in ``group_size``; an empty table gives an empty result; extra
+of ``decisions`` and all count in ``group_size``, while ``kept_rows`` keeps
+one row of them; an empty table gives an empty result; extra
 columns are ignored whatever their names.
 """
 
@@ -26,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import numbered
+
 _WHITE_CHARS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 _SPAN = 1 << 64
 _LAST = (1 << 63) - 1
@@ -59,22 +62,29 @@ def _rank_size(rank: Column) -> Column:
     return ((rank - F.pmod(rank, span)) / _decimal(_SPAN)).cast("long")
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 32) -> DataFrame:
-    """One row per distinct normalised text: digest, check, keep_id, keep_chars, group_size."""
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 32, tag: str | None = None) -> DataFrame:
+    """One row per distinct normalised text: digest, check, keep_id, keep_chars, group_size.
+
+    With ``tag``, a number of its own for every row, also keep_tag: that of one
+    row with the winner's id and length.
+    """
     norm = normalised(F.col(text_col))
     rows = docs.select(
         norm.alias("norm"),
+        *([F.col(tag).alias("tag")] if tag else []),
         _rank(F.length(F.coalesce(F.col(text_col), F.lit(""))), F.col(id_col)).alias("rank"),
         F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"),
     ).withColumn("digest", F.sha2("norm", 256))
-    salted = rows.groupBy("digest", "norm", "salt").agg(F.max("rank").alias("rank"), F.count(F.lit(1)).alias("n"))
-    whole = salted.groupBy("digest", "norm").agg(F.max("rank").alias("rank"), F.sum("n").alias("group_size"))
+    one = [F.max_by("tag", "rank").alias("tag")] if tag else []
+    salted = rows.groupBy("digest", "norm", "salt").agg(F.max("rank").alias("rank"), F.count(F.lit(1)).alias("n"), *one)
+    whole = salted.groupBy("digest", "norm").agg(F.max("rank").alias("rank"), F.sum("n").alias("group_size"), *one)
     return whole.select(
         "digest",
         F.xxhash64("norm").alias("check"),
         _rank_id(F.col("rank")).alias("keep_id"),
         _rank_size(F.col("rank")).alias("keep_chars"),
         F.col("group_size").cast("long").alias("group_size"),
+        *([F.col("tag").alias("keep_tag")] if tag else []),
     )
 
 
@@ -106,18 +116,10 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 32) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    names = docs.columns
-    norm = normalised(F.col(text_col))
-    rows = docs.select(
-        F.struct(*names).alias("row"),
-        F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("chars"),
-        F.sha2(norm, 256).alias("digest"),
-        F.xxhash64(norm).alias("check"),
-    )
-    won = groups(docs, id_col, text_col, salts)
-    kept = F.col(f"row.{id_col}").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
-    return rows.join(won, ["digest", "check"]).where(kept).select("row.*")
+    """One row of each normalised text, with all its columns: the longest, then the smallest id, then any one."""
+    rows = numbered(docs, "__row")
+    won = groups(rows, id_col, text_col, salts, tag="__row").select(F.col("keep_tag").alias("__row"))
+    return rows.join(won, "__row", "left_semi").select(*docs.columns)
 
 
 ORACLE = """

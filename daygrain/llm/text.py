@@ -92,6 +92,33 @@ def write_read(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with ``name``: a long of its own for every row, the same however often the rows are read.
+
+    Rows of plain Parquet files are numbered by file and place in it, which
+    costs a scan of the files' names; all others are written with a number.
+    """
+    spark = docs.sparkSession
+    if not _plain_files(docs):
+        return write_read(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    paths = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
+    files = spark.createDataFrame([(path, i << 40) for i, path in enumerate(paths)], "__path string, __first long")
+    placed = docs.select(*docs.columns, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__place"))
+    return placed.join(F.broadcast(files), "__path").select(*docs.columns, (F.col("__first") + F.col("__place")).alias(name))
+
+
+def _plain_files(docs: DataFrame) -> bool:
+    """True where every row is read straight from its own place in a Parquet file (no file is listed twice)."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or "_metadata" in docs.columns:
+        return False
+    relation = plan.relation()
+    if relation.getClass().getSimpleName() != "HadoopFsRelation" or relation.fileFormat().getClass().getSimpleName() != "ParquetFileFormat":
+        return False
+    paths = list(relation.location().inputFiles())
+    return len(set(paths)) == len(paths)
+
+
 def first_by_hash(rows: DataFrame, k: int) -> list[Row]:
     """Per group (``grp``, never null) the first ``k`` rows by hash (``h``), ties by the other columns, with their rank ``r``.
 

@@ -13,7 +13,7 @@ import tiktoken
 
 import corpus_pipeline
 from daygrain.llm import langid, queries
-from daygrain.llm.text import write_read
+from daygrain.llm.text import numbered, write_read
 
 from . import brute
 from .fixtures import documents, frame, sentence
@@ -123,3 +123,35 @@ def test_language_stage_without_labels_and_with_the_label_und(spark, lang):
     kept = corpus_pipeline.identify_language(spark, docs, "/none")
     assert kept.count() == docs.count() - 4
     assert {90, 91, 92, 98}.isdisjoint(r.doc_id for r in kept.collect())
+
+
+def test_duplicate_stages_keep_one_of_repeated_rows_and_shared_ids(spark, tmp_path):
+    r = random.Random(9)
+    base = [sentence(r, 60) for _ in range(4)]
+    near = [t + " edited" for t in base]
+    rows = [(1, base[0], "en", "a")] * 3  # a shard loaded three times
+    rows += [(None, base[1], "en", "a")] * 2 + [(None, near[1], "en", "a")]
+    rows += [(2, base[2], "en", "a"), (5, near[2], "en", "b"), (5, base[3], "en", "b")]  # one id, two texts
+    want = [[base[0]], [base[1], near[1]], [base[2]], [base[3]]]
+
+    def check(docs):
+        first = write_read(corpus_pipeline.drop_exact_copies(spark, docs, "/none"), "test-exact")
+        assert sorted(x.text for x in first.collect()) == sorted({t for _, t, _, _ in rows})
+        left = Counter(x.text for x in corpus_pipeline.drop_near_copies(spark, first, "/none").collect())
+        assert sum(left.values()) == len(want) and all(sum(left[t] for t in some) == 1 for some in want)
+
+    check(frame(spark, rows))
+    path = str(tmp_path / "docs")
+    frame(spark, rows).write.parquet(path)
+    check(spark.read.parquet(path))
+    check(spark.read.parquet(path, path))
+
+
+def test_numbers_are_their_rows_own(spark, tmp_path):
+    path = str(tmp_path / "a b%20c")
+    frame(spark, documents()).write.parquet(path)
+    plain = spark.read.parquet(path)
+    for docs in (plain, spark.read.parquet(path, path), plain.union(plain), plain.limit(0)):
+        got = numbered(docs, "no")
+        assert got.columns == [*docs.columns, "no"]
+        assert got.select("no").distinct().count() == got.count() == docs.count()
