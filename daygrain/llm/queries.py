@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, extraction, jaccard, langid, mix, preferences, secrets, substring, topk
+from . import bpe, codes, exact_dedup, extraction, jaccard, langid, mix, oddsketch, preferences, secrets, substring, topk, whitening
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: op9: weights of the sources in code point order, repeating.
@@ -88,6 +88,25 @@ def op10_top_inner_products(spark, sf_dir):
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op11_odd_sketch_components(spark, sf_dir):
+    """Components of documents whose 2-word shingle sets have Jaccard 0.8 or more."""
+    return oddsketch.cluster(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+def op12_whiten_embeddings(spark, sf_dir):
+    """The first 32 whitened components of every embedding; deviation is null where it exceeds 64 bits."""
+    vectors = table(spark, sf_dir, "embeddings")
+    found = whitening.transform(vectors, whitening.fit(vectors, scale=64, offset=1_000_000), k=32)
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op13_vector_codes(spark, sf_dir):
+    """Product codes of every embedding, with the squared error of each row and label."""
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"), scale=4096, parts=8, entries=16, rounds=6)
+    out = codes.with_label_errors(coded).withColumn("codebooks_sha256", F.lit(codes.digest(books)))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def pipeline(spark, sf_dir):
     """The corpus pipeline (all stages, without the files between them)."""
     import corpus_pipeline
@@ -108,6 +127,9 @@ QUERIES = {
         op8_secret_scan,
         op9_mix_sources,
         op10_top_inner_products,
+        op11_odd_sketch_components,
+        op12_whiten_embeddings,
+        op13_vector_codes,
         pipeline,
     )
 }

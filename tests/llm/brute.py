@@ -1,6 +1,7 @@
 """Plain versions of the operators, for comparison on small tables."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -106,3 +107,43 @@ def mix_targets(sizes, weights, ratio=Fraction(3, 2), most=2):
             return {s: float(capped.get(s, got.get(s, 0))) for s in sizes}
         for s in over:
             capped[s] = Fraction(most * sizes[s])
+
+
+def whitened(vectors, k, scale=64, offset=1_000_000):
+    """vectors: lists of floats -> (n, deviations, covariance as fractions, eigenvalues, explained)"""
+    x = [[math.floor(scale * c) + offset for c in v] for v in vectors]
+    n, dims = len(x), len(x[0])
+    sums = [sum(r[d] for r in x) for d in range(dims)]
+    deviations = [sum((n * r[d] - sums[d]) ** 2 for d in range(dims)) for r in x]
+    centred = [[Fraction(r[d] * n - sums[d], n) for d in range(dims)] for r in x]
+    cov = [[sum(r[i] * r[j] for r in centred) / n for j in range(dims)] for i in range(dims)]
+    return n, deviations, cov, centred
+
+
+def product_codes(rows, scale=4096, parts=8, entries=16, rounds=6):
+    """rows: [(id, vector, label)] in any order -> ([(id, code, error)], codebooks digest), by plain scans"""
+    dims = max(len(v) for _, v, _ in rows)
+    width = -(-dims // parts)
+    whole = [(i, [math.floor(scale * c) for c in v] + [0] * (parts * width - len(v)), lab) for i, v, lab in rows]
+    first = sorted(zip(whole, (v for _, v, _ in rows), strict=True), key=lambda r: (r[0][0] is None, r[0][0] or 0, r[1]))[:entries]
+    codes, errors = [[] for _ in rows], [0] * len(rows)
+    books = []
+    for p in range(parts):
+        cut = [v[p * width : (p + 1) * width] for _, v, _ in whole]
+        book = [r[0][1][p * width : (p + 1) * width] for r in first]
+
+        def nearest(x, book):
+            return min((sum((a - b) ** 2 for a, b in zip(x, e, strict=True)), k) for k, e in enumerate(book))
+
+        for _ in range(rounds):
+            own = defaultdict(list)
+            for x in cut:
+                own[nearest(x, book)[1]].append(x)
+            book = [[sum(c) // len(own[k]) for c in zip(*own[k], strict=True)] if k in own else e for k, e in enumerate(book)]
+        for i, x in enumerate(cut):
+            d, k = nearest(x, book)
+            codes[i].append(k)
+            errors[i] += d
+        books += [c for e in book for c in e]
+    digest = hashlib.sha256(",".join(map(str, books)).encode()).hexdigest()
+    return [(i, bytes(c).hex(), e) for (i, _, _), c, e in zip(whole, codes, errors, strict=True)], digest
