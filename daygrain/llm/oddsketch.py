@@ -6,19 +6,23 @@ document:
 
 1. ``sketch``: per document the set's size and digest, ``BANDS * ROWS``
    MinHash samples, one key per band of samples, and the odd sketch: every
-   sample (its number and value) flips one of ``BITS`` bits.  Equal sets fold
-   into one class.
+   sample (its number and value) flips one of ``BITS`` bits.  A second odd
+   sketch folds in the whole set.  Equal sets fold into one class.
 2. Two sketches differ in at most two bits for each sample that differs, and
    linked sets differ in a binomial number of samples, so ``most_differing``
    bounds the XOR population count of linked pairs; ``similarity`` turns the
-   count into an estimate, which is precise where similarities are high.
+   count into an estimate, which is precise where similarities are high.  The
+   whole sets' sketches differ in no more bits than the sets in elements,
+   which decides small sets without risk.
 3. Bands: classes under one key are candidates.  Short lists give all pairs;
-   in longer ones each class meets the least class.  Pairs that sizes and
-   odd sketches allow are verified on their full shingle sets.
+   in longer ones each class meets the least class, and of those the
+   ``PIVOTS`` least.  Pairs that sizes and odd sketches allow are verified on
+   their full shingle sets.
 4. Where a long list still holds several components, the classes outside its
    least class's component meet all classes of the list, in blocks of
    ``BLOCK`` by ``BLOCK`` sketches: a task holds two blocks, compares their
-   sketches and returns only the pairs that pass; these are verified too.
+   sketches and returns only the pairs that pass, each from the first list
+   that holds both; these are verified too.
 5. Components of the verified links, joined back to every document.
 
 Bands miss a pair of similarity s with probability ``(1 - s ** ROWS) **
@@ -53,6 +57,8 @@ BITS = 1024
 RISK = 1e-9
 #: Lists up to this length give all their pairs at once.
 LONG_LIST = 16
+#: Least classes of long lists that a class meets first.
+PIVOTS = 4
 #: Sketches a task holds from each side of a long list.
 BLOCK = 2048
 
@@ -99,6 +105,14 @@ def odd_sketches(samples: np.ndarray, bits: int = BITS) -> np.ndarray:
     return np.packbits(odd.reshape(rows, bits).astype(np.uint8), axis=1, bitorder="little")
 
 
+def set_sketches(sets: list[np.ndarray], bits: int = BITS) -> np.ndarray:
+    """Parity bitmaps of whole sets (bytes, rows x bits / 8)."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    at = (np.concatenate([np.empty(0, np.uint64), *sets]) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(row * bits + at, minlength=len(sets) * bits) & 1
+    return np.packbits(odd.reshape(len(sets), bits).astype(np.uint8), axis=1, bitorder="little")
+
+
 def similarity(differing, samples: int, bits: int = BITS):
     """Estimated Jaccard similarity from the differing bits of two odd sketches of ``samples`` samples."""
     part = np.minimum(2 * np.asarray(differing, float) / bits, 1 - 1e-9)
@@ -117,7 +131,7 @@ def most_differing(samples: int, percent: int, risk: float = RISK) -> int:
 
 
 def sketch(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """Per document (id, text): id, n, set digest d0 d1, odd sketch, band keys."""
+    """Per document (id, text): id, n, set digest d0 d1, odd sketches (of the samples, then of the set), band keys."""
 
     def run(batches):
         for batch in small_batches(batches):
@@ -128,7 +142,7 @@ def sketch(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
             keys = np.zeros((len(sets), bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
             for r in range(rows):
                 keys = mix64(keys ^ grouped[:, :, r])
-            odd = odd_sketches(samples)
+            odd = np.concatenate([odd_sketches(samples), set_sketches(sets)], axis=1)
             columns = [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1])]
             columns += [pa.array([x.tobytes() for x in odd], pa.binary()), pa.array([x.tobytes() for x in keys], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "d0", "d1", "odd", "keys"])
@@ -158,18 +172,31 @@ def _sizes_fit(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _by_sketch(pairs: DataFrame, odd: DataFrame, most: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose odd sketches differ in at most ``most`` bits."""
+def _rows(column, kind=np.uint64) -> np.ndarray:
+    """A column of equally long binaries as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def allowed(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int, most: int) -> np.ndarray:
+    """Whether pairs of sketches, of sets with ``sizes`` elements in all, may be linked."""
+    differ = np.bitwise_count(x ^ y)
+    half = differ.shape[1] // 2
+    whole = (100 + percent) * differ[:, half:].sum(axis=1, dtype=np.int64) <= (100 - percent) * sizes
+    return whole & (differ[:, :half].sum(axis=1, dtype=np.int64) <= most)
+
+
+def _by_sketch(pairs: DataFrame, classes: DataFrame, percent: int, most: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that the odd sketches allow."""
 
     def compare(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
-            near = pa.array(np.bitwise_count(x ^ y).sum(axis=1) <= most)
+            sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            near = pa.array(allowed(_rows(batch.column("x")), _rows(batch.column("y")), sizes, percent, most))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], names=["a", "b"])
 
-    left = pairs.join(odd.select(F.col("cid").alias("a"), F.col("odd").alias("x")), "a")
-    both = left.join(odd.select(F.col("cid").alias("b"), F.col("odd").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    left = pairs.join(classes.select(F.col("cid").alias("a"), F.col("odd").alias("x"), "n"), "a")
+    both = left.join(classes.select(F.col("cid").alias("b"), F.col("odd").alias("y"), F.col("n").alias("m")), "b")
+    return both.select("a", "b", "x", "y", "n", "m").mapInArrow(compare, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -203,11 +230,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct()
 
 
-def _apart(lists: DataFrame, odd: DataFrame, found: DataFrame, percent: int, most: int, block: int) -> DataFrame:
+def _apart(lists: DataFrame, classes: DataFrame, found: DataFrame, percent: int, most: int, block: int) -> DataFrame:
     """Pairs (a, b) of long lists in different components that sizes and odd sketches allow.
 
     Classes outside the component of the list's least class (``asked``) meet
-    all classes of the list (``held``), in numbered blocks.
+    all classes of the list (``held``), in numbered blocks.  A pair counts in
+    the first band whose key both have: that band's list is short, so the
+    pair has met, or long, with both in different components there as well.
     """
     comp = found.select(F.col("id").alias("cid"), "comp")
     placed = lists.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
@@ -216,29 +245,28 @@ def _apart(lists: DataFrame, odd: DataFrame, found: DataFrame, percent: int, mos
     mixed = write_read(placed.join(heads, "key"), "odd-mixed")
     asked = mixed.where("comp != main")
     counts = asked.groupBy("key").agg(F.count(F.lit(1)).alias("asked"))
-    rows = mixed.join(counts, "key").join(odd.select("cid", "odd"), "cid")
+    rows = mixed.join(counts, "key").join(classes.select("cid", "odd", "keys"), "cid")
     # about ``block`` rows to a block: numbers by hash, so no list is sorted in one task
     number = lambda total: F.pmod(F.xxhash64("cid"), F.ceil(F.col(total) / block))
     every = lambda total: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(total) / block) - 1))
-    columns = ["key", "cid", "n", "comp", "odd"]
+    columns = ["key", "cid", "n", "comp", "odd", "keys"]
     left = rows.where("comp != main").withColumn("i", number("asked")).withColumn("j", every("held")).select("i", "j", *columns)
     right = rows.withColumn("main_row", F.expr("comp = main")).withColumn("j", number("held")).withColumn("i", every("asked")).select("i", "j", "main_row", *columns)
 
     def meet(asked, held):
         out = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         if asked.num_rows and held.num_rows:
-            sides = []
-            for side in (asked, held):
-                whole = side.combine_chunks()
-                sketches = np.frombuffer(b"".join(whole.column("odd").to_pylist()), np.uint64).reshape(whole.num_rows, -1)
-                sides.append([sketches, *(whole.column(c).to_numpy() for c in ("cid", "n", "comp"))])
-            (x, a, n, p), (y, b, m, q) = sides
+            (x, kx, a, n, p), (y, ky, b, m, q) = (
+                [_rows(side.column(c)) for c in ("odd", "keys")] + [side.column(c).to_numpy() for c in ("cid", "n", "comp")] for side in (asked, held)
+            )
             main = held.column("main_row").to_numpy()
+            band = int(np.flatnonzero(kx[0].view(np.int64) == asked.column("key")[0].as_py())[0])
             for r in range(len(x)):
                 # both sides hold the pairs of two asked classes: the smaller one asks
                 fits = (q != p[r]) & (100 * np.minimum(m, n[r]) >= percent * np.maximum(m, n[r])) & (main | (a[r] < b))
                 fits = np.flatnonzero(fits)
-                near = fits[np.bitwise_count(y[fits] ^ x[r]).sum(axis=1) <= most]
+                fits = fits[(ky[fits] == kx[r]).argmax(axis=1) == band]
+                near = fits[allowed(y[fits], x[r], m[fits] + n[r], percent, most)]
                 out[0].append(np.full(len(near), a[r]))
                 out[1].append(b[near])
         return pa.table({"a": np.concatenate(out[0]), "b": np.concatenate(out[1])})
@@ -273,16 +301,16 @@ def cluster(
     sized = write_read(postings.join(heads, "key"), "odd-sized")
 
     met = sized.where((F.col("length") > long_list) & (F.col("cid") != F.col("p.cid")) & _sizes_fit("n", "p.n", percent))
-    met = met.select(F.col("cid").alias("a"), F.col("p.cid").alias("b"))
+    least = F.slice(F.array_sort(F.collect_set("p.cid")), 1, PIVOTS)  # of at most a pivot per band
+    met = met.groupBy(F.col("cid").alias("a")).agg(least.alias("least")).select("a", F.explode("least").alias("b"))
     short = sized.where(F.col("length") <= long_list)
     x, y = (short.select("key", F.col("cid").alias(c), F.col("n").alias(n)) for c, n in (("a", "n"), ("b", "m")))
     every = x.join(y, "key").where((F.col("a") > F.col("b")) & _sizes_fit("n", "m", percent)).select("a", "b")
     candidates = write_read(met.union(every).distinct(), "odd-met")
-    odd = classes.select("cid", "odd")
-    found = components(_verified(_by_sketch(candidates, odd, most), docs, width, percent))
+    found = components(_verified(_by_sketch(candidates, classes, percent, most), docs, width, percent))
 
     lists = sized.where(F.col("length") > long_list).select("key", "cid", "n")
-    rest = _apart(lists, odd, found, percent, most, block)
+    rest = _apart(lists, classes, found, percent, most, block)
     more = _verified(rest, docs, width, percent)
     final = components(more.union(found.select(F.col("id").alias("a"), F.col("comp").alias("b"))))
 

@@ -113,3 +113,12 @@ def test_query_matches_brute_force(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     assert result(queries.op11_odd_sketch_components(spark, sf_dir)) == brute.jaccard_components(docs, 2, 80)
+
+
+def test_set_sketches_never_differ_in_more_bits_than_sets_in_elements():
+    r = np.random.default_rng(5)
+    sets = [np.unique(r.integers(0, 400, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for n in r.integers(0, 900, 40)]
+    bits = oddsketch.set_sketches(sets)
+    for a, x in zip(sets, bits, strict=True):
+        for b, y in zip(sets, bits, strict=True):
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
