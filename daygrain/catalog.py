@@ -262,7 +262,7 @@ LEFT JOIN restrictions r ON year(d.trip_date) = year(r.report_date) AND month(d.
 
 
 def registry() -> dict[str, Query]:
-    from . import catalog_more, catalog_staged
+    from . import catalog_deep, catalog_more, catalog_staged
 
     reg = {
         "t01_staged_trips": Query(q_staged_trips, _sql("trips", [])),
@@ -342,4 +342,5 @@ WHERE rk = 1""",
     reg["o02_top_station_per_role"] = Query(q_top_station_per_role, _sql_top_per_role())
     reg.update(catalog_more.registry())
     reg.update(catalog_staged.registry())
+    reg.update(catalog_deep.registry())
     return reg

@@ -91,8 +91,8 @@ def q_staged_restrictions(spark, sf_dir):
     return seed.join(months, "report_date", "left").withColumn("trips", F.coalesce("n", F.lit(0))).drop("n")
 
 
-def q_reject_report(spark, sf_dir):
-    """what a tolerant read drops, by reason: short rows and durations that are no numbers."""
+def render_trips_with_rejects(spark, sf_dir) -> str:
+    """Raw trip files with short rows and durations that are no numbers; returns their glob."""
     trips = roles.trips(spark, sf_dir)
     root = scratch_path(spark, "raw-rejects")
     cut = F.col("trip_id") % 29 == 0
@@ -102,7 +102,12 @@ def q_reject_report(spark, sf_dir):
     header = ",".join(c[0] for c in TRIP_COLUMNS)
     short_rows = trips.filter(cut).select(short.alias(header))
     short_rows.write.option("header", True).option("sep", "\u0001").csv(f"{root}/ridership-b")
-    report = files.csv_reject_report(spark, f"{root}/ridership-*/*.csv", TRIP_COLUMNS)
+    return f"{root}/ridership-*/*.csv"
+
+
+def q_reject_report(spark, sf_dir):
+    """what a tolerant read drops, by reason."""
+    report = files.csv_reject_report(spark, render_trips_with_rejects(spark, sf_dir), TRIP_COLUMNS)
     return report.groupBy("reason").agg(F.sum("rows").alias("rows"))
 
 

@@ -92,6 +92,53 @@ def _weather_pick_aggs() -> list[Column]:
     ]
 
 
+def period_values(trips: DataFrame, unit: str, column: str) -> DataFrame:
+    """The different values of ``column`` per period, once each (deduplicated before the shuffle)."""
+    key = dates.period_start(dates.to_day("start_time"), unit).alias(PERIOD_KEYS[unit])
+    return trips.select(key, F.col(column)).where(F.col(column).isNotNull()).distinct()
+
+
+def period_distinct(trips: DataFrame, unit: str, columns=None) -> DataFrame:
+    """A5 per week or month, exact: how many different values a whole period has.
+
+    (The roll-up A19 gives the mean of the daily counts instead.)  One
+    two-level aggregation per column, so a hot period is spread by value.
+    """
+    columns = DISTINCT_COUNTS if columns is None else columns
+    key = PERIOD_KEYS[unit]
+    out = trips.select(dates.period_start(dates.to_day("start_time"), unit).alias(key)).distinct()
+    for c, name in columns:
+        counts = period_values(trips, unit, c).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+        out = out.join(counts, key, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
+    return out
+
+
+#: log2 of the registers of a distinct-count sketch: 4,096 registers, a relative standard error of 1.6 %.
+SKETCH_LG_K = 12
+
+
+def sketch_error(lg_k: int = SKETCH_LG_K) -> float:
+    """Relative standard error of a merged sketch with ``2 ** lg_k`` registers."""
+    return 1.04 / (1 << lg_k) ** 0.5
+
+
+def daily_sketches(trips: DataFrame, lg_k: int = SKETCH_LG_K, columns=None) -> DataFrame:
+    """One row per day with a mergeable distinct-count sketch per column (opt-in approximate A5).
+
+    Sketches have a fixed size, are filled before the shuffle, and answer any
+    later period without the trips: store them and merge.
+    """
+    columns = DISTINCT_COUNTS if columns is None else columns
+    return trips.groupBy(trip_day()).agg(*[F.hll_sketch_agg(c, lg_k).alias(name) for c, name in columns])
+
+
+def merge_sketches(sketches: DataFrame, unit: str, columns=None) -> DataFrame:
+    """Approximate distinct counts per week or month from stored daily sketches."""
+    columns = DISTINCT_COUNTS if columns is None else columns
+    key = dates.period_start("trip_date", unit).alias(PERIOD_KEYS[unit])
+    return sketches.groupBy(key).agg(*[F.hll_sketch_estimate(F.hll_union_agg(name)).alias(name) for _, name in columns])
+
+
 def duration_quartiles(trips: DataFrame) -> DataFrame:
     """A7 + A10: exact p25 / median / p75 of the duration per day (``_pct`` array).
 
@@ -177,8 +224,10 @@ def daily_shared(trips: DataFrame) -> DataFrame:
     """A1-A11 + A14 + O2 per day in three scans of the trips, without Expand.
 
     * the (day, user type, duration) histogram gives every count, mean,
-      extreme, deviation and percentile: sums are exact decimals, so the
-      deviation has no cancellation error;
+      extreme, deviation and percentile.  Sums are exact decimals for every
+      bigint, so the deviation has no cancellation error; a day whose squares
+      do not fit 38 digits (durations around 10^15 and more) takes the sums in
+      double instead;
     * the (day, start, end) pair counts give the busiest pair and both
       station counts (sets bounded by the number of stations);
     * the (day, bike) pairs give the bike count.
@@ -187,11 +236,12 @@ def daily_shared(trips: DataFrame) -> DataFrame:
     """
     hist = trips.groupBy(trip_day(), "user_type", "trip_duration").agg(F.count(F.lit(1)).alias("n"))
     d, n = F.col("trip_duration"), F.col("n")
-    exact = lambda c: c.cast("decimal(12,0)")
+    exact = lambda c: c.cast("decimal(19,0)")
     member, casual = F.col("user_type") == MEMBER, F.col("user_type") == CASUAL
     count = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0).cast("bigint"))
     mean = lambda cond: (
         F.sum(F.when(cond, exact(d) * exact(n))).cast("double") / F.sum(F.when(cond & d.isNotNull(), n)).cast("double"))
+    square = F.try_multiply(F.try_multiply(exact(d), exact(d)), exact(n))
     days = hist.groupBy("trip_date").agg(
         F.sum("n").alias("total_trips__leaky"),
         count(member).alias("annual_member_trips__leaky"),
@@ -203,11 +253,15 @@ def daily_shared(trips: DataFrame) -> DataFrame:
         mean(casual).alias("avg_casual_member_duration__leaky"),
         count(d.isNotNull()).alias("_n"),
         F.sum(exact(d) * exact(n)).alias("_s1"),
-        F.sum(exact(d) * exact(d) * exact(n)).alias("_s2"),
+        F.try_sum(square).alias("_s2"),
+        F.count_if(square.isNull() & d.isNotNull()).alias("_lost"),
+        F.sum(d.cast("double") * d.cast("double") * n.cast("double")).alias("_rough"),
         F.percentile("trip_duration", [0.25, 0.5, 0.75], F.col("n")).alias("_pct"),
     )
-    wide, narrow = F.col("_s2").cast("decimal(26,0)"), F.col("_s1").cast("decimal(19,0)")
-    spread = (exact(F.col("_n")) * wide - narrow * narrow).cast("double")
+    s1, rows = F.col("_s1"), F.col("_n").cast("double")
+    whole = F.try_subtract(F.try_multiply(exact(F.col("_n")), F.col("_s2")), F.try_multiply(s1, s1)).cast("double")
+    rough = F.greatest(F.lit(0.0), rows * F.col("_rough") - s1.cast("double") * s1.cast("double"))
+    spread = F.coalesce(F.when(F.col("_lost") == 0, whole), rough)
     pairs = pair_counts(trips)
     ends = pairs.groupBy("trip_date").agg(
         F.min(_pair_order()).alias("_best"),

@@ -6,13 +6,17 @@ each ``unique`` key is one grouped aggregation (partial aggregation first,
 so a repeated key costs one row per task before the shuffle); referential
 checks are left-anti joins.  The result has one row per check:
 ``(table_name, column_name, check_name, violations)``.
+
+``observe_checks`` and ``observe_reasons`` take the same numbers from the job
+that writes a table, so nothing is read again.  The metrics stand in the
+write's last stage, where each task counts once however often it is tried.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 REPORT_COLUMNS = ["table_name", "column_name", "check_name", "violations"]
@@ -87,6 +91,44 @@ def quality_report(
     return out
 
 
+def observe_checks(
+    df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[str | Sequence[str]] = ()
+) -> tuple[DataFrame, Callable[[], list[tuple[str, str, int]]]]:
+    """Q1 + Q2 measured while ``df`` is written.
+
+    Returns the frame to write and a function that gives ``(column, check,
+    violations)`` once it is written (it waits for that).  Not-null checks are
+    one counter each.  A key counts as violated where a second row of it
+    passes, which takes a window by that key in the written plan (nulls
+    excluded): meant for the keys of period tables and calendars.
+    """
+    if not not_null and not unique:
+        return df, list
+    watched, metrics, names = df, [], []
+    for i, c in enumerate(not_null):
+        metrics.append(F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}"))
+        names.append((f"n{i}", c, "not_null"))
+    for i, key in enumerate(unique):
+        cols = [key] if isinstance(key, str) else list(key)
+        known = F.lit(True)
+        for c in cols:
+            known = known & F.col(f"`{c}`").isNotNull()
+        by = [F.col(f"`{c}`") for c in cols]
+        watched = watched.withColumn(f"__place{i}", F.row_number().over(Window.partitionBy(*by).orderBy(*by)))
+        metrics.append(F.count_if(known & (F.col(f"__place{i}") == 2)).alias(f"u{i}"))
+        names.append((f"u{i}", ",".join(cols), "unique"))
+    seen = Observation()
+    watched = watched.observe(seen, *metrics).select(*[F.col(f"`{c}`") for c in df.columns])
+    return watched, lambda: [(column, check, int(seen.get[name])) for name, column, check in names]
+
+
+def observe_reasons(df: DataFrame, column: str, reasons: Sequence[str]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """Rows per value of ``column`` (one of ``reasons``, or null: not counted), measured while ``df`` is written."""
+    seen = Observation()
+    counts = [F.count_if(F.col(column) == reason).alias(f"r{i}") for i, reason in enumerate(reasons)]
+    return df.observe(seen, *counts), lambda: {reason: int(seen.get[f"r{i}"]) for i, reason in enumerate(reasons)}
+
+
 def period_coverage(table: DataFrame, key: str, days_col: str) -> DataFrame:
     """Q5: observed days per period next to the calendar length of the period."""
     k = F.col(key)

@@ -40,6 +40,22 @@ def stage_trips(raw: DataFrame) -> DataFrame:
     return cast_project(raw, TRIP_COLUMNS)
 
 
+def stage_trips_marked(marked: DataFrame) -> DataFrame:
+    """T1 with the rejected rows kept: the staged columns, ``rejected`` and why (``files.read_csv_marked``).
+
+    Values of rejected rows that do not convert are null here; their text
+    stands in ``reject_row``.
+    """
+    values = [typed_column(raw, typ, parse, tolerant=True).alias(name) for raw, name, typ, parse in TRIP_COLUMNS]
+    reason = F.col("reject_reason")
+    return marked.select(*values, reason.isNotNull().alias("rejected"), reason, "reject_file", "reject_row")
+
+
+def good_trips(marked: DataFrame) -> DataFrame:
+    """The staged trips of ``stage_trips_marked`` that a tolerant read keeps."""
+    return marked.where(~F.col("rejected").cast("boolean")).select(*[name for _raw, name, _typ, _parse in TRIP_COLUMNS])
+
+
 def stage_weather(raw: DataFrame, secondary: bool = False) -> DataFrame:
     """T3 / T4 from a raw weather frame."""
     return cast_project(raw, WEATHER_SECONDARY_COLUMNS if secondary else WEATHER_PRIMARY_COLUMNS)
@@ -76,3 +92,25 @@ def parse_json_map(c: Column | str, value_type: str = "string") -> Column:
     """JSON object text -> ``map<string, value_type>``; nested values stay JSON text."""
     col = F.col(c) if isinstance(c, str) else c
     return F.from_json(col, f"map<string,{value_type}>")
+
+
+def parse_json_variants(c: Column | str) -> Column:
+    """JSON object text -> ``map<string, variant>``: every value keeps its JSON type and can be read by path.
+
+    Null for null and for text that is no JSON object.
+    """
+    return parse_json_map(c, "variant")
+
+
+def json_value(values: Column, key: str, path: str = "$", typ: str = "string") -> Column:
+    """The value under ``key`` of a variant map, at ``path``, as ``typ``.
+
+    Null where the key or the path is absent, where the value is a JSON null,
+    and where it does not convert.
+    """
+    return F.try_variant_get(F.try_element_at(values, F.lit(key)), path, typ)
+
+
+def json_type(values: Column, key: str) -> Column:
+    """The type of the value under ``key``: VOID for a JSON null, null where the key is absent."""
+    return F.schema_of_variant(F.try_element_at(values, F.lit(key)))

@@ -10,8 +10,9 @@ Parallelism: with no ``series_keys`` the series is global and the window
 runs in one partition.  That is right here because the input has one row
 per day / week / month (a few thousand rows whatever the trip volume).
 With ``series_keys`` (e.g. one series per station) the window is
-partitioned by them and scales out.  For one long global series,
-``add_features_bucketed`` splits the rows into fixed-size buckets of
+partitioned by them and scales out over the series.  For one long global
+series, or where one series of many holds much of the rows,
+``add_features_bucketed`` splits each series into fixed-size buckets of
 consecutive rows and copies the last ``lookback`` rows of each bucket into
 the next one (a halo), so every bucket computes its features alone.
 """
@@ -146,50 +147,55 @@ def lookback(spec: FeatureSpec) -> int:
     return max(reach, default=0)
 
 
-def global_row_index(df: DataFrame, order: str, coarse: Column) -> DataFrame:
-    """0-based position of every row in ``order``, computed without one-partition sorts.
+def global_row_index(df: DataFrame, order: str, coarse: Column, series_keys: Sequence[str] = ()) -> DataFrame:
+    """0-based position of every row in ``order`` within its series, without sorting a series in one task.
 
     ``coarse`` must be non-decreasing in ``order`` (e.g. the month of a
-    date).  Rows are numbered inside each coarse bucket (window partitioned
-    by the bucket), and each bucket's offset is the running count of the
-    buckets before it: a window over one row per bucket, joined back.
+    date).  Rows are numbered inside each coarse group of a series (window
+    partitioned by both), and each group's offset is the running count of the
+    groups before it: a window over one row per group, joined back.
     """
     ordered = F.col(order).asc_nulls_last()
+    groups = [*series_keys, "_cb"]
     tagged = df.withColumn("_cb", coarse)
-    local = tagged.withColumn("_rn", F.row_number().over(Window.partitionBy("_cb").orderBy(ordered)))
-    sizes = tagged.groupBy("_cb").agg(F.count(F.lit(1)).alias("_size"))
-    running = Window.orderBy(F.col("_cb").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_cb", F.coalesce(F.sum("_size").over(running), F.lit(0)).alias("_offset"))
-    indexed = local.join(offsets, local["_cb"].eqNullSafe(offsets["_cb"]), "left").drop(offsets["_cb"])
-    return indexed.select(*df.columns, (F.col("_offset") + F.col("_rn") - 1).alias("_idx"))
+    local = tagged.withColumn("_rn", F.row_number().over(Window.partitionBy(*groups).orderBy(ordered)))
+    sizes = tagged.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
+    running = Window.partitionBy(*series_keys).orderBy(F.col("_cb").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_size").over(running), F.lit(0)).alias("_offset")
+    offsets = sizes.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], offset)
+    same = F.lit(True)
+    for i, g in enumerate(groups):
+        same = same & local[g].eqNullSafe(F.col(f"_g{i}"))
+    return local.join(offsets, same, "left").select(*df.columns, (F.col("_offset") + F.col("_rn") - 1).alias("_idx"))
 
 
 def add_features_bucketed(
     df: DataFrame, spec: FeatureSpec, bucket_rows: int, coarse: Column | None = None
 ) -> DataFrame:
-    """``add_features`` for one long global series, spread over many tasks.
-
-    Rows are cut into buckets of ``bucket_rows`` consecutive rows; the last
-    ``lookback(spec)`` rows of every bucket are copied into the next bucket,
-    features are computed per bucket, and the copies are dropped.  Results
-    equal ``add_features`` for row-based lags and frames.  ``coarse`` is any
-    expression non-decreasing in the order column that splits the rows into
-    many groups (default: the month of a date/timestamp order column).
+    """``add_features`` for long series, spread over many tasks.
+
+    The rows of each series are cut into buckets of ``bucket_rows``
+    consecutive rows; the last ``lookback(spec)`` rows of every bucket are
+    copied into the next bucket, features are computed per series and bucket,
+    and the copies are dropped.  So a series that holds a third of all rows is
+    as many tasks' work as it has buckets.  Results equal ``add_features`` for
+    row-based lags and frames (rows with equal order keys: in any order, as
+    there).  ``coarse`` is any expression non-decreasing in the order column
+    that splits a series into many groups (default: the month of a
+    date/timestamp order column).
     The input is read several times, so it is written to the shared folder first.
     """
-    if spec.series_keys:
-        return add_features(df, spec)
     halo = lookback(spec)
     if bucket_rows <= halo:
         raise ValueError("bucket_rows must exceed the feature lookback")
     coarse = F.trunc(F.col(spec.order), "MM") if coarse is None else coarse
-    indexed = global_row_index(cut_lineage(df, "table"), spec.order, coarse)
+    indexed = global_row_index(cut_lineage(df, "table"), spec.order, coarse, spec.series_keys)
     bucket = F.floor(F.col("_idx") / bucket_rows)
     own = indexed.withColumns({"_bucket": bucket, "_copy": F.lit(False)})
     copies = indexed.filter(F.col("_idx") % bucket_rows >= bucket_rows - halo).withColumns(
         {"_bucket": bucket + 1, "_copy": F.lit(True)}
     )
-    local_spec = FeatureSpec(spec.order, spec.unit, ("_bucket",), list(spec.features))
+    local_spec = FeatureSpec(spec.order, spec.unit, (*spec.series_keys, "_bucket"), list(spec.features))
     out = add_features(own.unionByName(copies), local_spec)
     return out.filter(~F.col("_copy")).drop("_idx", "_bucket", "_copy")
 

@@ -12,10 +12,12 @@ mart key and the restriction month are ``unique``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import joins, quality, windows
 from ..schemas import CLEAN_STATION_COLUMNS, CLEAN_WEATHER_COLUMNS
+from ..sources import sinks
 from . import marts, tables
 
 NULLABLE_DAILY = {"stddev_trip_duration__leaky", "avg_annual_member_duration__leaky", "avg_casual_member_duration__leaky"}
@@ -82,5 +84,41 @@ def project_report(project: marts.Project, models: list[str] | None = None) -> D
     return out
 
 
+BUILD_CHECKS, BUILD_DROPS = "build_checks", "build_drops"
+
+
+def observed_report(spark: SparkSession, project: marts.Project, models: list[str] | None = None) -> DataFrame:
+    """Q1 + Q2 of the models that ``project`` has written, as their writes measured them: reads no table."""
+    names = [m for m in (models or list(project.observed)) if any(declared_tests(m))]
+    missing = [m for m in names if m not in project.observed]
+    if missing:
+        raise ValueError(f"not written by this project: {missing}")
+    # one row per declared check
+    rows = [(m, column, check, violations) for m in names for column, check, violations in project.observed[m]]
+    return spark.createDataFrame(rows, "table_name string, column_name string, check_name string, violations long")
+
+
+def drop_report(spark: SparkSession, project: marts.Project) -> DataFrame:
+    """Rows that the last write of the staged trips rejected, by reason."""
+    return spark.createDataFrame(sorted((project.drops or {}).items()), "reason string, rows long")
+
+
+def save_observed(spark: SparkSession, project: marts.Project, out_dir: str) -> None:
+    """Keep what a build has measured beside its tables; models of earlier builds keep theirs."""
+    root = out_dir.rstrip("/")
+    if project.observed:
+        report = observed_report(spark, project)
+        sinks.materialize(report, f"{root}/{BUILD_CHECKS}", ["table_name"], replace="partitions")
+    if project.drops is not None:
+        sinks.materialize(drop_report(spark, project).coalesce(1), f"{root}/{BUILD_DROPS}")
+
+
+def saved_report(spark: SparkSession, out_dir: str, models: list[str]) -> DataFrame:
+    """The checks that builds below ``out_dir`` have measured for ``models``."""
+    schema = "column_name string, check_name string, violations long, table_name string"
+    report = spark.read.schema(schema).parquet(f"{out_dir.rstrip('/')}/{BUILD_CHECKS}")
+    return report.where(F.col("table_name").isin(models)).select(*quality.REPORT_COLUMNS)
+
+
 def role_project(spark, sf_dir: str, **options) -> marts.Project:
     return marts.Project(tables.role_inputs(spark, sf_dir), **options)

@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import cleaning, joins
-from ..sources import sinks
+from ..operators import cleaning, joins, quality, staging
+from ..schemas import TRIP_COLUMNS
+from ..sources import files, sinks
 from . import tables
 
 GRAIN_KEYS = {"daily": "trip_date", "weekly": "week_start_date", "monthly": "month_start_date"}
@@ -92,10 +94,18 @@ class Project:
     the lineage between layers the way the reference's table
     materialisation does.  The daily model reads the cleaned models, so a
     build with parents parses raw CSV once and aggregates Parquet.
+
+    The write of a model also measures its declared tests (``observed``), and
+    the write of the staged trips, where the inputs have ``trips_marked``,
+    counts the rows it rejects by reason (``drops``) and keeps them beside the
+    good ones (``rejected``): one scan of the raw files for all of it.
     """
 
     def __init__(self, inputs: tables.Inputs, **options):
         self.inputs = inputs
+        self.observed: dict[str, list[tuple[str, str, int]]] = {}
+        self.drops: dict[str, int] | None = None
+        self.rejected: DataFrame | None = None
         self.options = options
         self._models: dict[str, DataFrame] = {}
         self._builders: dict[str, tuple[list[str], Callable[[], DataFrame]]] = {
@@ -149,7 +159,28 @@ class Project:
     def use_built(self, spark: SparkSession, out_dir: str, names: Iterable[str]) -> None:
         """Read the models ``names`` from the tables an earlier ``build`` wrote below ``out_dir``."""
         for n in names:
-            self._models[n] = spark.read.parquet(f"{out_dir.rstrip('/')}/{n}")
+            self._models[n] = self._kept(spark.read.parquet(f"{out_dir.rstrip('/')}/{n}"))
+
+    def _kept(self, written: DataFrame) -> DataFrame:
+        """The rows of a written model without those that a tolerant read rejected."""
+        if "rejected" not in written.columns:
+            return written
+        self.rejected = written.where(F.col("rejected").cast("boolean")).select(*files.REJECT_COLUMNS)
+        return staging.good_trips(written)
+
+    def _write(self, name: str, df: DataFrame, path: str, partition_by: list[str] | None, replace: str) -> DataFrame:
+        from .checks import declared_tests  # which needs the names of the models
+
+        if name == "stg_trips" and self.inputs.trips_marked is not None:
+            marked, dropped = quality.observe_reasons(
+                self.inputs.trips_marked, "reject_reason", files.reject_reasons(TRIP_COLUMNS))
+            written = sinks.materialize(marked, path, ["rejected"], gather=False)
+            self.drops = {reason: rows for reason, rows in dropped().items() if rows}
+            return self._kept(written)
+        watched, violations = quality.observe_checks(df, *declared_tests(name))
+        written = sinks.materialize(watched, path, partition_by, replace)
+        self.observed[name] = violations()
+        return written
 
     def select(self, selector: str | Iterable[str]) -> list[str]:
         """Model names for a selector: a name, a prefix (``stg``, ``int``, ``fct``), a layer
@@ -177,14 +208,25 @@ class Project:
         return chosen
 
     def build(
-        self, selector: str | Iterable[str] = "", out_dir: str | None = None, export_dir: str | None = None
+        self,
+        selector: str | Iterable[str] = "",
+        out_dir: str | None = None,
+        export_dir: str | None = None,
+        partition_by: dict[str, list[str]] | None = None,
+        replace: str = "table",
     ) -> dict[str, DataFrame]:
+        """Resolve the selected models; with ``out_dir`` write each and go on from the table.
+
+        ``partition_by`` names the partition columns of models that have some;
+        with ``replace="partitions"`` their partitions without new rows stay.
+        """
         names = self.select(selector) if selector else self.names
+        layout = partition_by or {}
         built: dict[str, DataFrame] = {}
         for n in names:
             df = self.ref(n)
             if out_dir:
-                df = sinks.materialize(df, f"{out_dir.rstrip('/')}/{n}")
+                df = self._write(n, df, f"{out_dir.rstrip('/')}/{n}", layout.get(n), replace if n in layout else "table")
                 self._models[n] = df
             if export_dir and n.startswith("fct_"):
                 grain = n.split("_")[2]

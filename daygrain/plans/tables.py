@@ -42,6 +42,8 @@ class Inputs:
     restrictions: DataFrame
     # True when station ids and weather days are known to be unique; None: tested when needed.
     keyed: bool | None = None
+    # The trips with the rows a tolerant read rejects (``staging.stage_trips_marked``): a build keeps and counts them.
+    trips_marked: DataFrame | None = None
 
 
 def role_inputs(spark: SparkSession, sf_dir: str) -> Inputs:

@@ -12,16 +12,20 @@ fails with the file named; files without content hold no rows.  Bad rows:
 * ``fail``: the first bad row fails the job, whatever columns are used;
 * ``only``: return just the rejected (convertible-length) rows, as text, for
   a data-quality report.
+
+``read_csv_marked`` keeps every row with the reason for which a tolerant read
+would drop it, so that one scan can write the good rows and the bad ones.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,8 +38,70 @@ def list_files(spark: SparkSession, pattern: str | Sequence[str]) -> list[str]:
     return sorted(unquote(p) for p in spark.read.text(patterns).inputFiles())
 
 
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line that is not blank, read through the file system API (no job).
+#: Bytes of a line that the header step reads, and blank characters that the layout probe skips.
+LONGEST_HEADER = 1 << 20
+LONGEST_BLANK = 1 << 16
+
+
+def _one_file_a_task(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose scans give every file, uncut, a task of its own."""
+    session = spark.newSession()
+    whole = str(1 << 60)
+    session.conf.set("spark.sql.files.maxPartitionBytes", whole)
+    session.conf.set("spark.sql.files.openCostInBytes", whole)
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    return session
+
+
+def _text_scan(spark: SparkSession, pattern: str | Sequence[str]) -> DataFrame:
+    reader = _one_file_a_task(spark).read.option("mapreduce.input.linerecordreader.line.maxlength", str(LONGEST_HEADER))
+    return reader.text([pattern] if isinstance(pattern, str) else list(pattern))
+
+
+def first_lines(scan: DataFrame) -> DataFrame:
+    """(path, line): the first line of every file of a text scan that is not blank, found by one Spark job.
+
+    A task opens one file (compressed ones included), takes lines until one is
+    not blank and stops there: neither the driver nor the job reads the files.
+    ``line`` is null where all lines are blank; files without content have no
+    row.  Lines beyond ``LONGEST_HEADER`` bytes are passed over.
+    """
+
+    def take(batches):
+        path, line, more = None, None, 0
+        for batch in batches:
+            for path, text in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                if line is None and text.strip("\ufeff").strip():
+                    line = text.removeprefix("\ufeff")
+            more += line is not None
+            if more > 4:  # a short file is read to its end, which keeps the worker for the next one
+                break
+        if path is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([line], pa.string())], names=["path", "line"])
+
+    rows = scan.select(F.col("_metadata.file_path").alias("path"), "value")
+    return rows.mapInArrow(take, "path string, line string")
+
+
+def _plain(path: str) -> str:
+    """A path as both the file listing and a scan's metadata name it (``file:///x`` and ``file:/x`` are one file)."""
+    return re.sub(r"^(\w+):///", r"\1:/", unquote(path))
+
+
+def headers_by_file(spark: SparkSession, pattern: str | Sequence[str], sep: str = ",") -> dict[str, tuple[str, ...]]:
+    """Header of every file that has content, by path, from one listing and one job whatever the number of files."""
+    scan = _text_scan(spark, pattern)
+    paths = sorted(unquote(p) for p in scan.inputFiles())
+    out = {}
+    for r in first_lines(scan).collect() if paths else []:
+        if r["line"] is None:
+            raise ValueError(f"only blank lines in {unquote(r['path'])}")
+        out[_plain(r["path"])] = tuple(next(csv.reader(io.StringIO(r["line"]), delimiter=sep)))
+    return {p: out[_plain(p)] for p in paths if _plain(p) in out}
+
+
+def opening(spark: SparkSession, path: str) -> str | None:
+    """The first character of a file that is not blank: reads no more than that (at most ``LONGEST_BLANK`` characters).
 
     None for a file without content.
     """
@@ -45,30 +111,20 @@ def first_line(spark: SparkSession, path: str) -> str | None:
     try:
         codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
         source = codec.createInputStream(stream) if codec else stream
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
-        line = reader.readLine()
-        seen = line is not None
-        while line is not None and not line.strip():
-            line = reader.readLine()
-        if line is None and seen:
-            raise ValueError(f"only blank lines in {path}")
-        return None if line is None else line.removeprefix("\ufeff")
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"), 4096)
+        for seen in range(LONGEST_BLANK):
+            code = reader.read()
+            if code < 0:
+                if seen:
+                    raise ValueError(f"only blank characters in {path}")
+                return None
+            if not chr(code).isspace() and code != 0xFEFF:
+                return chr(code)
+        raise ValueError(f"more than {LONGEST_BLANK} blank characters at the start of {path}")
     finally:
         stream.close()
 
 
-def headers_by_file(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[str, tuple[str, ...]]:
-    """Header of every file that has content; a few driver threads open the files, no job runs."""
-
-    def header(path: str) -> tuple[str, ...] | None:
-        line = first_line(spark, path)
-        return None if line is None else tuple(next(csv.reader(io.StringIO(line), delimiter=sep)))
-
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        found = dict(zip(paths, pool.map(header, paths)))
-    return {p: h for p, h in found.items() if h is not None}
-
-
 def _layouts(spark, pattern, columns, sep: str, strict: bool) -> list[tuple[dict[str, str], tuple[str, ...], list[str]]]:
     """Files by header: (declared name -> name in the files, header, paths).
 
@@ -76,9 +132,8 @@ def _layouts(spark, pattern, columns, sep: str, strict: bool) -> list[tuple[dict
     fails with the file named; so does an undeclared one when ``strict``.
     """
     wanted = [c[0] for c in columns]
-    paths = list_files(spark, pattern)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in headers_by_file(spark, paths, sep).items():
+    for path, header in headers_by_file(spark, pattern, sep).items():
         groups.setdefault(header, []).append(path)
     out = []
     for header, files in groups.items():
@@ -149,7 +204,7 @@ def read_csv_aligned(
     return out.filter(ok) if bad_rows == "drop" else out.filter(~ok)
 
 
-def csv_reject_report(
+def read_csv_marked(
     spark: SparkSession,
     pattern: str | Sequence[str],
     columns,
@@ -157,18 +212,20 @@ def csv_reject_report(
     null_value: str | None = None,
     sep: str = ",",
 ) -> DataFrame:
-    """Rows a tolerant read drops, counted per file and reason (one pass).
+    """Every row of the files, as text named by the raw headers, and why a tolerant read drops it.
 
-    ``reason`` is ``field_count`` for rows with too few or too many fields,
-    else ``type:<raw header>`` for the first column whose value does not
-    convert to its declared type.  Columns: ``file_path, reason, rows``.
+    Beside the declared columns: ``reject_reason`` (null for a good row;
+    ``field_count`` for rows with too few or too many fields, else
+    ``type:<raw header>`` for the first column whose value does not convert to
+    its declared type), and for rejected rows ``reject_file`` and
+    ``reject_row`` (the row's text; for a bad value, its fields as JSON).
     """
     parts = []
     for names, header, files in _layouts(spark, pattern, columns, sep, strict=False):
         reader = _reader(spark, header, sep, null_value, "PERMISSIVE", ["_corrupt"])
         df = reader.option("columnNameOfCorruptRecord", "_corrupt").csv(files)
         parts.append(df.select(
-            F.input_file_name().alias("file_path"), "_corrupt",
+            F.col("_metadata.file_path").alias("_file"), "_corrupt",
             *[F.col(f"`{name}`").alias(w) for w, name in names.items()],
         ))
     rows = parts[0]
@@ -177,8 +234,35 @@ def csv_reject_report(
     reason = F.when(F.col("_corrupt").isNotNull(), F.lit("field_count"))
     for raw, _name, typ, parse in columns:
         reason = reason.when(~_valid(raw, typ, parse), F.lit(f"type:{raw}"))
-    rejected = rows.select("file_path", reason.alias("reason")).filter(F.col("reason").isNotNull())
-    return rejected.groupBy("file_path", "reason").agg(F.count(F.lit(1)).alias("rows"))
+    fields = [F.col(f"`{c[0]}`") for c in columns]
+    marked = rows.select(*fields, "_file", "_corrupt", reason.alias("reject_reason"))
+    bad = F.col("reject_reason").isNotNull()
+    return marked.select(
+        *fields, "reject_reason", F.when(bad, F.col("_file")).alias("reject_file"),
+        F.when(bad, F.coalesce("_corrupt", F.to_json(F.struct(*fields)))).alias("reject_row"),
+    )
+
+
+REJECT_COLUMNS = ("reject_reason", "reject_file", "reject_row")
+
+
+def reject_reasons(columns) -> list[str]:
+    """Every reason that ``read_csv_marked`` can give."""
+    return ["field_count"] + [f"type:{raw}" for raw, _name, typ, _parse in columns if typ != "string"]
+
+
+def csv_reject_report(
+    spark: SparkSession,
+    pattern: str | Sequence[str],
+    columns,
+    *,
+    null_value: str | None = None,
+    sep: str = ",",
+) -> DataFrame:
+    """Rows a tolerant read drops, counted per file and reason (one pass): ``file_path, reason, rows``."""
+    rows = read_csv_marked(spark, pattern, columns, null_value=null_value, sep=sep)
+    rejected = rows.select(F.col("reject_file").alias("file_path"), F.col("reject_reason").alias("reason"))
+    return rejected.filter(F.col("reason").isNotNull()).groupBy("file_path", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def write_raw_csv(df: DataFrame, path: str, columns, header_order: Sequence[str] | None = None) -> None:
@@ -231,11 +315,10 @@ def read_json_records(
     layout = layout or ("nested" if record_path else "lines")
     if layout not in JSON_LAYOUTS or (layout == "nested") != bool(record_path):
         raise ValueError(f"layout {layout!r} with record path {record_path!r}")
-    opening = "[" if layout == "array" else "{"
+    bracket = "[" if layout == "array" else "{"
     for file in list_files(spark, path):
-        line = first_line(spark, file)
-        if line is not None and not line.lstrip().startswith(opening):
-            raise ValueError(f"{file} does not open with {opening!r} as the layout {layout!r} does")
+        if opening(spark, file) not in (None, bracket):
+            raise ValueError(f"{file} does not open with {bracket!r} as the layout {layout!r} does")
     reader = spark.read.option("mode", "FAILFAST").option("multiLine", layout != "lines")
     if layout == "nested":
         df = reader.schema(record_path_schema(schema, record_path)).json(path).selectExpr(f"inline({record_path})")
