@@ -1,14 +1,21 @@
 """Byte-level BPE encoding and decoding with the tiktoken library and a local rank file.
 
 ``encode_table`` adds the token ids of each whole text, ``decode_table``
-turns ids back into bytes.  The rank file is read once per Python worker;
-only its path travels.  Long texts are cut at safe boundaries before they
+turns ids back into bytes.  The rank file is read once per task; only its
+path travels.  Long texts are cut at safe boundaries before they
 reach the tokenizer: between a visible ASCII character and a space.  The
 split pattern lets a match hold a space only as its first character or in a
 run of white space, and a run of white space cannot begin left of that
 space, so every such place is a match boundary in the uncut text too and the
 ids do not change.  A text without such a place goes through whole.
 
+Runs of white space of ``RUN_CHARS`` characters and more never reach the split
+pattern, whose engine keeps a way back for each character and breaks on a
+million: by its rule ``\\s+(?!\\S)`` matches the run up to its last character
+(all of it at the end of the text), which is encoded as the one match it is,
+and the last character goes with what follows.  Patterns that treat white
+space otherwise are not cut there.
+
 Defined cases: null text encodes as empty (no ids, empty bytes); strings
 that look like special tokens are ordinary text; repeated rows are encoded
 each on their own; an empty table gives an empty result.
@@ -27,10 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import small_batches
+from .text import release, small_batches
 
 SAFE = re.compile(r"(?<=[!-~])(?= [!-~])")
 PIECE_CHARS = 1 << 16
+RUN_CHARS = 1 << 12
+# fixed values: the characters of the White_Space property, which the pattern's \s stands for
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The end of a split pattern whose runs of white space are matched by the rule above.
+RUN_RULE = r"|\s+(?!\S)|\s+"
 
 
 @lru_cache(maxsize=4)
@@ -59,13 +71,26 @@ def pieces(text: str, size: int = PIECE_CHARS):
     yield text[start:] if start else text
 
 
-def encode_text(text, enc, size: int = PIECE_CHARS) -> list[int]:
+def runs(text: str, least: int = RUN_CHARS):
+    """(start, stop) of each match that is a run of at least ``least`` - 1 white-space characters."""
+    for run in re.finditer(f"[{_SPACES}]{{{least},}}", text):
+        yield run.start(), run.end() - (run.end() < len(text))
+
+
+def encode_text(text, enc, size: int = PIECE_CHARS, run: int = RUN_CHARS) -> list[int]:
+    """Ids of a whole text; ``size`` and ``run`` (at least 2) only bound what goes to the tokenizer at once."""
     if not isinstance(text, str) or not text:
         return []
     if len(text) <= size:
         return enc.encode_ordinary(text)
     out: list[int] = []
-    for piece in pieces(text, size):
+    at = 0
+    for start, stop in runs(text, max(2, run)) if enc._pat_str.endswith(RUN_RULE) else ():
+        for piece in pieces(text[at:start], size):
+            out.extend(enc.encode_ordinary(piece))
+        out.extend(enc._encode_single_piece(text[start:stop]))
+        at = stop
+    for piece in pieces(text[at:], size):
         out.extend(enc.encode_ordinary(piece))
     return out
 
@@ -110,6 +135,10 @@ def encode_table(docs: DataFrame, path: str, pattern: str, text_col: str = "text
                     made["decoded_sha256"].append(hashlib.sha256(decode_ids(ids, enc)).hexdigest())
             columns = [batch.column(c) for c in keep] + [pa.array(made[c], _ARROW[c]) for c in outputs]
             yield pa.RecordBatch.from_arrays(columns, names=keep + outputs)
+        # workers outlive the task: one that goes on with other work should not keep the ranks
+        del enc, decimal
+        encoding.cache_clear()
+        release()
 
     return rows.mapInArrow(run, schema)
 
