@@ -222,6 +222,11 @@ def _model(key: str, samples: dict, total_symbols: int) -> Model:
     return _MODELS[key]
 
 
+def has_letter(text: Column) -> Column:
+    """True where a text holds a letter, so that ``predict_table`` gives it a language; false for null."""
+    return F.coalesce(F.rlike(text, F.lit(r"\p{L}")), F.lit(False))
+
+
 def held_out(id_col: str) -> Column:
     """True for a fifth of the ids, by the CRC-32 of their decimal form (null: as the empty text)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
