@@ -8,16 +8,19 @@
    first use of a pattern's words is free, the second costs 1, the third 2:
    convex repetition costs, so nothing is repeated while fresh words are left.
    The network has a node per pattern and source, whatever the corpus holds.
-4. Each (pattern, source) flow picks documents in seeded hash order.  The
-   order's prefix sums are taken over hash bins, in two levels of 4,096, so
-   no task holds a source, and one more document closes most of the gap.
+4. Each (pattern, source) flow picks documents in seeded hash order: by a
+   hash of id, sources and text, and where those are equal by a hash of the
+   row's own number.  The order's prefix sums are taken over hash bins, in
+   ``LEVELS`` levels of 4,096, so no task holds a source and a group of equal
+   rows is divided too; one more row closes most of the gap.
 
 Driver-side state is one row per pattern and per source; ``max_patterns``
 bounds it (beyond, the operator raises: it drops nothing).
 
 Defined cases: null text has no words and is never taken; a null source is
-the last source; sources without words get target 0; repeated rows stand
-together (same hash, same decision); an empty table gives an empty result.
+the last source; sources without words get target 0; rows without id, with
+an id that stands elsewhere too, and repeated rows are each decided alone;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,9 +31,9 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .text import WORD, write_read
+from .text import WORD, numbered, write_read
 
-BINS = 4096
+BINS, BIN_BITS, LEVELS = 4096, 12, 4
 
 
 def word_count(text: Column) -> Column:
@@ -120,46 +123,30 @@ def min_cost_flow(capacity: dict, members: dict, quota: dict, epochs: int) -> di
     return {k: cap[i ^ 1] for k, i in routes.items() if cap[i ^ 1] > 0}
 
 
-def _prefix(rows: DataFrame, level: int) -> DataFrame:
-    """Per (pick, bin) the words before and in the bin: at most BINS rows per pick."""
-    w = Window.partitionBy("pick").orderBy("bin")
-    return (
-        rows.groupBy("pick", "want", F.col(f"bin{level}").alias("bin"))
-        .agg(F.sum("size").alias("words"))
-        .withColumn("upto", F.sum("words").over(w))
-        .withColumn("before", F.col("upto") - F.col("words"))
-    )
-
+def cuts(rows: DataFrame, wants: dict[str, int]) -> dict[str, tuple[int, int]]:
+    """Per pick the position below which its rows together hold at most ``wants`` words, and the words still missing.
 
-def select_words(rows: DataFrame, picks: DataFrame) -> DataFrame:
-    """Choose documents per pick: ``rows`` has (key, size, pick columns), ``picks`` (…, pick, want).
-
-    A document is chosen while the words up to and including its second-level
-    bin stay within ``want``; then per pick the one further document whose
-    size comes nearest to the rest joins if that lessens the gap.
+    ``rows`` has (pick, size, pos), with positions of ``LEVELS`` digits of
+    ``BIN_BITS`` bits.  Each level sums the words per bin of the one bin that
+    the level before could not take whole: at most ``BINS`` rows per pick
+    reach a task, one row per pick the driver.
     """
-    first = _prefix(rows, 1)
-    edge = first.where((F.col("before") < F.col("want")) & (F.col("upto") > F.col("want"))).select("pick", F.col("bin").alias("edge"), F.col("before").alias("edge_before"))
-    marked = rows.join(F.broadcast(picks.select("pick").join(edge, "pick", "left")), "pick")
-    inside = marked.where(F.col("bin1") == F.col("edge")).withColumn("want", F.col("want") - F.col("edge_before"))
-    second = _prefix(inside, 2)
-    cut = second.where(F.col("upto") <= F.col("want")).groupBy("pick").agg(F.max("bin").alias("cut"), F.max("upto").alias("got"))
-    full = first.where(F.col("upto") <= F.col("want")).groupBy("pick").agg(F.max("upto").alias("full"))
-    plan = picks.select("pick").join(edge, "pick", "left").join(cut, "pick", "left").join(full, "pick", "left")
-    plan = plan.select(
-        "pick",
-        "edge",
-        F.coalesce("cut", F.lit(-1)).alias("cut"),
-        (F.coalesce("full", F.lit(0)) + F.coalesce("got", F.lit(0))).alias("reached"),
-    )
-    chosen = rows.join(F.broadcast(plan), "pick").withColumn(
-        "chosen",
-        F.when(F.col("edge").isNull(), F.col("want") > 0)
-        .when(F.col("bin1") < F.col("edge"), True)
-        .when(F.col("bin1") == F.col("edge"), F.col("bin2") <= F.col("cut"))
-        .otherwise(False),
-    )
-    return chosen.withColumn("rest", F.when(F.col("edge").isNull(), F.lit(0)).otherwise(F.col("want") - F.col("reached")))
+    spark, done, open_ = rows.sparkSession, {}, {p: (0, w) for p, w in wants.items()}
+    for level in range(LEVELS):
+        if not open_:
+            break
+        below = BIN_BITS * (LEVELS - 1 - level)
+        at = spark.createDataFrame([(p, start, left) for p, (start, left) in open_.items()], "pick string, start long, left long")
+        inside = rows.join(F.broadcast(at), "pick").where(F.shiftright("pos", below + BIN_BITS) == F.shiftright("start", below + BIN_BITS))
+        words = inside.groupBy("pick", "left", F.shiftright("pos", below).alias("bin")).agg(F.sum("size").alias("words"))
+        upto = F.sum("words").over(Window.partitionBy("pick").orderBy("bin"))
+        edges = words.withColumn("upto", upto).where(F.col("upto") > F.col("left"))
+        found = edges.groupBy("pick").agg(F.min(F.struct("bin", (F.col("upto") - F.col("words")).alias("before"))).alias("edge")).collect()
+        reached = {r["pick"]: (r["edge"]["bin"] << below, open_[r["pick"]][1] - r["edge"]["before"]) for r in found}
+        # a pick without an edge takes all that is left of it
+        done |= {p: (1 << (BIN_BITS * LEVELS), 0) for p in open_ if p not in reached}
+        open_ = reached
+    return done | open_
 
 
 def mix(
@@ -173,19 +160,30 @@ def mix(
     seed: int = 20,
     max_patterns: int = 200_000,
     carry=(),
+    number_col: str | None = None,
 ) -> tuple[DataFrame, dict, dict]:
     """One row per document: id, pattern, size, taken, ``carry``; plus targets and sizes per source.
 
     ``members`` is the array of sources a document belongs to; ``weights``
-    maps the sorted list of sources to a weight each.
+    maps the sorted list of sources to a weight each.  ``number_col`` names a
+    long of its own for every row (``text.numbered``); without it, rows are
+    numbered here.
     """
+    if number_col is None:
+        number_col = "__mix_row"
+        docs = numbered(docs, number_col)
     names = F.transform(F.array_sort(F.array_distinct(members)), lambda x: x.cast("string"))
     base = write_read(
         docs.select(
             F.col(id_col).alias("id"),
             word_count(F.col(text_col)).alias("size"),
             F.to_json(names).alias("pattern"),
-            F.xxhash64(F.lit(seed), F.col(id_col), names).alias("h"),
+            # two digits by what the row holds, two by its number
+            (
+                F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), names, F.col(text_col)), 40).bitwiseAND(F.lit((1 << 24) - 1)) * (1 << 24)
+                + F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(number_col)), 40)
+            ).alias("pos"),
+            F.col(number_col).alias("no"),
             *[F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)],
         ),
         "mix-sizes",
@@ -205,25 +203,22 @@ def mix(
     for (p, _), words in flow.items():
         taken_by[p] = taken_by.get(p, 0) + words
     spark = docs.sparkSession
-    picks = [(p, e, w) for p, total in taken_by.items() if capacity[p] > 0 for e, w in [divmod(total, capacity[p])]]
-    plan = spark.createDataFrame(picks or [("", 0, 0)], "pick string, whole long, want long")
-    binned = (
-        base.withColumnRenamed("pattern", "pick")
-        .join(F.broadcast(plan), "pick", "left")
-        .na.fill(0, ["whole", "want"])
-        .withColumn("bin1", F.shiftrightunsigned("h", 52).cast("int"))
-        .withColumn("bin2", F.shiftrightunsigned("h", 40).cast("int").bitwiseAND(F.lit(BINS - 1)))
-    )
-    chosen = select_words(binned, spark.createDataFrame([(p,) for p in capacity] or [("",)], "pick string"))
+    shares = {p: divmod(total, capacity[p]) for p, total in taken_by.items() if capacity[p] > 0}
+    rows = base.withColumnRenamed("pattern", "pick")
+    limits = cuts(rows.select("pick", "size", "pos"), {p: want for p, (_, want) in shares.items() if want})
+    plan = [(p, epochs, *limits.get(p, (0, 0))) for p, (epochs, _) in shares.items()]
+    plan = spark.createDataFrame(plan or [("", 0, 0, 0)], "pick string, whole long, cut long, rest long")
+    marked = rows.join(F.broadcast(plan), "pick", "left").na.fill(0, ["whole", "cut", "rest"])
+    marked = marked.withColumn("chosen", F.col("pos") < F.col("cut"))
     gap = F.abs(F.col("rest") - F.col("size"))
     closing = (
-        chosen.where(~F.col("chosen") & (F.col("size") > 0) & (gap < F.col("rest")))
+        marked.where(~F.col("chosen") & (F.col("size") > 0) & (gap < F.col("rest")))
         .groupBy("pick")
-        .agg(F.min(F.struct(gap.alias("gap"), F.col("h"), F.col("id"), F.col("size"))).alias("best"))
-        .select("pick", "best.h", F.col("best.id").alias("closing_id"))
+        .agg(F.min(F.struct(gap.alias("gap"), F.col("pos"), F.col("no"))).alias("best"))
+        .select("pick", F.col("best.no").alias("closing_no"))
     )
-    out = chosen.join(F.broadcast(closing.withColumnRenamed("h", "closing_h")), "pick", "left")
-    extra = F.col("chosen") | F.coalesce((F.col("h") == F.col("closing_h")) & F.col("id").eqNullSafe(F.col("closing_id")), F.lit(False))
+    out = marked.join(F.broadcast(closing), "pick", "left")
+    extra = F.col("chosen") | F.coalesce(F.col("no") == F.col("closing_no"), F.lit(False))
     copies = F.col("whole") + F.when(extra, 1).otherwise(0)
     result = out.select(
         F.col("id").alias(id_col),

@@ -73,7 +73,7 @@ def test_registered_queries_and_guard(spark, tmp_path):
     import __spark_entry__ as entry
 
     assert set(queries.QUERIES) <= set(entry.queries()) and set(queries.SQL) <= set(entry.oracle_sql())
-    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
     code = "import sys; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; assert not any(q.startswith('op') and q[2].isdigit() or q == 'pipeline' for q in e.queries()); assert e.queries()"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=entry.__file__.rsplit("/", 1)[0])
 

@@ -54,6 +54,41 @@ def test_long_run_without_boundary():
     assert bpe.decode_ids(bpe.encode_text(text, enc), enc) == text.encode()
 
 
+@pytest.mark.parametrize("run", [2, 3, 9])
+def test_cutting_at_runs_of_white_space_changes_nothing(run):
+    enc = plain_encoding()
+    r = random.Random(run)
+    for _ in range(300):
+        text = "".join(r.choice([" ", "  ", "\n", "\t \n", "\u3000", "\x85", "\xa0", "a", "é9", "!", "'s", "\x1c", "\u200b"]) for _ in range(60))
+        assert bpe.encode_text(text, enc, 1, run) == enc.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "\t", " \n", "\u3000 ", "\r\n "])
+def test_long_runs_of_white_space(unit):
+    """100,000 characters as the library encodes them uncut; five million, at both ends and between, encode and decode."""
+    enc = plain_encoding()
+    middle = unit * (100_000 // len(unit))
+    for text in (f"x{middle}y z", f"{middle}1", f"!{middle}"):
+        assert bpe.encode_text(text, enc) == enc.encode_ordinary(text)
+    huge = unit * (5_000_000 // len(unit))
+    for text in (f"x{huge}y", huge, f"{huge}'s a{huge}"):
+        assert bpe.decode_ids(bpe.encode_text(text, enc), enc) == text.encode()
+    short, long_ = (bpe.encode_text(f"x{unit * n}y", enc) for n in (5000, 10_000))
+    assert long_[: len(short) // 2] == short[: len(short) // 2] and long_[-3:] == short[-3:]
+
+
+def test_long_white_space_in_spark(spark):
+    rows = [(1, "x" + " " * 1_000_000 + "y", "en", "a"), (2, "\n" * 1_000_000, "en", "a"), (3, "1" * 1_000_000, "en", "a")]
+    got = bpe.encode_table(frame(spark, rows), PATH, PATTERN, outputs=("n_tokens", "decoded_sha256")).collect()
+    assert {r.doc_id: r.decoded_sha256 for r in got} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t, *_ in rows}
+
+
+def test_runs_are_left_alone_under_other_patterns():
+    enc = tiktoken.Encoding("other", pat_str=r"\s|\S+", mergeable_ranks=plain_encoding()._mergeable_ranks, special_tokens={})
+    text = "a" + " " * 70_000 + "b"
+    assert bpe.encode_text(text, enc) == enc.encode_ordinary(text)
+
+
 def test_suffix_automaton_holds_exactly_the_substrings():
     r = random.Random(4)
     word = [r.randint(3, 5) for _ in range(60)]
@@ -118,6 +153,15 @@ def test_language_id_cases(spark):
     assert langid.predict_table(empty(spark), samples).count() == 0
 
 
+def test_has_letter_agrees_with_the_judge(spark):
+    texts = [t for _, t, *_ in documents()] + ["١٢٣", "你", "ª", "ʰ", "🙂", "_", "\u0301", "Ⅷ", "𝒳", "ꙮ"]
+    model = langid.Model({"en": [langid.fold("some plain english words")]})
+    want = model.judge(texts)[2]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.has for r in rows.select("i", langid.has_letter(rows["t"]).alias("has")).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_held_out_is_the_crc_of_the_decimal_id(spark):
     import zlib
 
@@ -144,6 +188,24 @@ def test_mix_hits_targets_and_keeps_the_limits(spark):
     assert {(x.doc_id, x.taken) for x in again} == {(x.doc_id, x.taken) for x in got}
 
 
+def test_mix_of_null_and_shared_ids_and_of_repeated_rows(spark):
+    """Half the ids null, one id for a whole source, one row a thousand times: targets within a document, limits kept."""
+    r = random.Random(11)
+    rows = [(None if i % 2 else i, sentence(r, r.randint(5, 60)), "en", "a") for i in range(600)]
+    rows += [(7, sentence(r, r.randint(5, 60)), "en", "b") for _ in range(300)]
+    rows += [(None, "one row of six words here", "en", "c")] * 1000
+    docs = frame(spark, rows)
+    taken, goal, _ = mix.mix(docs, mix.F.array("source"), cycled_weights, carry=("source", "text"))
+    got = taken.collect()
+    assert len(got) == len(rows) and all(x.taken <= 2 * x.size for x in got)
+    for s, target in goal.items():
+        assert abs(sum(x.taken for x in got if x.source == s) - target) <= 6, s
+    again = mix.mix(docs.repartition(3), mix.F.array("source"), cycled_weights, carry=("source", "text"))[0].collect()
+    words = lambda found: {s: sum(x.taken for x in found if x.source == s) for s in "abc"}
+    assert {(x.doc_id, x.text, x.taken) for x in again if x.source == "a"} == {(x.doc_id, x.text, x.taken) for x in got if x.source == "a"}
+    assert words(again)["c"] == pytest.approx(words(got)["c"], abs=6)
+
+
 def test_mix_overlapping_sources_use_fresh_words_first(spark):
     rows = [(i, "one two three four five", "en", "a") for i in range(100)]
     docs = frame(spark, rows)
