@@ -15,9 +15,10 @@ different texts is lost:
 3. Classes with identical prefix and size fold into one group.
 4. Each prefix shingle lists its groups.  Only shingles of two or more groups
    matter; a fixed-size bit filter drops most others before the shuffle.
-5. First round: all pairs of groups in lists of up to ``LONG_LIST``; in
-   longer ones each group meets the list's least group (and each class the
-   least class of its group).  Pairs pass the size, position and parity
+5. First round: all pairs of groups in lists of up to ``LONG_LIST`` classes;
+   in longer ones each group meets the list's least group, of those the
+   ``PIVOTS`` least, and each class the least class of its group (unless sets
+   of that size link only when equal).  Pairs pass the size, position and parity
    bounds, are expanded to members, pass the bound of the whole parity
    sketches and are verified on the whole sets.
 6. Second round: where a long list still holds more than one component, the
@@ -51,6 +52,7 @@ from .text import bit_filter, distinct, encode, gram_hashes, hash_words, small_b
 
 FREQUENT = 1 << 15
 LONG_LIST = 16
+PIVOTS = 4
 EARLIER = 8
 _BITS = [f"b{i}" for i in range(4)]
 
@@ -157,8 +159,10 @@ def _postings(groups: DataFrame, keep=None, known=None) -> DataFrame:
             pos = np.arange(len(tokens)) - starts[row]
             good = keep.test(tokens)
             arrays = [pa.array(_signed(tokens[good])), pa.array(pos[good])]
-            arrays += [batch.column(c).take(pa.array(row[good])) for c in names[2:8]]
-            if known is not None:
+            arrays += [batch.column(c).take(pa.array(row[good])) for c in ("gid", "n", *_BITS)]
+            if known is None:
+                arrays.append(batch.column("size").take(pa.array(row[good])))
+            else:
                 hit = known.test(tokens)
                 before = np.concatenate([[0], np.cumsum(hit)])
                 first = before[starts][row[good]]
@@ -168,7 +172,7 @@ def _postings(groups: DataFrame, keep=None, known=None) -> DataFrame:
                 arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(_signed(tokens[hit][at]))))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    names = ["token", "pos", "gid", "n", *_BITS] + (["earlier"] if known is not None else [])
+    names = ["token", "pos", "gid", "n", *_BITS, "size" if known is None else "earlier"]
     schema = ", ".join(f"{c} {'array<long>' if c == 'earlier' else 'long'}" for c in names)
     return groups.mapInArrow(run, schema if keep is not None else "token long")
 
@@ -242,7 +246,12 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     classes = full.groupBy("d0", "d1", "n", "g0", "g1", *_BITS).agg(F.min("id").alias("cid"))
     single = (F.min("d0") == F.max("d0")) & (F.min("d1") == F.max("d1"))
     groups = write_read(
-        full.groupBy("g0", "g1", "n", "prefix").agg(F.min("id").alias("gid"), *[F.when(single, F.min(b)).alias(b) for b in _BITS]),
+        full.groupBy("g0", "g1", "n", "prefix").agg(
+            F.min("id").alias("gid"),
+            *[F.when(single, F.min(b)).alias(b) for b in _BITS],
+            # classes of the group, or the documents where it has several: only sorts lists into short and long
+            F.when(single, F.lit(1)).otherwise(F.count(F.lit(1))).cast("long").alias("size"),
+        ),
         "groups",
     )
     members = write_read(
@@ -254,8 +263,8 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     lists = write_read(_postings(groups, several), "lists")
 
     # First round: every pair of a short list; in a long one, against its least group.
-    head = lists.groupBy("token").agg(F.min(F.struct("gid", "n", "pos", *_BITS)).alias("p"), F.count(F.lit(1)).alias("length"))
-    head = head.where(F.col("length") > 1)
+    head = lists.groupBy("token").agg(F.min(F.struct("gid", "n", "pos", *_BITS)).alias("p"), F.count(F.lit(1)).alias("held"), F.sum("size").alias("length"))
+    head = head.where(F.col("held") > 1).drop("held")
     sized = write_read(lists.join(head.select("token", "length"), "token"), "sized")
     short, long_ = sized.where(F.col("length") <= LONG_LIST), sized.where(F.col("length") > LONG_LIST)
 
@@ -273,8 +282,13 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     pivots = head.where(F.col("length") > LONG_LIST).select("token", "p.*")
     met = long_.alias("x").join(pivots.alias("p"), fits("x", "p") & (F.col("x.gid") != F.col("p.gid")))
     every = short.alias("x").join(short.alias("p"), fits("x", "p") & (F.col("x.gid") > F.col("p.gid")))
-    met = write_read(pairs_of(met, False).union(pairs_of(every, True)).distinct(), "met")
-    own = members.where(F.col("cid") != F.col("gid")).select("cid", F.col("gid").alias("to"), "n", *_BITS)
+    # of the pivots, one per shingle of the prefix at most, the least ones
+    pivots_met = pairs_of(met, False).groupBy("gid", "whole").agg(F.slice(F.array_sort(F.collect_set("to")), 1, PIVOTS).alias("least"))
+    met = pivots_met.select("gid", F.explode("least").alias("to"), "whole")
+    met = write_read(met.union(pairs_of(every, True)).distinct(), "met")
+    # different sets of n elements share n - 1 at most
+    different = 100 * (F.col("n") - 1) >= percent * (F.col("n") + 1)
+    own = members.where((F.col("cid") != F.col("gid")) & different).select("cid", F.col("gid").alias("to"), "n", *_BITS)
     # A short list's pair stands for all members of both groups, a pivot for its least class.
     chosen = members.join(met, "gid").select("cid", "to", "n", *_BITS, "whole").union(own.withColumn("whole", F.lit(False)).select("cid", "to", "n", *_BITS, "whole")).alias("x")
     others = members.alias("y")
@@ -297,14 +311,14 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         members.join(found.withColumnRenamed("id", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")).drop("d0", "d1"),
         "placed",
     )
-    span = placed.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    spread = long_.select("token", "gid").join(span, "gid")
+    span = placed.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(different).alias("tearable"))
+    spread = long_.select("token", "gid").join(span.drop("tearable"), "gid")
     uniform = F.col("lo") == F.col("hi")
     main = spread.groupBy("token").agg(F.min(F.struct("gid", "lo", "hi")).alias("m"), F.min("lo").alias("l"), F.max("hi").alias("h"))
     main = main.where(F.col("l") != F.col("h")).select("token", F.when(F.col("m.lo") == F.col("m.hi"), F.col("m.lo")).alias("main"))
     main = write_read(main, "main")
     # A pair meets once: where neither group has an earlier shingle of the other.
-    mixed = _postings(groups, bit_filter(main, "token"), several).join(main, "token").join(span, "gid")
+    mixed = _postings(groups, bit_filter(main, "token"), several).join(main, "token").join(span.drop("tearable"), "gid")
     outside = ~F.coalesce(uniform & (F.col("lo") == F.col("main")), F.lit(False))
     listed = write_read(mixed.withColumn("outside", outside).drop("main"), "listed")
     r, a = listed.where("outside").alias("r"), listed.alias("a")
@@ -318,7 +332,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         & ~F.arrays_overlap("r.earlier", "a.earlier")
     )
     meet = r.join(a, (F.col("r.token") == F.col("a.token")) & apart).select(F.col("r.gid").alias("g"), F.col("a.gid").alias("to")).distinct()
-    torn = span.where(~uniform).select(F.col("gid").alias("g"), F.col("gid").alias("to"))
+    torn = span.where(~uniform & F.col("tearable")).select(F.col("gid").alias("g"), F.col("gid").alias("to"))
     meet = meet.union(torn)
     y = placed.select(F.col("gid").alias("to"), F.col("cid").alias("other"), F.col("comp").alias("other_comp"), F.col("n").alias("m"), *_BITS).alias("y")
     z = placed.withColumnRenamed("gid", "g").join(meet, "g").alias("z")

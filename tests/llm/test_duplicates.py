@@ -64,6 +64,21 @@ def test_jaccard_chains_near_the_threshold(spark, monkeypatch, long_list):
     assert got == want
 
 
+def test_jaccard_large_groups(spark):
+    """Groups of one prefix and size: short texts that can link only when equal, and long ones that link."""
+    r = random.Random(12)
+    rows = [(i, f"common words here w{i}", "en", "s") for i in range(400)]  # two 3-word shingles each
+    tail = sentence(r, 60).split()
+    for i in range(200):
+        words = list(tail)
+        words[r.randrange(60)] = f"v{i}"
+        rows.append((1000 + i, " ".join(words), "en", "s"))
+    for width, percent in ((3, 90), (5, 80)):
+        want = brute.jaccard_components(dict(known(rows)), width, percent)
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.cluster(frame(spark, rows), width=width, percent=percent).collect()}
+        assert got == want
+
+
 def test_jaccard_long_lists_only(spark, monkeypatch):
     """Every list goes through pivots and the second round."""
     monkeypatch.setattr(jaccard, "LONG_LIST", 1)
