@@ -26,7 +26,7 @@ COVERAGE: dict[str, tuple[str, str]] = {
     "S10": (f"{S_}.sinks.materialize", "s12_build_materialize_read"),
     "S11": (f"{S_}.sinks.export_csv", "s11_export_csv_roundtrip"),
     "S12": (f"{P_}.marts.Project.build", "s12_build_materialize_read"),
-    "S13": (f"{S_}.sinks.read_mart", "s12_build_materialize_read"),
+    "S13": (f"{S_}.sinks.read_mart", "s10_f09_partition_rebuild"),
     "S14": (f"{S_}.sinks.read_exported_csv", "s11_export_csv_roundtrip"),
     # projections
     "P1": (f"{O_}.staging.stage_trips", "s01_csv_trips_aligned"),
@@ -50,7 +50,7 @@ COVERAGE: dict[str, tuple[str, str]] = {
     "F6": (f"{O_}.joins.holiday_flag", "j07_j08_calendar_flags"),
     "F7": (f"{F_}.exprs.pct_change", "t11_daily_features"),
     "F8": (f"{O_}.aggregate.rollup_period", "t12_weekly_features"),
-    "F9": (f"{S_}.sinks.read_mart", "s12_build_materialize_read"),
+    "F9": (f"{S_}.sinks.read_mart", "s10_f09_partition_rebuild"),
     "F10": (f"{P_}.modeling.complete_cases", "f10_m01_m03_split"),
     "F11": (f"{S_}.files.read_csv_marked", "f11_observed_drops"),
     # joins
@@ -110,7 +110,7 @@ COVERAGE: dict[str, tuple[str, str]] = {
     # sort / top-k
     "O1": (f"{S_}.sinks.export_csv", "s11_export_csv_roundtrip"),
     "O2": (f"{O_}.aggregate.top_pair", "o02_top_pair_struct"),
-    "O3": (f"{P_}.modeling.top_features", "tests/test_marts.py::test_modelling_handoff"),
+    "O3": (f"{P_}.modeling.top_features", "m04_m06_forest_report"),
     # scalar functions
     "X1": (f"{F_}.dates.parse_trip_time", "s01_csv_trips_aligned"),
     "X2": (f"{F_}.dates.parse_month_year", "t11_daily_features_from_raw_files"),
@@ -130,7 +130,7 @@ COVERAGE: dict[str, tuple[str, str]] = {
     "X16": (f"{F_}.exprs.pct_change", "t13_monthly_features"),
     "X17": (f"{F_}.exprs.empty_string_array", "t08_clean_stations"),
     "X18": (f"{O_}.staging.cast_project", "s01_csv_trips_aligned"),
-    "X19": (f"{O_}.staging.parse_json_map", "x19_json_map"),
+    "X19": (f"{O_}.staging.parse_json_variants", "x19_json_variant"),
     "X20": (f"{O_}.cleaning.interpolate_single_gaps", "t09_clean_weather"),
     # data quality
     "Q1": (f"{O_}.quality.null_counts", "q01_q02_quality_report"),
@@ -142,9 +142,9 @@ COVERAGE: dict[str, tuple[str, str]] = {
     "M1": (f"{P_}.modeling.select_features", "f10_m01_m03_split"),
     "M2": (f"{P_}.modeling.complete_cases", "f10_m01_m03_split"),
     "M3": (f"{P_}.modeling.chrono_split", "f10_m01_m03_split"),
-    "M4": (f"{P_}.modeling.fit_forest", "m06_feature_importances"),
-    "M5": (f"{P_}.modeling.r2", "m06_feature_importances"),
-    "M6": (f"{P_}.modeling.importances", "m06_feature_importances"),
+    "M4": (f"{P_}.modeling.fit_forest", "m04_m06_forest_report"),
+    "M5": (f"{P_}.modeling.r2", "m04_m06_forest_report"),
+    "M6": (f"{P_}.modeling.importances", "m04_m06_forest_report"),
     # derived tables
     "T1": (f"{O_}.staging.stage_trips", "t01_staged_trips"),
     "T2": (f"{O_}.staging.stage_stations", "t02_staged_stations"),
