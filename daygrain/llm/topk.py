@@ -8,17 +8,22 @@ is at most the sum over dimensions of the larger of ``q * max`` and
 bounds, and stops where the bound falls below its k-th score so far; that
 score starts from a small pilot set, so most shards begin with a threshold.
 
-Queries are packed into chunks of bounded size and meet every shard (a
-stated query set against all rows, in blocks): one task holds one chunk and
-one shard, both of fixed size.  At most k rows per query and shard leave a
-task, and a ranked window with Spark's partial limit merges them.
+Queries are packed into chunks of bounded size.  Chunks first meet the
+blocks' extremes alone (a stated query set against all rows, in blocks); a
+chunk and a shard travel to a task only where some query's bound reaches its
+threshold.  One task holds one chunk and one shard, both of fixed size.  At
+most k rows per query and shard leave a task, and a ranked window with
+Spark's partial limit merges them.
 
 Defined cases: a vector that is null, or holds a null or non-finite
-component, takes no part, nor does a row without id; of rows that share an
-id the least vector counts (so repeated rows count once); shorter vectors
-count as padded with zeros; components saturate at +-2**27, which keeps
-scores within 64 bits up to 512 dimensions; ties go to the smaller id; an
-empty table gives an empty result; extra columns are ignored.
+component, takes no part; every other row is a candidate of every query but
+its own, also where rows share an id or are equal, and every query row is
+ranked on its own; a row without id is a candidate with a null id, which
+comes last in ties (as does the id ``2**63 - 1``, which stands for none);
+shorter vectors count as padded with zeros; components and scores are exact,
+and raise where a component does not fit 62 bits or a score met does not;
+ties go to the smaller id; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,72 +31,96 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .text import write_read
+from .vectors import finite, matrix, scaled, span
 
 BLOCK = 512
 BLOCKS_PER_SHARD = 8
+SHARDS_PER_CELL = 128
 CHUNK = 2048
 PILOT_BLOCKS = 2
-LIMIT = 1 << 27
-NONE = -(1 << 62)
-_PACKED = "part long, seq long, n long, dims long, ids binary, matrix binary"
-
-
-def integers(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """(id, v): finite vectors as arrays of saturated integers, one per id."""
-    x = F.col(vec_col).cast("array<double>")
-    whole = lambda c: F.greatest(F.least(F.floor(c * F.lit(float(scale))).cast("double"), F.lit(float(LIMIT))), F.lit(float(-LIMIT))).cast("int")
-    finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
-    clipped = F.transform(x, lambda c: whole(F.greatest(F.least(c, F.lit(1e12)), F.lit(-1e12))))
-    rows = vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & finite)
-    return rows.select(F.col(id_col).cast("long").alias("id"), clipped.alias("v")).groupBy("id").agg(F.min("v").alias("v"))
-
-
-def _pack(rows: DataFrame, size: int) -> DataFrame:
-    """Rows (id, v) in the order of their partition, ``size`` to a packed row."""
-
-    def pack(part, seq, ids, vectors):
-        dims = max(map(len, vectors), default=0)
-        matrix = np.zeros((len(ids), dims), np.int32)
-        for i, v in enumerate(vectors):
-            matrix[i, : len(v)] = v
-        values = ([part], [seq], [len(ids)], [dims], [np.array(ids, np.int64).tobytes()], [matrix.tobytes()])
-        kinds = (pa.int64(),) * 4 + (pa.binary(),) * 2
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=["part", "seq", "n", "dims", "ids", "matrix"])
+#: Scores lie strictly within plus and minus this; bounds are cut to it.
+LIMIT = 1 << 62
+NONE = -LIMIT
+NO_ID = (1 << 63) - 1
+_PACKED = "part long, seq long, n long, dims long, places binary, ids binary, matrix binary"
+
+
+def _pieces(parts, size: int):
+    """Tuples of arrays, the last a matrix, joined and cut into ``size`` rows."""
+    held = None
+    for part in parts:
+        if held is not None:
+            dims = max(held[-1].shape[1], part[-1].shape[1])
+            wide = (_padded(held[-1], dims), _padded(part[-1], dims))
+            part = [np.concatenate(x) for x in [*zip(held[:-1], part[:-1], strict=True), wide]]
+        at = 0
+        while len(part[0]) - at >= size:
+            yield [x[at : at + size] for x in part]
+            at += size
+        held = [x[at:] for x in part]
+    if held is not None and len(held[0]):
+        yield held
+
+
+def _packed(part: int, seq: int, places, ids, matrix, **more) -> pa.RecordBatch:
+    """One packed row; the matrix takes 32 bits a component where that is enough."""
+    matrix = matrix.astype(np.int32 if span(matrix) < 1 << 31 else np.int64)
+    values = {"part": part, "seq": seq, "n": len(ids), "dims": matrix.shape[1], "places": places.tobytes(), "ids": ids.tobytes(), "matrix": matrix.tobytes(), **more}
+    return pa.RecordBatch.from_pylist([values])
+
+
+def unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (a number of its own for every row), ids and the matrix of integers."""
+    cells = row["n"] * row["dims"]
+    kind = np.int64 if cells and len(row["matrix"]) == 8 * cells else np.int32
+    return np.frombuffer(row["places"], np.int64), np.frombuffer(row["ids"], np.int64), np.frombuffer(row["matrix"], kind).reshape(row["n"], row["dims"])
+
+
+def pack_blocks(vectors: DataFrame, ask: Column, id_col: str, vec_col: str, scale: int) -> DataFrame:
+    """Blocks of rows in ranges of ids, with their extremes and the rows that ask (``asks``)."""
+    plain = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(ask, F.lit(False)).alias("ask"), F.col(f"`{vec_col}`").alias("vec"))
+    rows = finite(plain, "vec", {"id": "id", "ask": "ask"}).withColumn("id", F.coalesce("id", F.lit(NO_ID)))
+    # The second key spreads an id that many rows share.
+    rows = rows.withColumn("tie", F.monotonically_increasing_id())
+    size = BLOCK
 
     def run(batches):
-        part, seq, ids, vectors = TaskContext.get().partitionId(), 0, [], []
-        for batch in batches:
-            ids += batch.column("id").to_pylist()
-            vectors += batch.column("v").to_pylist()
-            while len(ids) >= size:
-                yield pack(part, seq, ids[:size], vectors[:size])
-                ids, vectors, seq = ids[size:], vectors[size:], seq + 1
-        if ids:
-            yield pack(part, seq, ids, vectors)
-
-    return rows.mapInArrow(run, _PACKED)
-
+        part = TaskContext.get().partitionId()
+        arrays = ([b.column("id").to_numpy(), b.column("ask").to_numpy(zero_copy_only=False), scaled(matrix(b.column("v")), scale)] for b in batches)
+        for seq, (ids, asks, m) in enumerate(_pieces(arrays, size)):
+            places = (part << 36) + seq * size + np.arange(len(ids))
+            extremes = {"high": m.max(axis=0).tobytes(), "low": m.min(axis=0).tobytes()}
+            yield _packed(part, seq, places, ids, m, asks=np.asarray(asks, bool).tobytes(), **extremes)
 
-def unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["matrix"], np.int32).reshape(row["n"], row["dims"])
+    ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
+    return ordered.select("id", "ask", "v").mapInArrow(run, _PACKED + ", asks binary, high binary, low binary")
 
 
 def _padded(m: np.ndarray, dims: int) -> np.ndarray:
     return m if m.shape[1] == dims else np.pad(m, ((0, 0), (0, dims - m.shape[1])))
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products: by floating point where every partial sum fits 53 bits."""
+def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products: by floating point where every partial sum fits 53 bits, as Python integers beyond 62."""
     dims = max(a.shape[1], b.shape[1])
     a, b = _padded(a, dims), _padded(b, dims)
-    top = float(np.abs(a.astype(np.int64)).max(initial=0)) * float(np.abs(b.astype(np.int64)).max(initial=0)) * max(1, dims)
-    if top < 2**53:
+    top = span(a) * span(b) * max(1, dims)
+    if top < 1 << 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    kind = np.int64 if top < LIMIT else object
+    return a.astype(kind) @ b.astype(kind).T
+
+
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact integer inner products; raises where one does not fit 62 bits."""
+    out = _exact(a, b)
+    if out.dtype == object and span(out) >= LIMIT:
+        raise ValueError("an inner product does not fit 62 bits")
+    return out.astype(np.int64)
 
 
 def _merge(best, scores, ids, k):
@@ -102,30 +131,30 @@ def _merge(best, scores, ids, k):
     return np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
 
 
-def _block_top(q, q_ids, m, ids, k):
+def _block_top(q, q_places, m, places, ids, k):
     """Scores and ids of the k best of one block per query (the block's ids ascend)."""
     scores = products(q, m)
-    scores[q_ids[:, None] == ids[None, :]] = NONE
-    order = np.argsort(-np.maximum(scores, NONE + 1), axis=1, kind="stable")[:, :k]
+    scores[q_places[:, None] == places[None, :]] = NONE
+    order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
     return np.take_along_axis(scores, order, 1), ids[order]
 
 
-def bounds(q: np.ndarray, blocks: list[np.ndarray]) -> np.ndarray:
-    """Upper bounds of any score, queries x blocks."""
-    dims = max([q.shape[1], *(b.shape[1] for b in blocks)])
+def bounds(q: np.ndarray, extremes: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Upper bounds of any score, queries x blocks, from the blocks' largest and smallest components."""
+    dims = max([q.shape[1], *(len(high) for high, _ in extremes)])
     q = _padded(q, dims).astype(np.int64)
-    out = np.empty((len(q), len(blocks)), np.int64)
-    for j, b in enumerate(blocks):
-        b = _padded(b, dims)
-        out[:, j] = products(np.maximum(q, 0), b.max(axis=0)[None, :])[:, 0] + products(np.minimum(q, 0), b.min(axis=0)[None, :])[:, 0]
-    return out
+    # What a shorter vector lacks counts as zero.
+    high = np.array([np.pad(h, (0, dims - len(h))) for h, _ in extremes], np.int64).reshape(len(extremes), dims)
+    low = np.array([np.pad(x, (0, dims - len(x))) for _, x in extremes], np.int64).reshape(len(extremes), dims)
+    most = _exact(np.maximum(q, 0), high) + _exact(np.minimum(q, 0), low)
+    return np.clip(most, -LIMIT, LIMIT).astype(np.int64)
 
 
-def search(q_ids, q, floor, blocks, k):
-    """Per query the k best of ``blocks`` [(ids, matrix)], none surely below ``floor``."""
-    limit = bounds(q, [m for _, m in blocks])
+def search(q_places, q, floor, blocks, k):
+    """Per query the k best of ``blocks`` [(places, ids, matrix)], none surely below ``floor``."""
+    limit = bounds(q, [(m.max(axis=0), m.min(axis=0)) for _, _, m in blocks])
     order = np.argsort(-limit, axis=1, kind="stable")
-    best = (np.full((len(q), k), NONE, np.int64), np.full((len(q), k), np.iinfo(np.int64).max, np.int64))
+    best = (np.full((len(q), k), NONE, np.int64), np.full((len(q), k), NO_ID, np.int64))
     scored = 0
     for r in range(len(blocks)):
         turn = order[:, r]
@@ -134,78 +163,115 @@ def search(q_ids, q, floor, blocks, k):
             break
         for j in np.unique(turn[live]):
             who = np.flatnonzero(live & (turn == j))
-            got = _block_top(q[who], q_ids[who], blocks[j][1], blocks[j][0], k)
+            places, ids, m = blocks[j]
+            got = _block_top(q[who], q_places[who], m, places, ids, k)
             best[0][who], best[1][who] = _merge((best[0][who], best[1][who]), *got, k)
             scored += len(who)
     return best, scored
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k highest integer inner products of every query."""
+def _chunks(packed: DataFrame, pilot: list, k: int) -> DataFrame:
+    """The asking rows of the blocks in chunks, each row with the k-th score that the pilot blocks give it."""
+    size = CHUNK
+
+    def run(batches):
+        part = TaskContext.get().partitionId()
+
+        def asking():
+            for batch in batches:
+                for row in batch.to_pylist():
+                    asks = np.frombuffer(row["asks"], bool)
+                    if asks.any():
+                        yield [x[asks] for x in unpack(row)]
+
+        for seq, (places, ids, q) in enumerate(_pieces(asking(), size)):
+            nothing = np.full(len(q), NONE, np.int64)
+            floor = search(places, q, nothing, pilot, k)[0][0][:, k - 1] if pilot else nothing
+            yield _packed(part, seq, places, ids, q, floor=floor.tobytes())
+
+    return packed.select("n", "dims", "places", "ids", "matrix", "asks").mapInArrow(run, _PACKED + ", floor binary")
+
+
+def _numbered(packed: DataFrame, per: int) -> tuple[DataFrame, int]:
+    """Rows with dense numbers ``no``, ``per`` rows a number, from the rows per part (one row per partition)."""
+    counts = packed.groupBy("part").agg((F.max("seq") + 1).alias("rows")).orderBy("part").collect()
+    base, total = [], 0
+    for c in counts:
+        base.append((c["part"], total))
+        total += -(-c["rows"] // per)
+    table = packed.sparkSession.createDataFrame(base or [(0, 0)], "part long, base long")
+    return packed.join(F.broadcast(table), "part").withColumn("no", F.col("base") + F.floor(F.col("seq") / per)).drop("base"), total
+
+
+def _each(df: DataFrame, name: str, count: int) -> DataFrame:
+    """Every row once for each ``name`` from 0 to ``count`` - 1."""
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))))
+
+
+def _wanted(asks: DataFrame, shards: DataFrame, n_chunks: int, n_shards: int) -> DataFrame:
+    """(chunk, shard) where the bound of a block of the shard reaches the threshold of a query of the chunk."""
+    per_cell = SHARDS_PER_CELL
+    questions = _each(asks.select("chunk", "n", "dims", "places", "ids", "matrix", "floor"), "cell", -(-n_shards // per_cell))
+    extremes = _each(shards.select("shard", F.floor(F.col("shard") / per_cell).alias("cell"), "high", "low"), "chunk", n_chunks)
+
+    def meet(asked, held):
+        out = []
+        blocks = [(r["shard"], np.frombuffer(r["high"], np.int64), np.frombuffer(r["low"], np.int64)) for r in held.to_pylist()]
+        for row in asked.to_pylist() if blocks else []:
+            _, _, q = unpack(row)
+            reach = (bounds(q, [b[1:] for b in blocks]) >= np.frombuffer(row["floor"], np.int64)[:, None]).any(axis=0)
+            out += [(row["chunk"], shard) for shard in sorted({b[0] for b, good in zip(blocks, reach, strict=True) if good})]
+        return pa.table({"chunk": pa.array([x for x, _ in out], pa.int64()), "shard": pa.array([x for _, x in out], pa.int64())})
+
+    return questions.groupBy("chunk", "cell").cogroup(extremes.groupBy("chunk", "cell")).applyInArrow(meet, "chunk long, shard long")
+
+
+def top_k(vectors: DataFrame, ask: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k highest integer inner products of every row for which ``ask`` is true."""
     spark = vectors.sparkSession
-    rows = integers(vectors, id_col, vec_col, scale)
-    packed = write_read(_pack(rows.repartitionByRange("id").sortWithinPartitions("id"), BLOCK), "blocks")
+    packed = write_read(pack_blocks(vectors, ask, id_col, vec_col, scale), "blocks")
     pilot = [unpack(r.asDict()) for r in packed.where(F.col("n") > k).orderBy(F.xxhash64("part", "seq"), "part", "seq").limit(PILOT_BLOCKS).collect()]
-    chunks = _pack(integers(queries, id_col, vec_col, scale).repartitionByRange("id"), CHUNK)
-
-    def with_floor(batches):
-        for batch in batches:
-            floors = []
-            for row in batch.to_pylist():
-                q_ids, q = unpack(row)
-                floors.append(search(q_ids, q, np.full(len(q), NONE), pilot, k)[0][0][:, k - 1].tobytes() if pilot else np.full(len(q), NONE, np.int64).tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floors, pa.binary())], names=[*batch.schema.names, "floor"])
-
-    chunks = write_read(chunks.mapInArrow(with_floor, _PACKED + ", floor binary"), "chunks")
-
-    # Dense shard and chunk numbers from the rows per part (one row per partition).
-    def numbered(df, per):
-        counts = df.groupBy("part").agg((F.max("seq") + 1).alias("n")).orderBy("part").collect()
-        base, total = [], 0
-        for c in counts:
-            base.append((c["part"], total))
-            total += -(-c["n"] // per)
-        table = spark.createDataFrame(base or [(0, 0)], "part long, base long")
-        return df.join(F.broadcast(table), "part").withColumn("no", F.col("base") + F.floor(F.col("seq") / per)).drop("base"), total
-
-    shards, n_shards = numbered(packed, BLOCKS_PER_SHARD)
-    asks, n_chunks = numbered(chunks, 1)
-    found = "query_id long, vec_id long, score long"
+    shards, n_shards = _numbered(packed, BLOCKS_PER_SHARD)
+    asks, n_chunks = _numbered(write_read(_chunks(packed, pilot, k), "chunks"), 1)
     if not n_shards or not n_chunks:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    left = asks.withColumnRenamed("no", "chunk").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))))
-    right = shards.withColumnRenamed("no", "shard").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_chunks - 1).cast("long"))))
+    asks, shards = asks.withColumnRenamed("no", "chunk"), shards.withColumnRenamed("no", "shard")
+    wanted = write_read(_wanted(asks, shards, n_chunks, n_shards), "wanted")
+    left = asks.join(wanted, "chunk")
+    right = shards.drop("asks", "high", "low").join(wanted, "shard")
 
     def meet(asked, held):
         asked = asked.to_pylist()
         blocks = [unpack(r) for r in sorted(held.to_pylist(), key=lambda r: (r["part"], r["seq"]))]
-        out = [[], [], []]
+        out = [[], [], [], []]
         for row in asked if blocks else []:
-            q_ids, q = unpack(row)
+            places, q_ids, q = unpack(row)
             floor = np.frombuffer(row["floor"], np.int64)
-            (scores, ids), _ = search(q_ids, q, floor, blocks, k)
+            (scores, ids), _ = search(places, q, floor, blocks, k)
             good = (scores != NONE) & (scores >= floor[:, None])
-            for part, values in zip(out, (np.repeat(q_ids, k).reshape(-1, k)[good], ids[good], scores[good]), strict=True):
+            wide = [np.repeat(x, k).reshape(-1, k)[good] for x in (places, q_ids)]
+            for part, values in zip(out, (*wide, ids[good], scores[good]), strict=True):
                 part.append(values)
-        return pa.table({n: np.concatenate(v) if v else np.empty(0, np.int64) for n, v in zip(("query_id", "vec_id", "score"), out, strict=True)})
+        return pa.table({n: np.concatenate(v) if v else np.empty(0, np.int64) for n, v in zip(("place", "query_id", "vec_id", "score"), out, strict=True)})
 
-    scored = left.groupBy("chunk", "shard").cogroup(right.groupBy("chunk", "shard")).applyInArrow(meet, found)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    scored = left.groupBy("chunk", "shard").cogroup(right.groupBy("chunk", "shard")).applyInArrow(meet, "place long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("place").orderBy(F.desc("score"), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    known = lambda c: F.nullif(F.col(c), F.lit(NO_ID)).alias(c)
+    return ranked.select(known("query_id"), "rank", known("vec_id"), "score")
 
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT row_number() OVER () AS place, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 c AS (
-  SELECT vec_id, unnest(q) AS x, unnest(range(len(q))) AS d FROM v),
+  SELECT place, vec_id, unnest(q) AS x, unnest(range(len(q))) AS d FROM v),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score
-  FROM c a JOIN c b ON a.d = b.d AND a.vec_id <> b.vec_id AND a.vec_id % 50 = 0 GROUP BY ALL),
+  SELECT a.place, a.vec_id AS query_id, b.place AS other, b.vec_id AS vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM c a JOIN c b ON a.d = b.d AND a.place <> b.place AND a.vec_id % 50 = 0 GROUP BY ALL),
 r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+  SELECT *, CAST(row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -159,49 +160,75 @@ def test_secret_scan_is_native_and_handles_empty_tables(spark):
 
 
 def plain_top(rows, k=5, every=50):
-    best = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        w = [max(-topk.LIMIT, min(topk.LIMIT, math.floor(256 * x))) for x in v]
-        best[i] = min(best.get(i, w), w)
-    out = set()
-    for q in best:
-        if q % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(best[q], w, strict=False)), i) for i, w in best.items() if i != q)
-            out |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored[:k])}
-    return out
+    """Every row against every other by Python integers; a row is itself, whatever its id."""
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v is not None and not any(x is None or not math.isfinite(x) for x in v)]
+    out = []
+    for at, (q, v) in enumerate(whole):
+        if q is not None and q % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i is None, i or 0) for j, (i, w) in enumerate(whole) if j != at)
+            out += [(q, rank + 1, None if none else i, -s) for rank, (s, none, i) in enumerate(scored[:k])]
+    return Counter(out)
 
 
 def test_top_k_matches_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 32)
     monkeypatch.setattr(topk, "CHUNK", 3)
     monkeypatch.setattr(topk, "BLOCKS_PER_SHARD", 3)
+    monkeypatch.setattr(topk, "SHARDS_PER_CELL", 2)
     r = random.Random(6)
     rows = [(i, [r.uniform(-1, 1) + (i // 200) for _ in range(8)]) for i in range(700)]
     rows += [(i, [0.5] * 8) for i in range(700, 800)]  # ties
-    rows += [(800, None), (850, [1.0, None] + [0.0] * 6), (900, [math.nan] * 8), (950, [math.inf] * 8), (None, [1.0] * 8)]
-    rows += [(1000, [1.0, 2.0]), (1050, []), (1100, [1e30] * 8), (0, rows[0][1]), (50, [-9.0] * 8)]
+    rows += [(800, None), (850, [1.0, None] + [0.0] * 6), (900, [math.nan] * 8), (950, [math.inf] * 8), (None, [1.0] * 8), (None, [9.0] * 8)]
+    rows += [(1000, [1.0, 2.0]), (1050, []), (0, rows[0][1]), (50, [-9.0] * 8), (50, [-9.0] * 8)]
     vectors = spark.createDataFrame([(i, v, 1, 1, 1) for i, v in rows], "vec_id long, embedding array<double>, id int, v int, score int").repartition(4)
-    got = topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
-    assert {tuple(x) for x in got.collect()} == plain_top(rows)
+    got = topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+    assert Counter(map(tuple, got.collect())) == plain_top(rows)
+
+
+def test_top_k_is_exact_on_wide_components_and_on_one_id_for_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 32)
+    monkeypatch.setattr(topk, "CHUNK", 7)
+    r = random.Random(8)
+    rows = [(50, [r.uniform(-9e5, 9e5), 1.0]) for _ in range(60)] + [(i, [float(r.randint(-(1 << 24), 1 << 24)), r.random()]) for i in range(101, 150)]
+    rows += [(200, [1.0, 0.0]), (201, [600000.0, 0.0]), (202, [700000.0, 0.0]), (203, [2.0**25, 0.0]), (204, [-(2.0**25), 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = Counter(map(tuple, topk.top_k(vectors, F.col("vec_id") % 50 == 0).collect()))
+    assert got == plain_top(rows) and got[(200, 1, 203, 256 << 33)] == 1
+    far = spark.createDataFrame([(0, [2.0**40]), (1, [2.0**40])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit 62 bits"):
+        topk.top_k(far, F.col("vec_id") == 0).collect()
+
+
+def test_top_k_moves_only_chunks_and_shards_that_can_matter(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    monkeypatch.setattr(topk, "BLOCKS_PER_SHARD", 1)
+    rows = [(i, [1.0, 1.0] if i % 8 < 6 and i < 64 else [-1.0, -1.0]) for i in range(400)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    packed = topk.pack_blocks(vectors, F.col("vec_id") == 0, "vec_id", "embedding", 256)
+    packed = packed.cache()
+    pilot = [topk.unpack(x.asDict()) for x in packed.where("part = 0 AND seq = 0").collect()]
+    asks, n_chunks = topk._numbered(topk._chunks(packed, pilot, 5), 1)
+    shards, n_shards = topk._numbered(packed, 1)
+    wanted = topk._wanted(asks.withColumnRenamed("no", "chunk"), shards.withColumnRenamed("no", "shard"), n_chunks, n_shards)
+    assert n_shards >= 50 and 8 <= wanted.count() <= 16
+    assert Counter(map(tuple, topk.top_k(vectors, F.col("vec_id") == 0).collect())) == plain_top(rows, every=1000)
 
 
 def test_top_k_few_rows_and_empty_table(spark):
     vectors = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [3.0])], "vec_id long, embedding array<float>")
-    got = topk.top_k(vectors, vectors.where("vec_id = 0"))
+    got = topk.top_k(vectors, F.col("vec_id") == 0)
     assert sorted(map(tuple, got.collect())) == [(0, 1, 2, 256 * 768), (0, 2, 1, 256 * 512)]
     none = vectors.limit(0)
-    assert topk.top_k(none, none).count() == 0
+    assert topk.top_k(none, F.col("vec_id") == 0).count() == 0
 
 
 def test_pruning_skips_blocks_and_stays_exact():
     rng = np.random.default_rng(1)
-    blocks = [(np.arange(j * 50, j * 50 + 50), rng.integers(-5, 6, (50, 6)).astype(np.int32) + 40 * j) for j in range(10)]
+    blocks = [(np.arange(j * 50, j * 50 + 50), np.arange(j * 50, j * 50 + 50), rng.integers(-5, 6, (50, 6)).astype(np.int32) + 40 * j) for j in range(10)]
     q = rng.integers(1, 20, (7, 6)).astype(np.int32)
     ids = np.full(7, -1)
     (scores, found), scored = topk.search(ids, q, np.full(7, topk.NONE), blocks, 5)
-    every = np.concatenate([m for _, m in blocks])
+    every = np.concatenate([m for *_, m in blocks])
     want = np.sort(q.astype(np.int64) @ every.T, axis=1)[:, ::-1][:, :5]
     assert (scores == want).all() and scored < 7 * 10
     big = np.array([[1 << 27, -(1 << 27)]], np.int32)
