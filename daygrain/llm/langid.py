@@ -8,16 +8,20 @@ estimates the cross entropy (Ziv-Merhav).  The language that needs the
 fewest normalised phrases wins, ties to the smaller name.
 
 Text becomes symbols first: letters are lower-cased, runs of other
-characters become one gap, letters outside the learned alphabet one "other"
-symbol that no sample holds.  Every symbol of every text is parsed; to parse
-many texts at once, texts are cut into lanes of ``LANE`` symbols and all
-lanes step through one transition table together (a phrase ends with its
-lane).
-
-Sample bound (parameters): ``docs_per_lang`` documents per language in
-seeded hash order, and ``total_symbols`` symbols over all languages, shared
-equally.  The sample (some hundred KB at most) is all that travels; workers
-build the automata once and keep them.
+characters become one gap, letters that stand in no sample one "other"
+symbol that no sample holds.  Every letter of the samples is a symbol,
+whatever the script: transitions are kept in a sparse table whose size is
+that of the automaton's edges.  Every symbol of every text is parsed; to
+parse many texts at once, texts are cut into lanes of ``LANE`` symbols and
+all lanes step through one table together (a phrase ends with its lane).
+
+Sample bound (parameters): the first ``docs_per_lang`` documents per language
+that hold a letter, in seeded hash order, and ``total_symbols`` symbols over
+all languages, shared equally between languages and, within one, between its
+documents: all of them take part, each with its first symbols, and what short
+ones leave goes to the longer.  The sample (at most four times as many symbols
+travel) is all that reaches the driver; workers build the automata once and
+keep them.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0;
 languages are the non-null labels of the training rows; without any, every
@@ -28,6 +32,7 @@ result.
 from __future__ import annotations
 
 import math
+import random
 import sys
 from functools import lru_cache
 
@@ -41,9 +46,9 @@ from .text import first_by_hash, small_batches
 
 UND = "und"
 LANE = 256
-GAP, OTHER, PAD = 0, 1, 2
-FIRST_LETTER = 3
-LANES_AT_ONCE = 1 << 15
+GAP, OTHER = 0, 1
+FIRST_LETTER = 2
+LANES_AT_ONCE = 1 << 14
 
 
 @lru_cache(maxsize=1)
@@ -100,57 +105,77 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return nxt
 
 
-def _step_table(symbols: list[int], width: int) -> tuple[np.ndarray, int]:
-    """Flat table ``state * width + symbol -> 2 * next state * width + phrase starts here``.
+class _Steps:
+    """The automaton's transitions in a sparse table (rows displaced over one another).
 
-    A missing transition starts a phrase: it goes where the root goes.  The
-    last state is "no phrase open"; every step out of it starts one.
+    A state is a place of its own, and its edge by symbol ``c`` lies at
+    ``state + c``, marked with the state; about four cells an edge.  ``value``
+    and ``start`` hold ``2 * next state + phrase starts here``: where no edge
+    is marked, a phrase starts and goes where the root goes.  ``closed`` is
+    "no phrase open"; it has no edges.  Symbols from ``width`` on break
+    matches: no text holds them.
     """
-    nxt = suffix_automaton(symbols)
-    closed = len(nxt)
-    table = np.full((closed + 1, width), -1, np.int64)
-    for state, edges in enumerate(nxt):
-        for c, to in edges.items():
-            if c < width:
-                table[state, c] = 2 * to * width
-    start = np.where(table[0] >= 0, table[0] | 1, 2 * closed * width + 1)
-    table = np.where(table >= 0, table, start[None, :])
-    table[closed] = start
-    table[:, PAD] = 2 * closed * width  # padding opens nothing
-    return table.astype(np.int32).ravel(), closed * width
+
+    def __init__(self, symbols: list[int], width: int):
+        nxt = [[(c, to) for c, to in edges.items() if c < width] for edges in suffix_automaton(symbols)]
+        cells = 4 * (sum(map(len, nxt)) + len(nxt)) + 1024
+        taken, used, base = bytearray(cells + width), bytearray(cells), [0] * (len(nxt) + 1)
+        pick = random.Random(1)
+        # States with many edges first, while there is room everywhere.
+        for state in [*sorted(range(len(nxt)), key=lambda i: -len(nxt[i])), len(nxt)]:
+            edges = nxt[state] if state < len(nxt) else ()
+            while True:
+                at = int(pick.random() * cells)
+                if not used[at] and not any(taken[at + c] for c, _ in edges):
+                    break
+            used[at], base[state] = 1, at
+            for c, _ in edges:
+                taken[at + c] = 1
+        self.closed = base[-1]
+        self.mark = np.full(cells + width, -1, np.int32)
+        self.value = np.zeros(cells + width, np.int32)
+        for state, edges in enumerate(nxt):
+            for c, to in edges:
+                self.mark[base[state] + c] = base[state]
+                self.value[base[state] + c] = 2 * base[to]
+        self.start = np.full(width, 2 * self.closed + 1, np.int32)
+        for c, to in nxt[0]:
+            self.start[c] = 2 * base[to] + 1
+
+    def step(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        at = state + symbols
+        return np.where(self.mark[at] == state, self.value[at], self.start[symbols])
+
+
+def shares(sizes: list[int], total: int) -> list[int]:
+    """``total`` dealt to ``sizes`` equally; what small ones leave goes to the larger."""
+    out, left = [0] * len(sizes), total
+    order = sorted(range(len(sizes)), key=lambda i: sizes[i])
+    for done, i in enumerate(order):
+        out[i] = min(sizes[i], left // (len(sizes) - done))
+        left -= out[i]
+    return out
 
 
 class Model:
-    """Per language a step table; ``samples`` maps language to its folded sample documents."""
+    """Per language the steps of its automaton; ``samples`` maps language to its folded sample documents."""
 
-    def __init__(self, samples: dict[str, list[np.ndarray]], total_symbols: int = 1 << 16, max_alphabet: int = 120):
+    def __init__(self, samples: dict[str, list[np.ndarray]], total_symbols: int = 1 << 16):
         self.langs = sorted(k for k, v in samples.items() if any(len(x) for x in v))
         share = max(1, total_symbols // max(1, len(self.langs)))
-        used = {}
-        for lang in self.langs:
-            got, left = [], share
-            for doc in samples[lang]:
-                got.append(doc[:left])
-                left -= len(got[-1])
-                if left <= 0:
-                    break
-            used[lang] = got
-        points, counts = np.unique(np.concatenate([d for v in used.values() for d in v] or [np.zeros(0, np.uint32)]), return_counts=True)
-        order = np.argsort(-counts, kind="stable")
-        letters = [int(points[i]) for i in order if points[i] != 0][:max_alphabet]
+        used = {k: [doc[:n] for doc, n in zip(samples[k], shares([len(d) for d in samples[k]], share), strict=True)] for k in self.langs}
+        points = np.unique(np.concatenate([d for v in used.values() for d in v] or [np.zeros(0, np.uint32)]))
+        letters = points[points != 0]
         self.width = FIRST_LETTER + len(letters)
-        self.symbol = np.full(sys.maxunicode + 1, OTHER, np.uint8)
+        self.symbol = np.full(sys.maxunicode + 1, OTHER, np.int32)
         self.symbol[0] = GAP
-        for i, cp in enumerate(letters):
-            self.symbol[cp] = FIRST_LETTER + i
-        self.tables, self.bits = [], []
+        self.symbol[letters] = FIRST_LETTER + np.arange(len(letters))
+        self.steps, self.bits = [], []
         for lang in self.langs:
             joined: list[int] = []
             for doc in used[lang]:
-                codes = self.symbol[doc].astype(int)
-                codes[codes == OTHER] = self.width  # never read: breaks a match
-                joined += [*codes.tolist(), self.width]
-            self.tables.append(_step_table(joined, self.width))
+                joined += [*self.symbol[doc].tolist(), self.width]  # the last is never read: breaks a match
+            self.steps.append(_Steps(joined, self.width))
             self.bits.append(math.log2(max(2, len(joined))))
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -172,20 +197,20 @@ class Model:
     def _step(self, lanes, owner, out) -> None:
         sizes = np.fromiter(map(len, lanes), np.int64, len(lanes))
         order = np.argsort(-sizes, kind="stable")  # long lanes first: each step touches a prefix
-        grid = np.full((len(lanes), LANE), PAD, np.uint8)
+        grid = np.zeros((len(lanes), LANE), np.int32)
         for row, i in enumerate(order):
             grid[row, : sizes[i]] = lanes[i]
         grid = np.ascontiguousarray(grid.T)
         alive = np.searchsorted(-sizes[order], -np.arange(LANE), side="left")
         who = np.asarray(owner)[order]
-        for k, (table, closed) in enumerate(self.tables):
-            state = np.full(len(lanes), closed, np.int32)
+        for k, steps in enumerate(self.steps):
+            state = np.full(len(lanes), steps.closed, np.int32)
             count = np.zeros(len(lanes), np.int32)
             for t in range(LANE):
                 n = alive[t]
                 if n == 0:
                     break
-                got = table[state[:n] + grid[t, :n]]
+                got = steps.step(state[:n], grid[t, :n])
                 count[:n] += got & 1
                 state[:n] = got >> 1
             out[:, k] += np.bincount(who, weights=count, minlength=len(out)).astype(np.int64)
@@ -236,27 +261,31 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per
     """The training sample: per language the first documents in hash order that hold a letter.
 
     ``first_by_hash`` finds their ids without a hot task, also where a language
-    holds most rows; a last pass reads their texts.
+    holds most rows; a last pass folds their texts and cuts them, in tasks, to
+    four equal shares of a document.
     """
-    known = labelled.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    known = labelled.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & has_letter(F.col(text_col)))
     lang = F.col(lang_col).cast("string")
     ids = first_by_hash(known.select(lang.alias("grp"), F.col(id_col).alias("id"), F.xxhash64(F.lit(17), F.col(id_col)).alias("h")), docs_per_lang)
     if not ids:
         return {}
     wanted = sorted({r["id"] for r in ids})
     rank = {(r["grp"], r["id"]): r["r"] for r in ids}
-    limit = max(1, total_symbols // len({r["grp"] for r in ids}))
-    texts = (
-        known.where(F.col(id_col).isin(wanted))
-        .select(lang.alias("lang"), F.col(id_col).alias("id"), F.substring(text_col, 1, 4 * limit // docs_per_lang + 64).alias("text"))
-        .distinct()
-        .collect()
-    )
+    limit = max(1, 4 * total_symbols // (len({r["grp"] for r in ids}) * docs_per_lang))
+
+    def cut(batches):
+        for batch in small_batches(batches, "text"):
+            folded = [fold(t)[:limit].astype(np.uint32).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("key"), pa.array(folded, pa.binary())], names=["lang", "key", "points"])
+
+    # Ids travel as their place in ``wanted``, whatever their type.
+    key = F.array_position(F.array(*[F.lit(i) for i in wanted]), F.col(id_col)).cast("long")
+    rows = known.where(F.col(id_col).isin(wanted)).select(lang.alias("lang"), key.alias("key"), F.col(text_col).alias("text"))
+    texts = rows.mapInArrow(cut, "lang string, key long, points binary").distinct().collect()
     out: dict[str, list] = {}
-    for r in sorted((x for x in texts if (x["lang"], x["id"]) in rank), key=lambda x: (x["lang"], rank[x["lang"], x["id"]], x["text"])):
-        points = fold(r["text"])
-        if points.any():
-            out.setdefault(r["lang"], []).append(points)
+    found = [(r["lang"], rank.get((r["lang"], wanted[r["key"] - 1])), bytes(r["points"])) for r in texts]
+    for name, _, points in sorted(x for x in found if x[1] is not None):
+        out.setdefault(name, []).append(np.frombuffer(points, np.uint32))
     return out
 
 

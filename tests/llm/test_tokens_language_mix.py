@@ -140,6 +140,38 @@ def test_language_id_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def letters_of(first, n):
+    return [chr(first + i) for i in range(n)]
+
+
+def test_language_id_of_scripts_with_many_letters(spark):
+    """Short held-out texts of two languages that share 3,000 letters and differ in their pairs of letters."""
+    r = random.Random(9)
+    han = letters_of(0x4E00, 3000)
+    words = {k: ["".join(r.choices(han, k=2)) for _ in range(900)] for k in ("zh", "ja")}
+    words["ko"] = ["".join(r.choices(letters_of(0xAC00, 2000), k=2)) for _ in range(900)]
+    words["el"] = ["".join(r.choices(letters_of(0x3B1, 17), k=5)) for _ in range(300)]
+    rows = [(i, lang, " ".join(r.choices(words[lang], k=120 if i < 480 else 8))) for i, lang in enumerate(sorted(words) * 180)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    samples = langid.fit(docs.where("doc_id < 480"), "doc_id", "text", "lang")
+    model = langid.Model(samples)
+    assert model.width > 3000 and (model.symbol[[0x4E00 - 1, 0x61]] == langid.OTHER).all()
+    late = [x for x in rows if x[0] >= 480]
+    found = [x.lang_pred for x in langid.predict_table(docs.where("doc_id >= 480"), samples, keep=("doc_id",)).orderBy("doc_id").collect()]
+    assert np.mean([f == lang for f, (_, lang, _) in zip(found, late, strict=True)]) > 0.97
+
+
+def test_every_sample_document_takes_part(spark):
+    letters = "abcdefghij"
+    rows = [(i, "xx", " " * 5000 + chr(0x5000 + i) + letters * 900) for i in range(120)] + [(500 + i, "xx", "  12 ") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    samples = langid.fit(docs, "doc_id", "text", "lang", docs_per_lang=40, total_symbols=4000)
+    assert len(samples["xx"]) == 40 and {len(d) for d in samples["xx"]} == {400}
+    model = langid.Model(samples, 4000)
+    assert model.width == langid.FIRST_LETTER + len(letters) + 40
+    assert langid.shares([5, 100, 2, 100], 60) == [5, 26, 2, 27] and langid.shares([1, 2], 60) == [1, 2] and langid.shares([], 5) == []
+
+
 def test_language_id_cases(spark):
     docs = frame(spark, documents())
     samples = langid.fit(docs, "doc_id", "text", "lang")
