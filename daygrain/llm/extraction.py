@@ -9,10 +9,15 @@ classified in the context of all others; the blocks labelled as article are
 decoded, joined in page order and returned.
 
 Training (``train``) needs labels by block, which raw pages do not carry:
-sentences of a bounded sample of pages are set into randomly built page
-layouts (menus, headers, sidebars, notices, adverts, forms, comments,
+sentences of a bounded sample of pages, spread over the whole of each, are
+set into randomly built page layouts (menus, headers, sidebars, notices, adverts, forms, comments,
 footers around and inside an article), where every block's label is known.
-Bounds (parameters): ``sample_pages`` pages and ``layouts`` built pages.
+Bounds (parameters): ``sample_pages`` pages, ``page_sentences`` sentences of
+each and ``layouts`` built pages.
+
+Open elements are a linked list that blocks share, and a path's vector is that
+of its parent plus the element's own, so work and memory grow with the page
+and not with its depth; a closing tag without an open element costs one lookup.
 
 Defined cases: null html is empty text; markup that is cut off or badly
 nested is read as far as it goes; scripts, styles and comments are never
@@ -48,19 +53,31 @@ PATH_VECTORS, WORD_VECTORS = 2048, 1024
 PATH_DIMS, WORD_DIMS, RATIOS, HIDDEN = 16, 8, 6, 16
 
 
+class Element:
+    """An open element; ``above`` is the one that holds it."""
+
+    __slots__ = ("tag", "tokens", "label", "above")
+
+    def __init__(self, tag: str, tokens: tuple, label: int | None, above: Element | None):
+        self.tag, self.tokens, self.above = tag, tokens, above
+        self.label = above.label if label is None and above is not None else label
+
+
 @dataclass
 class Block:
-    path: tuple
+    element: Element | None
     text: str
     linked: int
     label: int | None = None
 
-
-@dataclass
-class _Open:
-    tag: str
-    tokens: tuple
-    label: int | None = None
+    @property
+    def path(self) -> tuple:
+        """The tokens of all open elements, outermost first."""
+        held, at = [], self.element
+        while at is not None:
+            held.append(at.tokens)
+            at = at.above
+        return tuple(t for tokens in reversed(held) for t in tokens)
 
 
 def _tokens(tag: str, attributes: str) -> tuple:
@@ -75,7 +92,8 @@ def blocks(html, labelled: bool = False) -> list[Block]:
     if not isinstance(html, str) or not html:
         return []
     out: list[Block] = []
-    stack: list[_Open] = []
+    stack: list[Element] = []
+    opened: dict[str, int] = {}
     run: list[str] = []
     linked = 0
 
@@ -84,11 +102,17 @@ def blocks(html, labelled: bool = False) -> list[Block]:
         if run:
             text = " ".join(unescape("".join(run)).split())
             if text:
-                label = next((o.label for o in reversed(stack) if o.label is not None), 0) if labelled else None
-                out.append(Block(tuple(t for o in stack if o.tag not in INLINE for t in o.tokens), text, linked, label))
+                top = stack[-1] if stack else None
+                label = (0 if top is None or top.label is None else top.label) if labelled else None
+                out.append(Block(top, text, linked, label))
             run.clear()
         linked = 0
 
+    def close(i):
+        for o in stack[i:]:
+            opened[o.tag] -= 1
+        del stack[i:]
+
     at, links = 0, 0
     while at < len(html):
         m = TAG.search(html, at)
@@ -114,10 +138,8 @@ def blocks(html, labelled: bool = False) -> list[Block]:
             continue
         flush()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if opened.get(tag):
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
         if tag in RAW:
             if not attributes.rstrip().endswith("/"):
@@ -129,14 +151,15 @@ def blocks(html, labelled: bool = False) -> list[Block]:
         if tag in CLOSES_SELF or (stack and stack[-1].tag == "p"):
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i].tag == tag or stack[i].tag == "p":
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag not in CLOSES_SELF:
                     break
         label = None
         if labelled and (found := re.search(r"data-label=(\d)", attributes)):
             label = int(found[1])
-        stack.append(_Open(tag, _tokens(tag, attributes), label))
+        stack.append(Element(tag, _tokens(tag, attributes), label, stack[-1] if stack else None))
+        opened[tag] = opened.get(tag, 0) + 1
     flush()
     return out
 
@@ -177,24 +200,27 @@ class Model:
     def weights(self) -> list[np.ndarray]:
         return [self.path, self.word, *self.w, *self.u, *self.b, self.v, self.c]
 
-    def indexes(self, page: list[Block]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def _hashes(self) -> tuple:
         if self.hashes is None:
             self.hashes = (_Hashes(PATH_VECTORS), _Hashes(WORD_VECTORS), {})
-        tags, words, paths = self.hashes
-        total = sum(len(b.text) for b in page) or 1
-        out, before = [], 0
+        return self.hashes
+
+    def _contents(self, page: list[Block]):
+        """Per block its word indexes and ratios."""
+        words = self._hashes()[1]
+        total, before = sum(len(b.text) for b in page) or 1, 0
         for b in page:
-            path = paths.get(b.path)
-            if path is None:
-                if len(paths) > 50_000:
-                    paths.clear()
-                path = paths[b.path] = np.fromiter((tags[t] for t in b.path), np.int64, len(b.path))
             split = b.text.split(" ")
             n = len(b.text)
             ratios = np.array([np.log1p(n) / 8, min(1.0, b.linked / n), before / total, n / total, float(b.text[-1] in ".!?\"»”"), min(1.0, b.text.count(",") / len(split))], np.float32)
-            out.append((path, np.fromiter(map(words.__getitem__, split), np.int64, len(split)), ratios))
+            yield np.fromiter(map(words.__getitem__, split), np.int64, len(split)), ratios
             before += n
-        return out
+
+    def indexes(self, page: list[Block]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """What training needs of a page: path indexes, word indexes and ratios of every block."""
+        tags = self._hashes()[0]
+        paths = [np.array([tags[t] for t in b.path], np.int64) for b in page]
+        return [(path, *rest) for path, rest in zip(paths, self._contents(page), strict=True)]
 
     def inputs(self, index) -> np.ndarray:
         x = np.empty((len(index), PATH_DIMS + WORD_DIMS + RATIOS), np.float32)
@@ -204,6 +230,29 @@ class Model:
             x[i, -RATIOS:] = ratios
         return x
 
+    def page_inputs(self, page: list[Block]) -> np.ndarray:
+        """``inputs(indexes(page))``, each element's path vector made once from that of the one above."""
+        tags, _, own = self._hashes()
+        x = np.empty((len(page), PATH_DIMS + WORD_DIMS + RATIOS), np.float32)
+        vectors: dict[Element | None, np.ndarray] = {None: np.zeros(PATH_DIMS, np.float32)}
+        for i, (b, (words, ratios)) in enumerate(zip(page, self._contents(page), strict=True)):
+            at, new = b.element, []
+            while at not in vectors:
+                new.append(at)
+                at = at.above
+            vector = vectors[at]
+            for element in reversed(new):
+                mine = own.get(element.tokens)
+                if mine is None:
+                    if len(own) > 50_000:
+                        own.clear()
+                    mine = own[element.tokens] = self.path[[tags[t] for t in element.tokens]].sum(axis=0)
+                vector = vectors[element] = vector + mine
+            x[i, :PATH_DIMS] = vector
+            x[i, PATH_DIMS:-RATIOS] = self.word[words].mean(axis=0)
+            x[i, -RATIOS:] = ratios
+        return x
+
     def forward(self, x: np.ndarray, mask: np.ndarray, keep: bool = False):
         """Logits of padded pages (time, pages, inputs); padded steps leave the state as it is."""
         steps, pages = mask.shape
@@ -282,7 +331,7 @@ class Model:
             longest = len(pages[take[0]])
             while order and (len(take) + 1) * longest <= cells:
                 take.append(order.pop())
-            x, mask = _padded([self.inputs(self.indexes(pages[i])) for i in take])
+            x, mask = _padded([self.page_inputs(pages[i]) for i in take])
             logits = self.forward(x, mask)[0]
             for k, i in enumerate(take):
                 out[i] = logits[: len(pages[i]), k] > 0
@@ -434,15 +483,33 @@ def fit(sentences: list[str], layouts: int = 1500, epochs: int = 5, seed: int =
     return model
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = 48, **options) -> Model:
-    """Fit on layouts filled with sentences of the first ``sample_pages`` pages in hash order."""
+def sentences_of(html, most: int) -> list[str]:
+    """Up to ``most`` sentences of 11 to 399 characters, evenly spread over the whole page."""
+    found = [x for b in blocks(html) for x in re.split(r"(?<=[.!?]) ", b.text) if 10 < len(x) < 400]
+    if len(found) <= most:
+        return found
+    return [found[i * len(found) // most] for i in range(most)]
+
+
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = 48, page_sentences: int = 64, **options) -> Model:
+    """Fit on layouts filled with sentences of the first ``sample_pages`` pages in hash order.
+
+    Tasks cut the pages; at most ``page_sentences`` short sentences of a page
+    reach the driver.
+    """
     h = F.xxhash64(F.lit(1), F.col(id_col))
     filled = pages.where(F.col(html_col).isNotNull() & F.col(id_col).isNotNull())
     first = first_by_hash(filled.select(F.lit(0).alias("grp"), h.alias("h")), sample_pages)
     chosen = filled.where(h <= max((r["h"] for r in first), default=-(1 << 63)))
-    rows = chosen.select(h.alias("h"), F.substring(html_col, 1, 20_000).alias("html")).orderBy("h", "html").limit(sample_pages).collect()
-    sentences = [s for r in rows for b in blocks(r["html"]) for s in re.split(r"(?<=[.!?]) ", b.text) if 10 < len(s) < 400]
-    return fit(sentences, **options)
+
+    def cut(batches):
+        for batch in small_batches(batches, "html"):
+            found = [sentences_of(x, page_sentences) for x in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(found, pa.list_(pa.string()))], names=["h", "sentences"])
+
+    cutting = chosen.select(h.alias("h"), F.col(html_col).alias("html")).mapInArrow(cut, "h long, sentences array<string>")
+    rows = cutting.orderBy("h", "sentences").limit(sample_pages).collect()
+    return fit([s for r in rows for s in r["sentences"]], **options)
 
 
 def extract_table(pages: DataFrame, model: Model, html_col: str = "html", keep=("page_id", "url")) -> DataFrame:

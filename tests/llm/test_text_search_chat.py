@@ -3,9 +3,13 @@
 import hashlib
 import math
 import random
+import re
+import time
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,6 +39,87 @@ def test_blocks_of_awkward_markup():
         extraction.blocks(bad)
 
 
+class PlainCutter(HTMLParser):
+    """Leaf blocks by the standard library's parser, of markup that leaves out the ends of paragraphs and items at most."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.out, self.stack, self.run, self.raw = [], [], [], 0
+        self.feed(html)
+        self.close()
+        self.flush()
+
+    def flush(self):
+        text = " ".join("".join(self.run).split())
+        if text:
+            self.out.append((tuple(t for tokens in self.stack for t in tokens), text))
+        self.run = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in extraction.INLINE:
+            return
+        self.flush()
+        if tag in extraction.RAW:
+            self.raw += 1
+        elif tag not in extraction.VOID:
+            if self.stack and self.stack[-1][0] in ("p", tag) and (self.stack[-1][0] == "p" or tag in ("li", "td", "tr")):
+                self.stack.pop()  # its end tag was left out
+            held = " ".join(v.lower() for k, v in attrs if v and k in ("class", "id", "role", "itemprop", "aria-label"))
+            self.stack.append((tag, *(f".{w}" for w in re.findall("[a-z]+", held))))
+
+    def handle_startendtag(self, tag, attrs):
+        if tag not in extraction.INLINE:
+            self.flush()
+
+    def handle_endtag(self, tag):
+        if tag in extraction.INLINE:
+            return
+        self.flush()
+        if tag in extraction.RAW:
+            self.raw -= 1
+        elif any(t[0] == tag for t in self.stack):
+            while self.stack.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if not self.raw:
+            self.run.append(data)
+
+
+def test_blocks_match_a_plain_parser():
+    maker = extraction.Layouts([], 17)
+    pages = [re.sub(r"<h(\d)>(.*?)</h\d>", r"<h\1>\2</h\1>", maker.page()) for _ in range(150)]  # headings that end as they began
+    pages += pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).column(0).to_pylist()
+    pages = [x for x in pages if x]
+    for html in pages:
+        assert [(b.path, b.text) for b in extraction.blocks(html)] == PlainCutter(html).out
+
+
+def test_deep_and_unbalanced_pages_take_linear_work(model):
+    n = 100_000
+    deep = "".join(f"<div class='d{i % 7}'>w{i} " for i in range(n)) + "</div>" * (n // 2) + "end"
+    loose = "<main>" + "<div>" * 1000 + "".join(f"</section>some words {i}" for i in range(n)) + "<p>last"
+    for html, count in ((deep, n + 1), (loose, n + 1)):
+        began = time.monotonic()
+        cut = extraction.blocks(html)
+        assert len(cut) == count
+        x = model.page_inputs(cut)
+        assert time.monotonic() - began < 60
+        few = [cut[i] for i in (0, 1, 2, 40, 400)]
+        assert np.allclose(model.page_inputs(few)[:, : extraction.PATH_DIMS], x[[0, 1, 2, 40, 400], : extraction.PATH_DIMS], atol=1e-2)
+        assert np.allclose(model.page_inputs(few), model.inputs(model.indexes(few)), atol=1e-2)
+    assert cut[-1].path == ("main", *["div"] * 1000, "p")
+
+
+def test_sample_sentences_are_spread_over_the_whole_page():
+    menu = "<ul>" + "<li>One of very many menu entries.</li>" * 3000 + "</ul>"
+    html = menu + "".join(f"<p>Sentence {i} of the article itself.</p>" for i in range(3000))
+    got = extraction.sentences_of(html, 64)
+    assert len(got) == 64 and sum("article" in x for x in got) == 32 and len(set(got)) == 33
+    assert extraction.sentences_of("<p>Only this sentence here.", 64) == ["Only this sentence here."]
+    assert extraction.sentences_of(None, 64) == []
+
+
 def test_gradients_match_finite_differences():
     model = extraction.Model.fresh(3)
     weights = model.weights()
