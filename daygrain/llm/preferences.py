@@ -10,9 +10,11 @@ the text and end marker of assistant turns after the prompt.
 that open with the same turn compete: the one with the most assistant
 characters (then the smallest id) is chosen over each of the others.  And
 each conversation is chosen over itself with its last assistant reply
-replaced by the one before.  The winner per opening is a maximum combined
-map-side, and the others join it: a common opening is a skewed join key and
-never a group in one task.
+replaced by the one before.  The winner per opening is a maximum of weights
+and ids combined map-side; its turns join it once, and the others join that.
+Openings that hold more than a thousandth of all conversations (fewer than a
+thousand can) are salted on both sides, so a common opening is many join keys
+and never a group in one task.
 
 Defined cases: null role or text counts as empty; turns are ordered by turn,
 role, text; repeated rows of a turn stand once; rows without conversation id
@@ -26,6 +28,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import write_read
+
+#: An opening with more than one conversation in this many is salted, into ``SALTS`` keys.
+COMMON = 1000
+SALTS = 64
 _TURNS = "array<struct<role:string,text:string>>"
 
 
@@ -51,15 +58,23 @@ def pairs_from_conversations(turns: DataFrame, **names) -> DataFrame:
     convs = conversations(turns, **names)
     replies = F.filter("turns", lambda t: t["role"] == "assistant")
     weight = F.aggregate(replies, F.lit(0), lambda acc, t: acc + F.length(t["text"]))
-    opened = convs.select("conv_id", "turns", F.element_at("turns", 1).alias("opening"), weight.alias("weight"))
-    best = (
-        opened.groupBy("opening")
-        .agg(F.max(F.struct("weight", (-F.col("conv_id")).alias("minus"), "turns")).alias("w"), F.count(F.lit(1)).alias("n"))
+    opening = F.element_at("turns", 1)
+    convs = write_read(convs.select("conv_id", "turns", opening.alias("opening"), F.xxhash64(opening).alias("h"), weight.alias("weight")), "conversations")
+    total = convs.count()
+    common = [r["h"] for r in convs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * COMMON > total).select("h").collect()]
+    is_common = F.col("h").isin(common) if common else F.lit(False)
+
+    opened = convs.withColumn("salt", F.when(is_common, F.pmod(F.xxhash64(F.lit(1), "conv_id"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+    winners = (
+        convs.groupBy("h", "opening")
+        .agg(F.max(F.struct("weight", (-F.col("conv_id")).alias("minus"))).alias("w"), F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > 1)
-        .select("opening", (-F.col("w.minus")).alias("chosen_id"), F.col("w.turns").alias("chosen"))
+        .select("h", "opening", (-F.col("w.minus")).alias("chosen_id"))
     )
+    salts = F.when(is_common, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    best = winners.join(convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen")), "chosen_id").withColumn("salt", F.explode(salts))
     shared = (
-        opened.join(best, "opening")
+        opened.join(best, ["h", "salt", "opening"])
         .where(F.col("conv_id") != F.col("chosen_id"))
         .select("chosen_id", F.col("conv_id").alias("rejected_id"), F.lit("opening").alias("kind"), "chosen", F.col("turns").alias("rejected"))
     )

@@ -371,3 +371,39 @@ def test_pairs_from_conversations(spark):
     assert preferences.format_pairs(preferences.pairs_from_conversations(turns.limit(0))).count() == 0
     nulls = spark.createDataFrame([(None, None)], "chosen array<struct<role:string,text:string>>, rejected array<struct<role:string,text:string>>")
     assert tuple(preferences.format_pairs(nulls).first()[:3]) == (0, "", "")
+
+
+def plain_pairs(rows):
+    """Pairs of ids and texts by plain loops over all conversations."""
+    held = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            held.setdefault(conv, set()).add((turn, role or "", text or ""))
+    convs = {k: [x[1:] for x in sorted(v)] for k, v in held.items()}
+    out = []
+    for conv, turns in convs.items():
+        rivals = [k for k, v in convs.items() if v[0] == turns[0]]
+        best = max(rivals, key=lambda k: (sum(len(t) for r, t in convs[k] if r == "assistant"), -k))
+        if conv != best:
+            out.append((best, conv, "opening", tuple(convs[best]), tuple(turns)))
+        at = [i for i, (r, _) in enumerate(turns) if r == "assistant"]
+        if len(at) > 1:
+            other = [*turns[: at[-1]], ("assistant", turns[at[-2]][1]), *turns[at[-1] + 1 :]]
+            out.append((conv, conv, "reply", tuple(turns), tuple(other)))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("common", [1, 3, 1000, 10**9])
+def test_pairs_match_plain_loops_whatever_is_salted(spark, monkeypatch, common):
+    monkeypatch.setattr(preferences, "COMMON", common)
+    r = random.Random(common)
+    rows = []
+    for conv in range(240):
+        opening = "the same hello" if conv % 3 == 0 else f"hello {r.randint(0, 40)}"
+        rows.append((conv, 0, "user", opening))
+        rows += [(conv, i, "assistant" if i % 2 else "user", "x" * r.randint(0, 4)) for i in range(1, r.randint(1, 6))]
+    rows += r.sample(rows, 60) + [(None, 0, "user", "the same hello"), (900, 0, None, None), (901, 0, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = preferences.pairs_from_conversations(turns).collect()
+    sides = lambda turns: tuple((t.role, t.text) for t in turns)
+    assert Counter((p.chosen_id, p.rejected_id, p.kind, sides(p.chosen), sides(p.rejected)) for p in got) == plain_pairs(rows)
