@@ -41,6 +41,7 @@ BLOCK = 512
 BLOCKS_PER_SHARD = 8
 SHARDS_PER_CELL = 128
 CHUNK = 2048
+CHUNKS_PER_TASK = 8
 PILOT_BLOCKS = 2
 #: Scores lie strictly within plus and minus this; bounds are cut to it.
 LIMIT = 1 << 62
@@ -83,21 +84,22 @@ def unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def pack_blocks(vectors: DataFrame, ask: Column, id_col: str, vec_col: str, scale: int) -> DataFrame:
     """Blocks of rows in ranges of ids, with their extremes and the rows that ask (``asks``)."""
     plain = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(ask, F.lit(False)).alias("ask"), F.col(f"`{vec_col}`").alias("vec"))
-    rows = finite(plain, "vec", {"id": "id", "ask": "ask"}).withColumn("id", F.coalesce("id", F.lit(NO_ID)))
+    # The vectors travel in their own type and become doubles in the tasks.
+    rows = finite(plain, "vec", {"id": "id", "ask": "ask", "vec": "vec"}).drop("v").withColumn("id", F.coalesce("id", F.lit(NO_ID)))
     # The second key spreads an id that many rows share.
     rows = rows.withColumn("tie", F.monotonically_increasing_id())
     size = BLOCK
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        arrays = ([b.column("id").to_numpy(), b.column("ask").to_numpy(zero_copy_only=False), scaled(matrix(b.column("v")), scale)] for b in batches)
+        arrays = ([b.column("id").to_numpy(), b.column("ask").to_numpy(zero_copy_only=False), scaled(matrix(b.column("vec")).astype(np.float64), scale)] for b in batches)
         for seq, (ids, asks, m) in enumerate(_pieces(arrays, size)):
             places = (part << 36) + seq * size + np.arange(len(ids))
             extremes = {"high": m.max(axis=0).tobytes(), "low": m.min(axis=0).tobytes()}
-            yield _packed(part, seq, places, ids, m, asks=np.asarray(asks, bool).tobytes(), **extremes)
+            yield _packed(part, seq, places, ids, m, asks=np.asarray(asks, bool).tobytes(), asking=int(asks.sum()), **extremes)
 
     ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
-    return ordered.select("id", "ask", "v").mapInArrow(run, _PACKED + ", asks binary, high binary, low binary")
+    return ordered.select("id", "ask", "vec").mapInArrow(run, _PACKED + ", asks binary, asking long, high binary, low binary")
 
 
 def _padded(m: np.ndarray, dims: int) -> np.ndarray:
@@ -171,25 +173,31 @@ def search(q_places, q, floor, blocks, k):
 
 
 def _chunks(packed: DataFrame, pilot: list, k: int) -> DataFrame:
-    """The asking rows of the blocks in chunks, each row with the k-th score that the pilot blocks give it."""
+    """The asking rows of the blocks in chunks, each row with the k-th score that the pilot blocks give it.
+
+    Only asking rows are dealt again, to as many tasks as fill ``CHUNKS_PER_TASK`` chunks each.
+    """
     size = CHUNK
+    asked = packed.where(F.col("asking") > 0)
+    total = asked.agg(F.sum("asking")).first()[0] or 0
+    tasks = max(1, -(-total // (size * CHUNKS_PER_TASK)))
+
+    def pick(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                asks = np.frombuffer(row["asks"], bool)
+                yield _packed(row["part"], row["seq"], *[x[asks] for x in unpack(row)])
 
     def run(batches):
         part = TaskContext.get().partitionId()
-
-        def asking():
-            for batch in batches:
-                for row in batch.to_pylist():
-                    asks = np.frombuffer(row["asks"], bool)
-                    if asks.any():
-                        yield [x[asks] for x in unpack(row)]
-
-        for seq, (places, ids, q) in enumerate(_pieces(asking(), size)):
+        asking = (unpack(row) for batch in batches for row in batch.to_pylist())
+        for seq, (places, ids, q) in enumerate(_pieces(asking, size)):
             nothing = np.full(len(q), NONE, np.int64)
             floor = search(places, q, nothing, pilot, k)[0][0][:, k - 1] if pilot else nothing
             yield _packed(part, seq, places, ids, q, floor=floor.tobytes())
 
-    return packed.select("n", "dims", "places", "ids", "matrix", "asks").mapInArrow(run, _PACKED + ", floor binary")
+    picked = asked.select("part", "seq", "n", "dims", "places", "ids", "matrix", "asks").mapInArrow(pick, _PACKED)
+    return picked.repartition(tasks, "part", "seq").mapInArrow(run, _PACKED + ", floor binary")
 
 
 def _numbered(packed: DataFrame, per: int) -> tuple[DataFrame, int]:
@@ -238,7 +246,7 @@ def top_k(vectors: DataFrame, ask: Column, k: int = 5, id_col: str = "vec_id", v
     asks, shards = asks.withColumnRenamed("no", "chunk"), shards.withColumnRenamed("no", "shard")
     wanted = write_read(_wanted(asks, shards, n_chunks, n_shards), "wanted")
     left = asks.join(wanted, "chunk")
-    right = shards.drop("asks", "high", "low").join(wanted, "shard")
+    right = shards.drop("asks", "asking", "high", "low").join(wanted, "shard")
 
     def meet(asked, held):
         asked = asked.to_pylist()
