@@ -5,9 +5,10 @@ distinct shingle sets.  The result is the connected components: one row per
 document.  No pairs within a group are spelled out, and no link between
 different texts is lost:
 
-1. ``frequent``: shingles seen often come last in the global order, others
-   by hash.  Any fixed order gives right results; this one keeps the lists
-   of step 4 short.  The list of frequent shingles has a fixed bound.
+1. ``frequent``: shingles seen often come last in the global order, the most
+   frequent at its end, others by hash.  Any fixed order gives right results;
+   this one keeps the lists of step 4 short.  The list of frequent shingles
+   has a fixed bound.
 2. ``sketch``: per document its set's size and digest, its prefix (the first
    ``n - ceil(percent * n / 100) + 1`` shingles: linked sets share one of
    them) and parity bits, about one per shingle and their fold to 256.
@@ -16,13 +17,16 @@ different texts is lost:
 4. Each prefix shingle lists its groups.  Only shingles of two or more groups
    matter; a fixed-size bit filter drops most others before the shuffle.
 5. First round: all pairs of groups in lists of up to ``LONG_LIST``; in
-   longer ones each group meets the list's least group (and each class the
-   least class of its group).  Pairs pass the size, position and parity
-   bounds, are expanded to members, pass the bound of the whole parity
-   sketches and are verified on the whole sets.
+   longer ones each group meets pivots, the least groups of its list and size
+   band in ``PIVOTS`` orders by hash (and each class the least class of its
+   group).  The orders are the same in all lists, so a group of near copies
+   meets few different pivots, and a pivot links a share of them as large as
+   that of the pairs that link.  Pairs pass the size and parity bounds (those
+   of short lists the position bound too), are expanded to members, pass the
+   bound of the whole parity sketches and are verified on the whole sets.
 6. Second round: where a long list still holds more than one component, the
-   groups outside its first group's component meet all groups of the list
-   that are in another component.  A row brings the first ``EARLIER`` listed
+   groups outside its commonest component meet all groups of the list that
+   are in another component.  A row brings the first ``EARLIER`` listed
    shingles before its own, and a pair that shares one of those is left to
    that shingle's list.  (A pair that shares others meets again, which costs
    a row.)  So each pair of a list is within one component or verified.
@@ -51,6 +55,7 @@ from .text import bit_filter, distinct, encode, gram_hashes, hash_words, small_b
 
 FREQUENT = 1 << 15
 LONG_LIST = 16
+PIVOTS = 4
 EARLIER = 8
 _BITS = [f"b{i}" for i in range(4)]
 
@@ -69,8 +74,8 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def frequent(docs: DataFrame, width: int, percent: int, limit: int = FREQUENT) -> np.ndarray:
-    """At most ``limit`` shingles that are often among the least hashes of a document, ascending.
+def frequent(docs: DataFrame, width: int, limit: int = FREQUENT) -> np.ndarray:
+    """At most ``limit`` shingles that many documents hold, the rarest first.
 
     Each task keeps a summary of what it has seen more than once (singles
     are forgotten when the summary is full) and sends what it saw four times
@@ -82,8 +87,7 @@ def frequent(docs: DataFrame, width: int, percent: int, limit: int = FREQUENT) -
         for batch in small_batches(batches):
             found = [tokens]
             for text in batch.column("text").to_pylist():
-                s = shingles(text, width)
-                found.append(s[: 3 * prefix_length(len(s), percent)])
+                found.append(shingles(text, width))
             weights = np.concatenate([counts, np.ones(sum(map(len, found[1:])), np.int64)])
             tokens, where = np.unique(np.concatenate(found), return_inverse=True)
             counts = np.bincount(where, weights=weights, minlength=len(tokens)).astype(np.int64)
@@ -94,7 +98,7 @@ def frequent(docs: DataFrame, width: int, percent: int, limit: int = FREQUENT) -
 
     seen = docs.mapInArrow(run, "token long, seen long").groupBy("token").agg(F.sum("seen").alias("seen"))
     top = seen.orderBy(F.desc("seen"), "token").limit(limit).select("token").toPandas()["token"].to_numpy(np.int64)
-    return np.sort(top.view(np.uint64))
+    return top[::-1].copy().view(np.uint64)
 
 
 def parity(s: np.ndarray) -> np.ndarray:
@@ -111,7 +115,12 @@ def differing(x: bytes, y: bytes) -> int:
 
 
 def sketch(docs: DataFrame, width: int, percent: int, last: np.ndarray) -> DataFrame:
-    """Per document: id, n, set digest d0 d1, group digest g0 g1, parity bits b0-b3 and parity sketch, prefix."""
+    """Per document: id, n, set digest d0 d1, group digest g0 g1, parity bits b0-b3 and parity sketch, prefix.
+
+    The shingles of ``last`` stand after all others, in its order.
+    """
+    place = np.argsort(last)
+    ascending = last[place]
 
     def run(batches):
         for batch in small_batches(batches):
@@ -120,8 +129,9 @@ def sketch(docs: DataFrame, width: int, percent: int, last: np.ndarray) -> DataF
                 s = shingles(text, width)
                 n.append(len(s))
                 if len(last):
-                    late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
-                    ordered = np.concatenate([s[~late], s[late]])
+                    at = np.minimum(np.searchsorted(ascending, s), len(last) - 1)
+                    late = ascending[at] == s
+                    ordered = np.concatenate([s[~late], last[np.sort(place[at[late]])]])
                 else:
                     ordered = s
                 prefix = ordered[: prefix_length(len(s), percent)].tobytes() if len(s) else b""
@@ -235,7 +245,7 @@ def _verified(pairs: DataFrame, light: DataFrame, docs: DataFrame, width: int, p
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
     """One row per document: ``id_col``, n_shingles, component_id."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    last = frequent(docs.select("text"), width, percent)
+    last = frequent(docs.select("text"), width)
     light = write_read(sketch(docs, width, percent, last), "sketch")
     full = light.where((F.col("n") > 0) & F.col("id").isNotNull())
 
@@ -253,26 +263,28 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     several = bit_filter(shared, "token")
     lists = write_read(_postings(groups, several), "lists")
 
-    # First round: every pair of a short list; in a long one, against its least group.
-    head = lists.groupBy("token").agg(F.min(F.struct("gid", "n", "pos", *_BITS)).alias("p"), F.count(F.lit(1)).alias("length"))
-    head = head.where(F.col("length") > 1)
-    sized = write_read(lists.join(head.select("token", "length"), "token"), "sized")
+    # First round: every pair of a short list; in a long one, against the pivots of its size band.
+    length = lists.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where(F.col("length") > 1)
+    sized = write_read(lists.join(length, "token"), "sized")
     short, long_ = sized.where(F.col("length") <= LONG_LIST), sized.where(F.col("length") > LONG_LIST)
+    banded = long_.withColumn("band", F.floor(F.log("n") / np.log(100 / percent)) if percent < 100 else F.col("n"))
+    least = [F.min(F.struct(F.xxhash64("gid", F.lit(i)).alias("h"), "gid", "n", *_BITS)) for i in range(PIVOTS)]
+    pivots = banded.groupBy("token", "band").agg(F.array_distinct(F.transform(F.array(*least), lambda p: p.dropFields("h"))).alias("p"))
+    pivots = pivots.select("token", "band", F.explode("p").alias("p")).select("token", "band", "p.*")
 
     def fits(x, p):
         return (
             (F.col(f"{x}.token") == F.col(f"{p}.token"))
             & _sizes_fit(F.col(f"{x}.n"), F.col(f"{p}.n"), percent)
-            & _position_fits(F.col(f"{x}.n"), F.col(f"{x}.pos"), F.col(f"{p}.n"), F.col(f"{p}.pos"), percent)
             & _parity_fits(x, p, F.col(f"{x}.n"), F.col(f"{p}.n"), percent)
         )
 
     def pairs_of(joined, whole):
         return joined.select(F.col("x.gid").alias("gid"), F.col("p.gid").alias("to"), F.lit(whole).alias("whole"))
 
-    pivots = head.where(F.col("length") > LONG_LIST).select("token", "p.*")
-    met = long_.alias("x").join(pivots.alias("p"), fits("x", "p") & (F.col("x.gid") != F.col("p.gid")))
-    every = short.alias("x").join(short.alias("p"), fits("x", "p") & (F.col("x.gid") > F.col("p.gid")))
+    met = banded.alias("x").join(pivots.alias("p"), fits("x", "p") & (F.col("x.band") == F.col("p.band")) & (F.col("x.gid") != F.col("p.gid")))
+    placed_well = _position_fits(F.col("x.n"), F.col("x.pos"), F.col("p.n"), F.col("p.pos"), percent)
+    every = short.alias("x").join(short.alias("p"), fits("x", "p") & placed_well & (F.col("x.gid") > F.col("p.gid")))
     met = write_read(pairs_of(met, False).union(pairs_of(every, True)).distinct(), "met")
     own = members.where(F.col("cid") != F.col("gid")).select("cid", F.col("gid").alias("to"), "n", *_BITS)
     # A short list's pair stands for all members of both groups, a pivot for its least class.
@@ -292,7 +304,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     )
     found = components(_verified(first, light, docs, width, percent))
 
-    # Second round: what a long list still holds besides its first component.
+    # Second round: what a long list still holds besides its commonest component.
     placed = write_read(
         members.join(found.withColumnRenamed("id", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")).drop("d0", "d1"),
         "placed",
@@ -300,8 +312,11 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     span = placed.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     spread = long_.select("token", "gid").join(span, "gid")
     uniform = F.col("lo") == F.col("hi")
-    main = spread.groupBy("token").agg(F.min(F.struct("gid", "lo", "hi")).alias("m"), F.min("lo").alias("l"), F.max("hi").alias("h"))
-    main = main.where(F.col("l") != F.col("h")).select("token", F.when(F.col("m.lo") == F.col("m.hi"), F.col("m.lo")).alias("main"))
+    # A group of several components counts for none.
+    held = spread.groupBy("token", F.when(uniform, F.col("lo")).alias("comp")).agg(F.count(F.lit(1)).alias("c"))
+    commonest = F.max(F.when(F.col("comp").isNotNull(), F.struct("c", "comp")))
+    main = held.groupBy("token").agg(commonest.alias("m"), F.count(F.lit(1)).alias("several"), F.max(F.isnull("comp")).alias("torn"))
+    main = main.where((F.col("several") > 1) | F.col("torn")).select("token", F.col("m.comp").alias("main"))
     main = write_read(main, "main")
     # A pair meets once: where neither group has an earlier shingle of the other.
     mixed = _postings(groups, bit_filter(main, "token"), several).join(main, "token").join(span, "gid")
