@@ -74,8 +74,11 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def frequent(docs: DataFrame, width: int, limit: int = FREQUENT) -> np.ndarray:
-    """At most ``limit`` shingles that many documents hold, the rarest first.
+def frequent(docs: DataFrame, width: int, percent: int, counted: int = 3, limit: int = FREQUENT) -> np.ndarray:
+    """At most ``limit`` shingles that are often among the least hashes of a document, the rarest first.
+
+    Of a document the least hashes count, ``counted`` times its prefix length:
+    they are the ones its prefix would hold.
 
     Each task keeps a summary of what it has seen more than once (singles
     are forgotten when the summary is full) and sends what it saw four times
@@ -87,7 +90,8 @@ def frequent(docs: DataFrame, width: int, limit: int = FREQUENT) -> np.ndarray:
         for batch in small_batches(batches):
             found = [tokens]
             for text in batch.column("text").to_pylist():
-                found.append(shingles(text, width))
+                s = shingles(text, width)
+                found.append(s[: counted * prefix_length(len(s), percent)])
             weights = np.concatenate([counts, np.ones(sum(map(len, found[1:])), np.int64)])
             tokens, where = np.unique(np.concatenate(found), return_inverse=True)
             counts = np.bincount(where, weights=weights, minlength=len(tokens)).astype(np.int64)
@@ -242,10 +246,13 @@ def _verified(pairs: DataFrame, light: DataFrame, docs: DataFrame, width: int, p
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct()
 
 
-def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
-    """One row per document: ``id_col``, n_shingles, component_id."""
+def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90, counted: int = 3) -> DataFrame:
+    """One row per document: ``id_col``, n_shingles, component_id.
+
+    ``counted`` is how many prefixes' worth of each set ``frequent`` counts; no result depends on it.
+    """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    last = frequent(docs.select("text"), width)
+    last = frequent(docs.select("text"), width, percent, counted)
     light = write_read(sketch(docs, width, percent, last), "sketch")
     full = light.where((F.col("n") > 0) & F.col("id").isNotNull())
 
