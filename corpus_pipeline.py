@@ -17,13 +17,17 @@ from daygrain.llm.text import numbered, write_read
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents to which language ID can give no language (text null or without a letter) go; all others stay.
+    """Every text gets a language by the model that the operator fits; documents without a language of any kind go.
 
-    Rejection is the operator's own test for ``und`` and needs no model: a text
-    stays where no language could be learned, and where the label ``und`` was
-    learned as a language.
+    Null texts and texts without a letter go (the operator's third output): a
+    text stays where no language could be learned, and where the label ``und``
+    was learned as a language.  Documents without a label leave with the
+    predicted one; labels that are there stay.
     """
-    return docs.where(langid.has_letter(F.col("text")))
+    samples = langid.fit(docs.where(~langid.held_out("doc_id")), "doc_id", "text", "lang")
+    found = langid.predict_table(docs, samples, keep=docs.columns, names=("__lang", "__score", "__letters"))
+    lang = F.coalesce("lang", "__lang") if samples else F.col("lang")
+    return found.where("__letters").withColumn("lang", lang).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

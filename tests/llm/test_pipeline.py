@@ -155,3 +155,16 @@ def test_numbers_are_their_rows_own(spark, tmp_path):
         got = numbered(docs, "no")
         assert got.columns == [*docs.columns, "no"]
         assert got.select("no").distinct().count() == got.count() == docs.count()
+
+
+def test_language_stage_predicts_with_the_fitted_model(spark):
+    r = random.Random(12)
+    greek = lambda n: " ".join("".join(r.choice("αβγδεζηθ") for _ in range(5)) for _ in range(n))
+    rows = [(i, sentence(r, 30), "en", "a") for i in range(60)] + [(100 + i, greek(30), "el", "a") for i in range(60)]
+    rows += [(300, sentence(r, 30), None, "a"), (301, greek(30), None, "a"), (None, greek(30), None, "a"), (302, "12 34", None, "a")]
+    rows += [(303, greek(30), "en", "a")]  # a label that is there stays
+    docs = frame(spark, rows)
+    got = corpus_pipeline.identify_language(spark, docs, "/none")
+    assert got.columns == docs.columns
+    want = [(i, t, lang or ("el" if set(t) & set("αβγδ") else "en"), s) for i, t, lang, s in rows if i != 302]
+    assert Counter(tuple(x) for x in got.collect()) == Counter(want)
