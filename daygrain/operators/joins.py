@@ -5,11 +5,13 @@ holiday and restriction calendars) is bounded by the number of stations or
 calendar days, not by trip volume.  Two cases:
 
 * a trip-sized table joined to a dimension (T10's role joins): the
-  dimension is broadcast only when the plan's size estimate (bytes of the
-  files below it; an aggregate keeps its input's size) is within
-  ``BROADCAST_MAX_BYTES``; beyond it the join is a shuffle join, where
-  adaptive execution splits skewed partitions or switches to a broadcast
-  once the real size is known.  No job runs while the plan is built;
+  dimension is broadcast when the plan's size estimate (bytes of the files
+  below it) is within ``BROADCAST_MAX_BYTES``.  A derived dimension keeps
+  its input's size in that estimate (one weather row per day that of all
+  orders), and a shuffle join moves every enriched trip; so a dimension
+  beyond the bound is written once to the shared folder and decided by the
+  rows it really has (``settled``).  Beyond the bound by rows too, the join
+  is a shuffle join, where adaptive execution splits skewed partitions;
 * a day-level table joined to a day-level dimension (calendar flags, weather
   after aggregation): both sides hold thousands of rows; Spark's own size
   estimate and adaptive execution's runtime statistics choose the strategy,
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..session import cut_lineage
 
 # Estimated bytes a dimension may have and still be broadcast.
 BROADCAST_MAX_BYTES = 64 << 20
@@ -39,6 +42,23 @@ def size_checked(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFr
     return F.broadcast(dim) if within_bytes(dim, max_bytes) else dim
 
 
+def rows_within_bytes(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when the rows that ``df`` really has, each as wide as its schema, take at most ``max_bytes`` (one count)."""
+    return df.count() * (8 + int(df._jdf.schema().defaultSize())) <= max_bytes
+
+
+def settled(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """``dim`` and whether it is small enough to broadcast.
+
+    Where the plan's estimate says no, ``dim`` is written (the join would
+    compute it anyway, and reads the written table) and its rows are counted.
+    """
+    if within_bytes(dim, max_bytes):
+        return dim, True
+    written = cut_lineage(dim, "table")
+    return written, rows_within_bytes(written, max_bytes)
+
+
 def duplicated_keys(df: DataFrame, key: Sequence[Column | str]) -> DataFrame:
     """Key values that occur more than once (nulls count as a key)."""
     return df.groupBy(*key).count().filter(F.col("count") > 1).select(F.lit(1).alias("dup"))
@@ -104,13 +124,14 @@ def role_join(
 def enrich_trips(trips: DataFrame, stations: DataFrame, weather: DataFrame) -> DataFrame:
     """Trips with start-station, end-station and weather roles (45 columns)."""
     t = trips.select(*TRIP_KEEP_COLUMNS)
-    small = within_bytes(stations)  # one decision for both station roles
+    stations, small = settled(stations)  # one decision for both station roles
     t = role_join(t, stations, F.col("start_station_id"), F.col("station_id").cast("bigint"), "start_station_",
                   STATION_ROLE_COLUMNS, small=small)
     t = role_join(t, stations, F.col("end_station_id"), F.col("station_id"), "end_station_",
                   STATION_ROLE_COLUMNS, small=small)
-    t = role_join(t, weather, dates.to_day("start_time"), F.to_date("date_time"), "weather_", WEATHER_ROLE_COLUMNS)
-    return t
+    weather, small = settled(weather.select(*WEATHER_ROLE_COLUMNS))
+    return role_join(t, weather, dates.to_day("start_time"), F.to_date("date_time"), "weather_", WEATHER_ROLE_COLUMNS,
+                     small=small)
 
 
 def holiday_flag(df: DataFrame, date_col: str, holidays: DataFrame, out: str = "is_holiday") -> DataFrame:

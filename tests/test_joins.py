@@ -81,3 +81,26 @@ def test_calendar_flags(spark):
     assert got[dt.date(1999, 9, 30)] == (False, True)
     assert got[dt.date(1999, 10, 1)] == (False, False)
     assert got[dt.date(2005, 1, 1)] == (False, False)  # after the calendar ends -> false
+
+
+def test_small_dimension_with_a_large_estimate_is_broadcast(spark):
+    inp = tables.role_inputs(spark, SF001)
+    trips, stations, weather = tables.trips_clean(inp), tables.stations_clean(inp), tables.weather_clean(inp)
+    one = spark.range(1 << 22).where("id = 1").groupBy("id").count().select("id")
+    derived = weather.crossJoin(one).drop("id")
+    assert not joins.within_bytes(derived)
+    got = joins.enrich_trips(trips, stations, derived)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    want = joins.enrich_trips(trips, stations, weather)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_dimension_is_settled_by_its_rows(spark):
+    dim = spark.range(1000).where("id < 10")
+    written, small = joins.settled(dim, 200)
+    assert small and written.count() == 10
+    written, small = joins.settled(dim, 100)
+    assert not small and written.count() == 10
+    assert joins.settled(dim, 8000) == (dim, True)
