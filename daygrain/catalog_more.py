@@ -77,7 +77,7 @@ def raw_file_inputs(spark, sf_dir) -> tables.Inputs:
 
 def q_daily_from_raw_files(spark, sf_dir):
     """S1-S8 + T1-T11: the whole daily model starting from raw files."""
-    return round_doubles(tables.daily_features(raw_file_inputs(spark, sf_dir)))
+    return round_doubles(tables.daily_features(tables.written_trips(raw_file_inputs(spark, sf_dir))))
 
 
 def q_weather_from_csv(spark, sf_dir):

@@ -20,13 +20,14 @@ fan-out semantics of the reference are kept in every case.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import aggregate, cleaning, joins, staging, windows
+from ..session import cut_lineage
 from ..sources import calendars, roles
 
 
@@ -59,6 +60,16 @@ def role_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     )
 
 
+def written_trips(inp: Inputs) -> Inputs:
+    """The same inputs with the staged trips written once as Parquet, where a later model reads them several times.
+
+    For trips that stand in raw text: the daily model's three aggregations
+    would each parse and check every field of every row; so they read pruned
+    columns of the written table, and the raw files are parsed once.
+    """
+    return replace(inp, trips=cut_lineage(inp.trips, "table"))
+
+
 def trips_clean(inp: Inputs) -> DataFrame:
     """T7."""
     return cleaning.clean_trips(inp.trips)

@@ -220,3 +220,12 @@ def test_csv_reject_report(spark, trip_files):
     # kept + rejected = every data row
     kept = files.read_csv_aligned(spark, trip_files, TRIP_COLUMNS).count()
     assert kept + sum(got.values()) == 8
+
+
+def test_daily_query_from_raw_files_parses_the_trips_once(spark):
+    from daygrain import catalog_more
+
+    plan = catalog_more.q_daily_from_raw_files(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "trip_duration" in line]
+    assert scans and all("FileScan parquet" in line for line in scans)
+    assert "ridership" not in plan
