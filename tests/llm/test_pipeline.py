@@ -167,4 +167,4 @@ def test_language_stage_predicts_with_the_fitted_model(spark):
     got = corpus_pipeline.identify_language(spark, docs, "/none")
     assert got.columns == docs.columns
     want = [(i, t, lang or ("el" if set(t) & set("αβγδ") else "en"), s) for i, t, lang, s in rows if i != 302]
-    assert Counter(tuple(x) for x in got.collect()) == Counter(want)
+    assert Counter((x.doc_id, x.text, x.lang, x.source) for x in got.collect()) == Counter(want)
